@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = 256
 
 _K, _B, _S, _SINGLE, _N, _OFF, _TOT = "_wk", "_wb", "_ws", "_wsingle", "_wn", "_woff", "_wtot"
 
@@ -51,38 +51,66 @@ def _ordering_key(df: DataFrame, order_col, ascending: bool) -> Column:
     return c if ascending else -c
 
 
-def _cut_points(df: DataFrame, key: str, buckets: int) -> Column:
+def _cut_points(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    """One scalar subquery: a struct with the ``buckets - 1`` quantile cut points of each
+    key column (one partial aggregate per task, merged once)."""
     fractions = [i / buckets for i in range(1, buckets)]
     accuracy = max(10000, 16 * buckets)
-    return df.select(F.percentile_approx(F.col(key), fractions, accuracy)).scalar()
-
-
-def _count_below(df: DataFrame, value: str, cuts: Column, n: int, out: str,
-                 inclusive: bool) -> DataFrame:
-    """``out`` = number of cut points < value (<= when inclusive); O(log n) per row."""
-    df = df.withColumn(out, F.lit(0))
-    step = 1 << (n.bit_length() - 1) if n > 0 else 0
+    return df.select(F.struct(*[F.percentile_approx(F.col(k), fractions, accuracy).alias(k)
+                                for k in keys])).scalar()
+
+
+def _search_exprs(value: str, cuts: str, n: int, out: str, inclusive: bool) -> list[str]:
+    """SQL expressions computing ``out`` = number of cut points (array column ``cuts``,
+    ascending, length n) below ``value`` (or equal to it when inclusive): a branch-free
+    binary search, O(log n) per row. Each probe step is a lateral alias of the previous
+    one, so the expression never grows and the whole search is one projection."""
+    op = "<=" if inclusive else "<"
+    exprs = [f"0 AS {out}_0"]
+    step, i = (1 << (n.bit_length() - 1) if n > 0 else 0), 0
     while step >= 1:
-        cand = F.col(out) + F.lit(step)
-        probe = F.try_element_at(cuts, cand)
-        hit = (probe <= F.col(value)) if inclusive else (probe < F.col(value))
-        df = df.withColumn(out, F.when(hit, cand).otherwise(F.col(out)))
-        step //= 2
-    return df
-
-
-def _bucketize(df: DataFrame, order_col, ascending: bool, buckets: int) -> DataFrame:
+        prev = f"{out}_{i}"
+        exprs.append(f"CASE WHEN try_element_at({cuts}, {prev} + {step}) {op} {value} "
+                     f"THEN {prev} + {step} ELSE {prev} END AS {out}_{i + 1}")
+        step, i = step // 2, i + 1
+    exprs.append(f"{out}_{i} AS {out}")
+    return exprs
+
+
+def _with_search(df: DataFrame, searches: list[tuple[str, str, int, str, bool]]) -> DataFrame:
+    exprs = ["*"]
+    temps = []
+    for value, cuts, n, out, inclusive in searches:
+        e = _search_exprs(value, cuts, n, out, inclusive)
+        exprs += e
+        temps += [x.rsplit(" AS ", 1)[1] for x in e[:-1]]
+    return df.selectExpr(*exprs).drop(*temps)
+
+
+def _bucketize(df: DataFrame, order_col, ascending: bool, buckets: int,
+               tie_break: str | None = None) -> DataFrame:
     d = df.withColumn(_K, _ordering_key(df, order_col, ascending))
+    keys = [_K]
+    if tie_break is not None:
+        d = d.withColumn("_wt", _ordering_key(d, tie_break, True))
+        keys.append("_wt")
     n_cuts = buckets - 1
-    cuts = _cut_points(d, _K, buckets)
-    d = _count_below(d, _K, cuts, n_cuts, "_wlt", inclusive=False)
-    d = _count_below(d, _K, cuts, n_cuts, "_wle", inclusive=True)
+    d = d.withColumn("_wcuts", _cut_points(d, keys, buckets))
+    searches = [(_K, f"_wcuts.{_K}", n_cuts, "_wlt", False),
+                (_K, f"_wcuts.{_K}", n_cuts, "_wle", True)]
+    if tie_break is not None:
+        searches.append(("_wt", "_wcuts._wt", n_cuts, "_wts", False))
+    d = _with_search(d, searches).drop("_wcuts")
     # Nulls sort first ascending and last descending (Spark and T-SQL defaults).
     null_bucket = F.lit(-1) if ascending else F.lit(2 * n_cuts + 1)
-    return (d.withColumn(_B, F.when(F.col(_K).isNull(), null_bucket)
-                         .otherwise(F.col("_wlt") + F.col("_wle")))
-             .withColumn(_SINGLE, F.col(_K).isNull() | (F.col("_wle") > F.col("_wlt")))
-             .drop("_wlt", "_wle"))
+    d = (d.withColumn(_B, F.when(F.col(_K).isNull(), null_bucket)
+                      .otherwise(F.col("_wlt") + F.col("_wle")))
+          .withColumn(_SINGLE, F.col(_K).isNull() | (F.col("_wle") > F.col("_wlt"))))
+    if tie_break is not None:
+        # Rows of a single-valued bucket are ordered by the tie-break only: split them
+        # further by the tie-break cut points.
+        d = d.withColumn(_S, F.when(F.col(_SINGLE), F.col("_wts")).otherwise(F.lit(0))).drop("_wts")
+    return d.drop("_wlt", "_wle")
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
@@ -100,32 +128,32 @@ def global_rank(df: DataFrame, order_col, ascending: bool = True, partition_by:
                 name: str = "rank", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``rank() OVER (PARTITION BY partition_by ORDER BY order_col)``, distributed."""
     parts = list(partition_by)
+    source_cols = df.columns
     d = _bucketize(df, order_col, ascending, buckets)
     counts = d.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
     before = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*parts, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     # Without partition keys the offset table has at most 2 * buckets rows.
     joined = _join_on(d, offsets, parts + [_B], broadcast=not parts)
-    hot = joined.where(F.col(_SINGLE)).withColumn(name, F.col(_OFF) + 1)
-    local = F.rank().over(Window.partitionBy(*parts, _B).orderBy(_K))
-    cold = joined.where(~F.col(_SINGLE)).withColumn(name, F.col(_OFF) + local)
-    return (hot.unionByName(cold)
-               .withColumn(name, F.col(name).cast("bigint"))
-               .drop(_K, _B, _SINGLE, _OFF))
+    # Every row of a single-valued bucket ties, so its local rank is 1 however the bucket
+    # is split: spread such buckets over ``buckets`` window partitions (deterministic
+    # hash of the row and its input partition) so a heavy value is never gathered.
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in source_cols], F.spark_partition_id()),
+                    F.lit(buckets))
+    salted = joined.withColumn("_wsalt", F.when(F.col(_SINGLE), spread).otherwise(F.lit(0)))
+    local = F.rank().over(Window.partitionBy(*parts, _B, "_wsalt").orderBy(_K))
+    return (salted.withColumn(name, (F.col(_OFF) + local).cast("bigint"))
+                  .drop(_K, _B, _SINGLE, _OFF, "_wsalt"))
 
 
 def _numbered(df: DataFrame, order_col, ascending: bool, tie_break: str | None,
               partition_by: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
     """Rows with ``_wrn`` (row number) and ``_wtot`` (rows in the partition)."""
     parts = list(partition_by)
-    d = _bucketize(df, order_col, ascending, buckets)
+    d = _bucketize(df, order_col, ascending, buckets, tie_break)
     keys = parts + [_B]
     order = [F.col(_K)]
     if tie_break is not None:
-        d = d.withColumn("_wt", _ordering_key(d, tie_break, True))
-        t_cuts = _cut_points(d, "_wt", buckets)
-        d = _count_below(d, "_wt", t_cuts, buckets - 1, _S, inclusive=False)
-        d = d.withColumn(_S, F.when(F.col(_SINGLE), F.col(_S)).otherwise(F.lit(0)))
         keys.append(_S)
         order.append(F.col("_wt"))
     counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))

@@ -20,15 +20,19 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, app: str = "saleslens",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                driver_memory: str | None = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
