@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saleslens.functions.expr import as_double, as_long, days_between, round_half_up, safe_ratio
 from saleslens.operators.joins import join_null_safe
 from saleslens.operators.windows import global_ntile, top_n_per_group
+from saleslens.session import materialize
 
 # RFM reference date, segment thresholds on R + F + M (four tiles each)
 # and labels, first match wins.
@@ -68,7 +69,8 @@ def rfm_scored(sales: DataFrame, customers: DataFrame, as_of=RFM_AS_OF, tiles: i
     if orientation not in ("reference", "best_high"):
         raise ValueError("orientation must be 'reference' or 'best_high'")
     keys = list(group_cols)
-    base = rfm_base(sales, customers, as_of, keys)
+    # The base is read four times below (three tiles and the final join): write it once.
+    base = materialize(rfm_base(sales, customers, as_of, keys), "rfm_base")
     out = base
     for name, col, asc in (("r_score", "recency_days", True), ("f_score", "frequency", False),
                            ("m_score", "monetary", False)):

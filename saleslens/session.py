@@ -64,3 +64,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for tables written to cut lineage."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a plan that several later steps read (e.g. the per-customer RFM
+    base feeding three distributed ntiles): it is computed once, and a lost executor
+    costs a re-read of the written files, not a recomputation from the fact table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"saleslens/{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
