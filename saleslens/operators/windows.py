@@ -18,26 +18,34 @@ with the work spread over many tasks:
    numbers, single-valued buckets are split further by the tie-break column through a
    second set of cut points.
 
+The bucketized rows are written once under the shared checkpoint folder
+(``session.materialize``): the bucket counts and the windowed pass read that table, so
+the rows are bucketized once and the optimizer never re-traces the search expressions.
+
 Exact results: the cut points only decide the work split; ranks and tiles are exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslens.session import materialize
+
 DEFAULT_BUCKETS = 256
 
 _K, _B, _S, _SINGLE, _N, _OFF, _TOT = "_wk", "_wb", "_ws", "_wsingle", "_wn", "_woff", "_wtot"
 
 
-def _ordering_key(df: DataFrame, order_col, ascending: bool) -> Column:
+def _ordering_key(df: DataFrame, order_col, ascending: bool, dtype=None) -> Column:
     """A numeric key whose ascending order is the requested order of ``order_col``."""
     c = F.col(order_col) if isinstance(order_col, str) else order_col
-    dtype = df.select(c).schema.fields[0].dataType
+    if dtype is None:
+        dtype = df.select(c).schema.fields[0].dataType
     if isinstance(dtype, T.DateType):
         c = F.unix_date(c).cast("bigint")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -53,38 +61,34 @@ def _ordering_key(df: DataFrame, order_col, ascending: bool) -> Column:
 
 def _cut_points(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
     """One scalar subquery: a struct with the ``buckets - 1`` quantile cut points of each
-    key column (one partial aggregate per task, merged once)."""
-    fractions = [i / buckets for i in range(1, buckets)]
+    key column (one partial aggregate per task, merged once). The fractions are one SQL
+    array literal (a single expression, not one literal per element)."""
+    fractions = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     accuracy = max(10000, 16 * buckets)
-    return df.select(F.struct(*[F.percentile_approx(F.col(k), fractions, accuracy).alias(k)
-                                for k in keys])).scalar()
-
-
-def _search_exprs(value: str, cuts: str, n: int, out: str, inclusive: bool) -> list[str]:
-    """SQL expressions computing ``out`` = number of cut points (array column ``cuts``,
-    ascending, length n) below ``value`` (or equal to it when inclusive): a branch-free
-    binary search, O(log n) per row. Each probe step is a lateral alias of the previous
-    one, so the expression never grows and the whole search is one projection."""
-    op = "<=" if inclusive else "<"
-    exprs = [f"0 AS {out}_0"]
-    step, i = (1 << (n.bit_length() - 1) if n > 0 else 0), 0
-    while step >= 1:
-        prev = f"{out}_{i}"
-        exprs.append(f"CASE WHEN try_element_at({cuts}, {prev} + {step}) {op} {value} "
-                     f"THEN {prev} + {step} ELSE {prev} END AS {out}_{i + 1}")
-        step, i = step // 2, i + 1
-    exprs.append(f"{out}_{i} AS {out}")
-    return exprs
-
-
-def _with_search(df: DataFrame, searches: list[tuple[str, str, int, str, bool]]) -> DataFrame:
-    exprs = ["*"]
-    temps = []
+    fields = ", ".join(f"'{k}', percentile_approx({k}, array({fractions}), {accuracy})" for k in keys)
+    return df.select(F.expr(f"named_struct({fields})")).scalar()
+
+
+def _with_search(df: DataFrame, searches: list[tuple[str, str, int, str, bool]],
+                 extra: Sequence[str] = ()) -> DataFrame:
+    """Add ``out`` = number of cut points (array column ``cuts``, ascending, length n)
+    below ``value`` (or equal to it when inclusive) for every search: a branch-free
+    binary search, O(log n) code-generated comparisons per row. Each probe step is one
+    projection over the previous one; the result is written out by the caller
+    (``materialize``) before any join, so no optimizer rule has to trace the chain."""
+    d = df
     for value, cuts, n, out, inclusive in searches:
-        e = _search_exprs(value, cuts, n, out, inclusive)
-        exprs += e
-        temps += [x.rsplit(" AS ", 1)[1] for x in e[:-1]]
-    return df.selectExpr(*exprs).drop(*temps)
+        d = d.withColumn(out, F.lit(0))
+        step = 1 << (n.bit_length() - 1) if n > 0 else 0
+        while step >= 1:
+            cand = F.col(out) + F.lit(step)
+            probe = F.try_element_at(F.col(cuts), cand)
+            hit = (probe <= F.col(value)) if inclusive else (probe < F.col(value))
+            d = d.withColumn(out, F.when(hit, cand).otherwise(F.col(out)))
+            step //= 2
+    if extra:
+        d = d.selectExpr("*", *extra)
+    return d
 
 
 def _bucketize(df: DataFrame, order_col, ascending: bool, buckets: int,
@@ -110,14 +114,15 @@ def _bucketize(df: DataFrame, order_col, ascending: bool, buckets: int,
         # Rows of a single-valued bucket are ordered by the tie-break only: split them
         # further by the tie-break cut points.
         d = d.withColumn(_S, F.when(F.col(_SINGLE), F.col("_wts")).otherwise(F.lit(0))).drop("_wts")
-    return d.drop("_wlt", "_wle")
+    # The bucketized rows are read by the bucket counts and by the windowed pass:
+    # write them once (shared checkpoint folder) instead of computing them twice.
+    return materialize(d.drop("_wlt", "_wle"), "buckets")
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (partition keys may be NULL)."""
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
+                             for c in right.columns])
     if broadcast:
         renamed = F.broadcast(renamed)
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
@@ -196,6 +201,53 @@ def global_ntile(df: DataFrame, k: int, order_col, ascending: bool = True,
     return out.withColumn(name, ntile_of("_wrn", _TOT, k)).drop("_wrn", _TOT)
 
 
+def global_ntiles(df: DataFrame, k: int, specs: Sequence[tuple], tie_break: str,
+                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY col, tie_break)`` columns at once.
+
+    ``specs`` = [(order_col, ascending, name), ...]. The cut points of every ordering
+    (and of the tie-break) come from ONE aggregate, the bucket ids from ONE projection;
+    each ordering then adds its bounded offset table (broadcast) and one windowed pass.
+    """
+    n_cuts = buckets - 1
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keys = [f"_wk{i}" for i in range(len(specs))]
+    d = df.select("*", *[_ordering_key(df, col, asc, types[col]).alias(key)
+                         for key, (col, asc, _) in zip(keys, specs)],
+                  _ordering_key(df, tie_break, True, types[tie_break]).alias("_wt"))
+    d = d.withColumn("_wcuts", _cut_points(d, keys + ["_wt"], buckets))
+    searches = [("_wt", "_wcuts._wt", n_cuts, "_wts", False)]
+    extra = []
+    for key, (_, asc, _) in zip(keys, specs):
+        null_bucket = -1 if asc else 2 * n_cuts + 1
+        searches += [(key, f"_wcuts.{key}", n_cuts, f"{key}lt", False),
+                     (key, f"_wcuts.{key}", n_cuts, f"{key}le", True)]
+        extra += [f"IF({key} IS NULL, {null_bucket}, {key}lt + {key}le) AS _wb{key}",
+                  f"IF({key} IS NULL OR {key}le > {key}lt, _wts, 0) AS _ws{key}"]
+    d = _with_search(d, searches, extra).drop(
+        "_wcuts", *[f"{key}{x}" for key in keys for x in ("lt", "le")])
+    # Read by every bucket count and windowed pass below: write the rows once.
+    d = materialize(d, "buckets")
+    temps = ["_wt", "_wts"] + keys
+    out = d
+    for key, (_, _, name) in zip(keys, specs):
+        b, sb = f"_wb{key}", f"_ws{key}"
+        before = Window.orderBy(b, sb).rowsBetween(Window.unboundedPreceding, -1)
+        # At most (2 * buckets + 1) * buckets rows whatever the data size.
+        offsets = (d.groupBy(b, sb).agg(F.count(F.lit(1)).alias(_N))
+                    .select(F.col(b).alias(f"_r_{b}"), F.col(sb).alias(f"_r_{sb}"),
+                            F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF),
+                            F.sum(_N).over(Window.partitionBy()).alias(_TOT)))
+        out = out.join(F.broadcast(offsets), [out[b].eqNullSafe(offsets[f"_r_{b}"]),
+                                              out[sb].eqNullSafe(offsets[f"_r_{sb}"])])
+        rn = F.col(_OFF) + F.row_number().over(
+            Window.partitionBy(b, sb).orderBy(F.col(key), F.col("_wt")))
+        cols = [c for c in out.columns if c not in (f"_r_{b}", f"_r_{sb}", _OFF, _TOT)]
+        out = out.select(*cols, rn.cast("bigint").alias("_wrn"), F.col(_TOT)).select(
+            *cols, ntile_of("_wrn", _TOT, k).alias(name))
+    return out.drop(*temps, *[f"_wb{key}" for key in keys], *[f"_ws{key}" for key in keys])
+
+
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
                     name: str = "position") -> DataFrame:
     """First ``n`` rows of each group by ``order`` (ROW_NUMBER <= n).

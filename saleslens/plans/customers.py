@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from saleslens.functions.expr import as_double, as_long, days_between, round_half_up, safe_ratio
 from saleslens.operators.joins import join_null_safe
-from saleslens.operators.windows import global_ntile, top_n_per_group
+from saleslens.operators.windows import global_ntiles, top_n_per_group
 from saleslens.session import materialize
 
 # RFM reference date, segment thresholds on R + F + M (four tiles each)
@@ -69,14 +69,11 @@ def rfm_scored(sales: DataFrame, customers: DataFrame, as_of=RFM_AS_OF, tiles: i
     if orientation not in ("reference", "best_high"):
         raise ValueError("orientation must be 'reference' or 'best_high'")
     keys = list(group_cols)
-    # The base is read four times below (three tiles and the final join): write it once.
+    # The base is read by the cut points, three bucket counts and the tiles: write it once.
     base = materialize(rfm_base(sales, customers, as_of, keys), "rfm_base")
-    out = base
-    for name, col, asc in (("r_score", "recency_days", True), ("f_score", "frequency", False),
-                           ("m_score", "monetary", False)):
-        tile = global_ntile(base.select(*keys, col), tiles, col, ascending=asc,
-                            tie_break="customer_id", name=name).drop(col)
-        out = join_null_safe(out, tile, keys)
+    out = global_ntiles(base, tiles, [("recency_days", True, "r_score"),
+                                      ("frequency", False, "f_score"),
+                                      ("monetary", False, "m_score")], tie_break="customer_id")
     if orientation == "best_high":
         for name in ("r_score", "f_score", "m_score"):
             out = out.withColumn(name, tiles + 1 - F.col(name))
