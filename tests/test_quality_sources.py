@@ -136,3 +136,12 @@ def test_stream_load_csv(spark, tmp_dir):
     q = stream_load_csv(spark, src, SALES, target, key=["sale_id"], checkpoint=ckpt)
     q.awaitTermination(120)
     assert sorted(r.sale_id for r in read_table(spark, target).collect()) == [1, 2, 3]
+
+
+def test_coerce_dates_bad_text_is_null(spark):
+    from saleslens.functions.dates import coerce_dates
+    df = spark.createDataFrame([("2024-01-31",), ("2024-13-45",), ("",), (None,)], "d string")
+    out = [r.d for r in coerce_dates(df, ["d"]).collect()]
+    assert [x.isoformat() if x else None for x in out] == ["2024-01-31", None, None, None]
+    alt = spark.createDataFrame([("31/01/2024",)], "d string")
+    assert coerce_dates(alt, ["d"], "dd/MM/yyyy").first().d.isoformat() == "2024-01-31"
