@@ -67,10 +67,10 @@ def coerce_dates(df: DataFrame, cols: Iterable[str], fmt: str | None = None) ->
     """Parse text columns to DATE; unparseable text becomes NULL instead of an error."""
     out = df
     for c in cols:
-        parsed = F.try_to_date(col_(c), F.lit(fmt)) if fmt else F.try_to_date(col_(c))
+        parsed = F.try_to_date(col_(c), fmt) if fmt else F.try_to_date(col_(c))
         out = out.withColumn(c, parsed)
     return out
 
 
 def to_date_safe(c, fmt: str | None = None) -> Column:
-    return F.try_to_date(col_(c), F.lit(fmt)) if fmt else F.try_to_date(col_(c))
+    return F.try_to_date(col_(c), fmt) if fmt else F.try_to_date(col_(c))
