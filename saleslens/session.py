@@ -1,4 +1,4 @@
-"""Spark session helpers.
+"""Spark session helpers and the shared scratch folder.
 
 The library never creates a session behind the caller's back: every operator takes
 DataFrames. ``get_session`` is a convenience for scripts, tests and the bench.
@@ -6,10 +6,11 @@ DataFrames. ``get_session`` is a convenience for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the analysis plans rely on. Adaptive execution re-plans joins from
 # runtime sizes (broadcast only when the measured side is small), coalesces tiny
@@ -23,6 +24,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+SCRATCH = "saleslens"
+
 
 def get_session(master: str | None = None, app: str = "saleslens",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
@@ -38,16 +41,15 @@ def get_session(master: str | None = None, app: str = "saleslens",
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder of this session.
 
-    On a cluster this setting names a shared folder and is used as is. Only when it is
-    unset (unit tests, a laptop) do we fall back to a fresh local folder.
+    On a cluster ``spark.checkpoint.dir`` names a folder all executors share and is used
+    as is; without it this raises, because a machine-local folder would lose files. Only
+    with a local master (unit tests, a laptop) is a fresh local folder set instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="saleslens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -62,20 +66,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for tables written to cut lineage."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+    return f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}"
 
 
-def materialize(df, name: str = "table"):
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
-    Cuts the lineage of a plan that several later steps read (e.g. the per-customer RFM
-    base feeding three distributed ntiles): it is computed once, and a lost executor
-    costs a re-read of the written files, not a recomputation from the fact table.
+    Cuts the lineage of a plan that several later steps read: it is computed once, and a
+    lost executor costs a re-read of the written files, not a recomputation. The folder
+    lives until ``release_scratch`` or the end of the enclosing ``scratch`` context.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = scratch_path(spark, f"saleslens/{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("error")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every table ``materialize`` has written in this session.
+
+    Frames that still read them fail afterwards, so call it once their results are stored.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """``with scratch(spark): df = query(..); df.write...`` removes the intermediates at the end."""
+    try:
+        yield spark
+    finally:
+        release_scratch(spark)
