@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
 from saleslens.llm.line_dedup import line_dedup
 
@@ -21,8 +22,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_decontaminate, op8_exact_dedup)}

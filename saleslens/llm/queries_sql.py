@@ -35,4 +35,29 @@ SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id = keep_id AS ke
 FROM k
 """
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op8_exact_dedup": OP8}
+WORDS = f"regexp_extract_all({LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents),
+b AS (SELECT DISTINCT item_id::VARCHAR AS item_id, {WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i + 1:i + least(10, len(w))] AS win
+  FROM (SELECT item_id, w, unnest(range(greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+widths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, i, w[i + 1:i + n] AS win
+  FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, widths WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, i, n FROM places JOIN windows USING (n, win)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8}
