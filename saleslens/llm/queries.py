@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
 from saleslens.llm.line_dedup import line_dedup
+from saleslens.llm.ngram_join import ngram_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,4 +34,9 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_decontaminate, op8_exact_dedup)}
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_decontaminate, op8_exact_dedup,
+                                  op9_ngram_join)}

@@ -60,4 +60,31 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8}
+OP9 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all({LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])
+    END) AS g
+  FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 90 * (x.n + y.n - i)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
+       least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id
+GROUP BY d.doc_id
+"""
+
+ORACLE_SQL = {"op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8,
+              "op9_ngram_join": OP9}
