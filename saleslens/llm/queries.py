@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
 from saleslens.llm.line_dedup import line_dedup
+from saleslens.llm.mixing import mix
 from saleslens.llm.ngram_join import ngram_join
+from saleslens.llm.quality import fit, score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
@@ -38,5 +44,10 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op6_decontaminate, op8_exact_dedup,
-                                  op9_ngram_join)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_mix_sources, op6_decontaminate, op8_exact_dedup,
+                                  op9_ngram_join, op10_quality)}

@@ -86,5 +86,49 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach r ON r.a = d.doc
 GROUP BY d.doc_id
 """
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8,
+_DRAW = "('0x' || substr(md5(concat_ws(':', 17, epoch, coalesce(doc_id::VARCHAR, 'null'))), 1, 13))::BIGINT"
+
+OP5 = f"""
+WITH RECURSIVE t AS (
+  SELECT * FROM (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens
+    FROM documents) WHERE n_tokens > 0),
+s AS (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens,
+         sum(n_tokens)::DOUBLE / (SELECT sum(n_tokens) FROM t)::DOUBLE AS share
+  FROM t GROUP BY source),
+goal AS (SELECT h + 0.5 * (ln(n) - h) AS target FROM (SELECT -sum(share * ln(share)) AS h, count(*) AS n FROM s)),
+search(low, high) AS (
+  SELECT -1::BIGINT, 1048576::BIGINT
+  UNION ALL
+  SELECT CASE WHEN fits THEN low ELSE mid END, CASE WHEN fits THEN mid ELSE high END
+  FROM (
+    SELECT r.low, r.high, r.mid,
+           ln(sum(pow(share, mid / 1048576.0))) - mid / 1048576.0
+             * sum(pow(share, mid / 1048576.0) * ln(share)) / sum(pow(share, mid / 1048576.0))
+             <= (SELECT target FROM goal) + 1e-12
+           AND max(pow(share, mid / 1048576.0 - 1)) / sum(pow(share, mid / 1048576.0)) <= 4 + 1e-12 AS fits
+    FROM (SELECT low, high, (low + high) // 2 AS mid FROM search WHERE high - low > 1) r, s
+    GROUP BY r.low, r.high, r.mid)),
+a AS (SELECT min(high) / 1048576.0 AS a FROM search),
+w AS (
+  SELECT source, tokens, floor(pow(share, a) / sum(pow(share, a)) OVER () * (SELECT sum(n_tokens) FROM t) + 1e-6)::BIGINT AS budget
+  FROM s, a),
+e AS (
+  SELECT doc_id, source, n_tokens, tokens, budget, unnest(range(budget // tokens + 1)) AS epoch
+  FROM t JOIN w USING (source)),
+d AS (SELECT *, {_DRAW} AS draw FROM e),
+c AS (
+  SELECT *, epoch * tokens + sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY draw, doc_id) - n_tokens AS start
+  FROM d),
+u AS (
+  SELECT *, floor(start * ceil((SELECT sum(budget) FROM w) / 262144.0) / budget)::BIGINT AS block
+  FROM c WHERE start + n_tokens <= budget)
+SELECT doc_id, source, epoch, block,
+       row_number() OVER (PARTITION BY block ORDER BY draw, source, doc_id, epoch) AS place, n_tokens
+FROM u
+"""
+
+ORACLE_SQL = {"op5_mix_sources": OP5,
+              "op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8,
               "op9_ngram_join": OP9}
