@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saleslens.llm.rows import drop_rows, text_mark
 from saleslens.session import materialize
 
 WINDOW = 10
@@ -33,9 +34,9 @@ WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else
                    c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 INDEX_SCHEMA = ("shard bigint, term binary, postings binary, doc_ids array<bigint>, "
-                "starts array<bigint>, lengths array<bigint>")
+                "marks array<bigint>, starts array<bigint>, lengths array<bigint>")
 _ARROW_INDEX = pa.schema([("shard", pa.int64()), ("term", pa.binary()), ("postings", pa.binary()),
-                          ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
+                          ("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
                           ("lengths", pa.list_(pa.int64()))])
 
 
@@ -69,7 +70,7 @@ def _index(shard_words: int):
         def fresh():
             terms: defaultdict = defaultdict()
             terms.default_factory = terms.__len__
-            return terms, [], [], [], [], 0
+            return terms, [], [], [], [], [], 0
 
         def shard():
             places = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, lengths, strict=True)])
@@ -79,16 +80,17 @@ def _index(shard_words: int):
             if n:
                 postings = _encode(np.concatenate(ids), places, n)
                 yield from pa.Table.from_arrays(
-                    [number, pa.array(list(terms), pa.binary()), postings, lists, lists, lists],
+                    [number, pa.array(list(terms), pa.binary()), postings, lists, lists, lists, lists],
                     schema=_ARROW_INDEX).to_batches(100_000)
             yield pa.RecordBatch.from_pydict(
                 {"shard": [base + serial], "term": [None], "postings": [None],
-                 "doc_ids": [doc_ids], "starts": [starts], "lengths": [lengths]}, _ARROW_INDEX)
+                 "doc_ids": [doc_ids], "marks": [marks], "starts": [starts], "lengths": [lengths]}, _ARROW_INDEX)
 
-        terms, ids, doc_ids, starts, lengths, at = fresh()
+        terms, ids, doc_ids, marks, starts, lengths, at = fresh()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = words(text.as_py())
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = words(text)
+                marks.append(text_mark(text))
                 ids.append(np.fromiter(map(terms.__getitem__, own), np.int64, len(own)))
                 doc_ids.append(doc_id)
                 starts.append(at)
@@ -97,7 +99,7 @@ def _index(shard_words: int):
                 if at >= shard_words:
                     yield from shard()
                     serial += 1
-                    terms, ids, doc_ids, starts, lengths, at = fresh()
+                    terms, ids, doc_ids, marks, starts, lengths, at = fresh()
         if doc_ids:
             yield from shard()
 
@@ -167,7 +169,7 @@ def _search(block, find):
     """Rows come sorted by shard, the row that lists its documents first."""
 
     def matches(shard, docs, posts):
-        ids, starts, lengths = (np.array(x) for x in docs)
+        starts, lengths = np.array(docs[2]), np.array(docs[3])
         out: list[tuple] = []
         for item_id, item in block.value:
             for start, n in find(item, posts):
@@ -245,7 +247,8 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20, n_term
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                   shard_words: int = SHARD_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, item_ids (sorted strings).
+    """One row per row of ``docs``: doc_id, mark (the text's xxhash64), n_words, n_hit,
+    item_ids (sorted strings).
 
     ``n_hit`` counts the words inside any occurrence of a window of ``window`` words of an
     item (the whole item if it is shorter). Null and empty texts have no words; items
@@ -265,9 +268,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
             (acc.n + F.greatest(F.lit(0), run.end - F.greatest(acc.at, run.start))).alias("n"),
             F.greatest(acc.at, run.end).alias("at")), lambda acc: acc.n)
     directory = (index.where("term is null")
-                 .select("shard", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("ordinal", "doc"))
-                 .select("shard", F.col("ordinal").cast("bigint"), "doc.doc_ids", "doc.lengths"))
+                 .select("shard", F.posexplode(F.arrays_zip("doc_ids", "marks", "lengths")).alias("ordinal", "doc"))
+                 .select("shard", F.col("ordinal").cast("bigint"), "doc.doc_ids", "doc.marks", "doc.lengths"))
     return (directory.join(by_doc.withColumn("n_hit", union), ["shard", "ordinal"], "left")
-            .select(F.col("doc_ids").alias("doc_id"), F.col("lengths").alias("n_words"),
+            .select(F.col("doc_ids").alias("doc_id"), F.col("marks").alias("mark"), F.col("lengths").alias("n_words"),
                     F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any window of an item, all columns as they were."""
+    gone = materialize(decontaminate(docs, items, window).where("n_hit > 0").select("doc_id", "mark"), "dropped")
+    return drop_rows(docs, gone)

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleslens.llm.rows import drop_rows
 from saleslens.session import materialize
 
 BLOCK_CHARS = 1024
@@ -56,7 +57,7 @@ def _name_blocks(texts: DataFrame, size: int, bits: int) -> DataFrame:
 def _first_names(texts: DataFrame, names: DataFrame, size: int, bits: int) -> DataFrame:
     """(rid, n, pos, name, row): one row per block; ``row`` rides with the first block."""
     rows = (texts.select(F.monotonically_increasing_id().alias("rid"), "norm",
-                         F.struct("doc_id", "n_chars",
+                         F.struct("doc_id", "n_chars", "mark",
                                   F.unhex(F.sha2("norm", 256)).alias("sha")).alias("row"))
             .select("rid", "row", _blocks(F.col("norm"), size).alias("blocks"))
             .select("rid", "row", F.size("blocks").alias("n"), F.posexplode("blocks"))
@@ -91,14 +92,14 @@ def _pair_up(level: DataFrame) -> DataFrame:
 
 
 def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int = 64) -> DataFrame:
-    """(rid, doc_id, n_chars, sha, n, name) per row of ``docs``.
+    """(rid, doc_id, n_chars, sha, mark, n, name) per row of ``docs``.
 
     Two rows have equal (n, name) exactly when their squeezed texts are equal; ``rid``
     tells rows apart that share a doc_id.
     """
-    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("mark"))
              .select("doc_id", squeezed(F.col("text")).alias("norm"),
-                     F.length("text").cast("long").alias("n_chars")))
+                     F.length("text").cast("long").alias("n_chars"), "mark"))
     level = _first_names(texts, _name_blocks(texts, block_chars, hash_bits), block_chars,
                          hash_bits)
     longest = level.agg(F.max("n")).first()[0] or 1
@@ -111,16 +112,17 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int =
         level = _pair_up(level.where(F.col("n") > width))
         width *= 2
     return reduce(DataFrame.unionByName, done).select(
-        "rid", "row.doc_id", "row.n_chars", "row.sha", "n", "name")
+        "rid", "row.doc_id", "row.n_chars", "row.sha", "row.mark", "n", "name")
 
 
 def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int = 64) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, mark.
 
     Rows are equal when their texts are after deleting white space (null text: empty).
     Of equal rows the one with most code points stays, then the smallest doc_id (null
     last), then the first row of repeated ones. Empty tables give an empty result; other
     columns of ``docs`` are ignored. ``hash_bits`` below 64 only forces clashes in tests.
+    ``mark`` is the original text's xxhash64.
     """
     ids = identities(docs, block_chars, hash_bits)
     best = F.struct("n_chars", (-F.col("doc_id")).alias("m"), (-F.col("rid")).alias("r"))
@@ -129,14 +131,15 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
     return ids.join(groups, ["n", "name"]).select(
         "doc_id", (-F.col("best.m")).alias("keep_id"), "group_size",
         (F.col("rid") == -F.col("best.r")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        F.lower(F.hex("sha")).alias("text_sha256"), "mark")
 
 
 def keep_one(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    kept = materialize(exact_dedup(docs, block_chars).where("kept")
-                       .select(F.col("doc_id").alias("kept_id"),
-                               F.unhex("text_sha256").alias("kept_sha")), "kept")
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    same = joined.where(F.unhex(F.sha2(squeezed(F.col("text")), 256)) == F.col("kept_sha"))
-    return same.dropDuplicates(["kept_id", "kept_sha"]).select(*docs.columns)
+    gone = materialize(exact_dedup(docs, block_chars).where(~F.col("kept")), "dropped")
+    others = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    rows = drop_rows(docs, others.select("doc_id", "mark"))
+    # rows that repeat both id and text have the same mark as the one that stays
+    if gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
+        return rows
+    return rows.withColumn("__norm", squeezed(F.col("text"))).dropDuplicates(["doc_id", "__norm"]).drop("__norm")

@@ -13,7 +13,6 @@ and shuffled; the result stays exact.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslens.llm import bloom
 from saleslens.session import materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-BITS_PER_LINE = 10
-MAX_BITS = 1 << 31  # 256 MB
-SHARD_BITS = 1 << 19
-PROBES = 4
 WS = b" \t\n\x0b\x0c\r"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -52,87 +48,33 @@ def _keys(text: str | None, least: int) -> list[bytes]:
     return [k for k in {x.strip(WS) for x in lines} if _long_enough(k, least)]
 
 
-def _probes(hashes: np.ndarray, bits: int) -> np.ndarray:
-    step = (hashes >> np.uint64(32)) | np.uint64(1)
-    return (hashes[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) & np.uint64(bits - 1)
-
-
-def _test(filt: np.ndarray, probes: np.ndarray) -> np.ndarray:
-    got = filt[(probes >> np.uint64(3)).astype(np.int64)] >> (probes & np.uint64(7)).astype(np.uint8)
-    return (got & 1).all(axis=1)
-
-
-def _set(filt: np.ndarray, probes: np.ndarray) -> None:
-    flat = probes.ravel()
-    np.bitwise_or.at(filt, (flat >> np.uint64(3)).astype(np.int64),
-                     np.uint8(1) << (flat & np.uint64(7)).astype(np.uint8))
-
-
 def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def _build(bits: int, least: int):
-    """Task-side: the two filters of a task's documents, as compressed shards."""
+    """Task-side: the two filters of a task's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
             keys = [k for text in batch.column(0) for k in _keys(text.as_py(), least)]
             met, counts = np.unique(_hashes(keys), return_counts=True)
-            probes = _probes(met, bits)
-            again = (counts > 1) | _test(once, probes)
-            _set(twice, probes[again])
-            _set(once, probes)
-        size = SHARD_BITS // 8
-        for shard in range(max(1, len(once) // size)):
-            o, t = once[shard * size:(shard + 1) * size], twice[shard * size:(shard + 1) * size]
-            if o.any():
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([shard], pa.int32()),
-                    "once": pa.array([zlib.compress(o.tobytes(), 1)], pa.binary()),
-                    "twice": pa.array([zlib.compress(t.tobytes(), 1)], pa.binary())})
+            at = bloom.probes(met, bits)
+            again = (counts > 1) | bloom.holds(once, at)
+            bloom.add(twice, at[again])
+            bloom.add(once, at)
+        yield from bloom.shards(once, twice)
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by shard; only one shard's two filters are in memory."""
-    shard, once, twice = None, None, None
-
-    def out():
-        return pa.RecordBatch.from_pydict({
-            "shard": pa.array([shard], pa.int32()),
-            "twice": pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())})
-
-    for batch in batches:
-        for s, o, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            o = np.frombuffer(zlib.decompress(o), np.uint8)
-            t = np.frombuffer(zlib.decompress(t), np.uint8)
-            if s != shard:
-                if shard is not None:
-                    yield out()
-                shard, once, twice = s, o.copy(), t.copy()
-            else:
-                twice |= t | (once & o)
-                once |= o
-    if shard is not None:
-        yield out()
-
-
-def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, max_bits: int = MAX_BITS) -> np.ndarray:
+def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, max_bits: int = bloom.MAX_BITS) -> np.ndarray:
     """The merged "twice" filter of all documents, at most ``max_bits / 8`` bytes."""
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    lines = docs.agg(F.sum(newlines + 1)).first()[0] or 1
-    bits = min(max_bits, max(SHARD_BITS, 1 << int(lines * BITS_PER_LINE - 1).bit_length()))
-    shards = (docs.select("text")
-              .mapInArrow(_build(bits, min_chars), "shard int, once binary, twice binary"))
-    merged = (shards.repartition(max(1, bits // SHARD_BITS), "shard")
-              .sortWithinPartitions("shard").mapInArrow(_merge, "shard int, twice binary"))
-    filt, size = np.zeros(bits // 8, np.uint8), SHARD_BITS // 8
-    for row in merged.toLocalIterator():
-        filt[row.shard * size:(row.shard + 1) * size] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
-    return filt
+    bits = bloom.bits_for(docs.agg(F.sum(newlines + 1)).first()[0] or 1, max_bits)
+    shards = docs.select("text").mapInArrow(_build(bits, min_chars), bloom.SHARD_SCHEMA)
+    return bloom.merged(shards, bits, "twice")
 
 
 def _suspects(filt, least: int, id_type: pa.DataType):
@@ -145,7 +87,7 @@ def _suspects(filt, least: int, id_type: pa.DataType):
                 own = _keys(text.as_py(), least)
                 ids += [doc_id] * len(own)
                 keys += own
-            hit = np.flatnonzero(_test(twice, _probes(_hashes(keys), bits)))
+            hit = np.flatnonzero(bloom.holds(twice, bloom.probes(_hashes(keys), bits)))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([ids[i] for i in hit], id_type),
                 "key": pa.array([keys[i].decode() for i in hit], pa.string())})
@@ -172,7 +114,7 @@ def _drop(id_type: pa.DataType):
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-               max_bits: int = MAX_BITS) -> DataFrame:
+               max_bits: int = bloom.MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept_text.
 
     A key of at least ``min_chars`` code points held by at least ``min_docs`` rows loses
