@@ -8,12 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslens.llm import toxicity
 from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
+from saleslens.llm.html_text import extract
 from saleslens.llm.line_dedup import line_dedup
 from saleslens.llm.mixing import mix
 from saleslens.llm.ngram_join import ngram_join
 from saleslens.llm.quality import fit, score
+from saleslens.llm.secrets import secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +28,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _fold(doc_id, folds: int):
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_fold(F.col("doc_id"), 3) != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    return scored.select("doc_id", (F.coalesce(_fold(F.col("doc_id"), 3), F.lit(0)) == 1).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -36,8 +55,22 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(F.filter("spans", lambda s: s.kind != "novel")), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("mark")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,5 +82,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_mix_sources, op6_decontaminate, op8_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op4_html_text, op5_mix_sources, op6_decontaminate, op7_secrets, op8_exact_dedup,
                                   op9_ngram_join, op10_quality)}
