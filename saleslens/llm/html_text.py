@@ -194,6 +194,8 @@ LABELLED: list[list[tuple[str, int | None]]] = [
     [(f"<p>{_LONG}</p>", 1), (f"<p>{_SHORT}</p>", 1), (f"<p>{_MORE}</p>", 1)],
     [(f"<p>{_SHORT}</p>", 1)],
     [(_LONG, 1)],
+    [(f"<div>{_MORE}</div>", 0), (f"<p>{_LONG}</p>", 0), (f"<p>{_SHORT}</p>", 0), ("<article>", None), (f"<p>{_MORE}</p>", 1), (f"<p>{_LONG}</p>", 1),
+     ("</article>", None), (f"<p>{_LONG}</p>", 0), (f"<p>{_MORE}</p>", 0), (f"<div>{_LONG} {_MORE}</div>", 0), (f"<p>{_SHORT}</p>", 0)],
 ]
 
 

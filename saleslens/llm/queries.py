@@ -13,6 +13,7 @@ from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
 from saleslens.llm.html_text import extract
 from saleslens.llm.line_dedup import line_dedup
+from saleslens.llm.lm_score import score_texts
 from saleslens.llm.mixing import mix
 from saleslens.llm.ngram_join import ngram_join
 from saleslens.llm.quality import fit, score
@@ -40,6 +41,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), F.coalesce(_fold(F.col("doc_id"), 10), F.lit(1)) != 0)
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -82,5 +87,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op4_html_text, op5_mix_sources, op6_decontaminate, op7_secrets, op8_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_lm_score, op4_html_text, op5_mix_sources, op6_decontaminate, op7_secrets, op8_exact_dedup,
                                   op9_ngram_join, op10_quality)}
