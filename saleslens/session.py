@@ -7,6 +7,7 @@ DataFrames. ``get_session`` is a convenience for scripts, tests and the bench.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 
@@ -25,6 +26,7 @@ DEFAULT_CONF = {
 }
 
 SCRATCH = "saleslens"
+_scope: contextvars.ContextVar[str] = contextvars.ContextVar("scope", default="")
 
 
 def get_session(master: str | None = None, app: str = "saleslens",
@@ -77,7 +79,7 @@ def materialize(df: DataFrame, name: str = "table", compression: str | None = No
     lives until ``release_scratch`` or the end of the enclosing ``scratch`` context.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"{_scope.get()}{name}-{uuid.uuid4().hex}")
     writer = df.write.mode("error")
     if compression:
         writer = writer.option("compression", compression)
@@ -85,21 +87,33 @@ def materialize(df: DataFrame, name: str = "table", compression: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete every table ``materialize`` has written in this session.
+def release_scratch(spark: SparkSession, scope: str = "") -> None:
+    """Delete every table ``materialize`` has written in this session, or in one scope.
 
     Frames that still read them fail afterwards, so call it once their results are stored.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, scope))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession):
-    """``with scratch(spark): df = query(..); df.write...`` removes the intermediates at the end."""
+def scratch_scope(name: str):
+    """Within it ``materialize`` writes to a folder of its own, for ``release_scratch``."""
+    scope = f"{_scope.get()}{name}-{uuid.uuid4().hex}/"
+    token = _scope.set(scope)
     try:
-        yield spark
+        yield scope
     finally:
-        release_scratch(spark)
+        _scope.reset(token)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """``with scratch(spark): query(..).write...`` removes the intermediates at the end."""
+    with scratch_scope("run") as scope:
+        try:
+            yield spark
+        finally:
+            release_scratch(spark, scope)
