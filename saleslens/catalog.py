@@ -14,11 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslens.functions.dates import calendar_covering
+from saleslens.functions.dates import calendar_covering, coerce_dates
 from saleslens.functions.expr import as_double, as_long
-from saleslens.operators.cleaning import assign_ids, price_sales
+from saleslens.operators.cleaning import assign_ids, clean_products, price_sales
 from saleslens.operators.quality import (
-    check_domain, check_foreign_key, check_not_null, check_primary_key, row_counts,
+    check_domain, check_foreign_key, check_not_null, check_primary_key, fill_defaults, row_counts,
 )
 from saleslens.operators.windows import global_ntile, global_rank
 from saleslens.plans import customers as C
@@ -26,8 +26,7 @@ from saleslens.plans import kpi as K
 from saleslens.plans import products as P
 from saleslens.plans import revenue as R
 from saleslens.plans import timeseries as T
-from saleslens.schemas import TABLE_RULES
-from saleslens.sources.adapter import products_from_tpch, read_parquet_table, star_from_tpch
+from saleslens.sources.adapter import read_parquet_table, star_from_tpch
 
 # Parameters of the registered queries on the test tables (order dates 1995-01..2001-08).
 YOY_BASE, YOY_CURRENT = 1999, 2000
@@ -35,7 +34,6 @@ KPI_YEAR = 2000
 RFM_AS_OF = dt.date(2001, 12, 31)
 UNSOLD_PERIOD = (dt.date(1997, 12, 1), dt.date(1998, 1, 1))
 DRILL_PRODUCT = 42
-FK_PARENT_MAX_SIZE = 25
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,24 +71,56 @@ def _check_pk(spark, d):
 
 
 def _check_fk(spark, d):
-    parent = products_from_tpch(read_parquet_table(spark, d, "part")
-                                .where(F.col("p_size") <= FK_PARENT_MAX_SIZE))
-    out = check_foreign_key(_star(spark, d).sales, parent, ["product_id"])
-    return _longs(out, ["product_id"])
+    """Documents without a label: the tables' natural orphans."""
+    docs, labels = (read_parquet_table(spark, d, t).select("doc_id") for t in ("documents", "labels"))
+    return check_foreign_key(docs, labels, ["doc_id"])
+
+
+def _labelled(spark, d):
+    """Documents with their labels, where they have any."""
+    docs, labels = (read_parquet_table(spark, d, t) for t in ("documents", "labels"))
+    return docs.select("doc_id", "lang", "source").join(labels, "doc_id", "left")
 
 
 def _check_not_null(spark, d):
-    return check_not_null(_star(spark, d).sales, TABLE_RULES["sales"]["not_null"])
+    return check_not_null(_labelled(spark, d), ["doc_id", "lang", "source", "quality", "toxic"])
 
 
 def _check_domain(spark, d):
-    rules = TABLE_RULES["products"]
-    return check_domain(_star(spark, d).products, rules["max_length"], rules["decimal"])
+    """Raw columns against narrower limits than they keep."""
+    texts = check_domain(read_parquet_table(spark, d, "documents"), {"text": 2000, "source": 150})
+    prices = check_domain(read_parquet_table(spark, d, "part"), {"p_name": 300}, {"p_retailprice": (5, 2)})
+    return texts.unionByName(prices)
 
 
-def _price_sales(spark, d):
-    s = _star(spark, d)
-    out = price_sales(s.sales, s.products)
+def _fill_defaults(spark, d):
+    return fill_defaults(_labelled(spark, d).select("doc_id", "quality", "toxic"), {"quality": -1, "toxic": 0}).select(
+        "doc_id", as_long("quality").alias("quality"), as_long("toxic").alias("toxic"))
+
+
+def _clean_products(spark, d):
+    """Product records made of parts: padded names, several brands, energy as text."""
+    part = read_parquet_table(spark, d, "part")
+    raw = part.select(
+        "p_partkey", F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("product_name"),
+        F.when(F.col("p_size") % 5 == 0, None).when(F.col("p_size") % 5 == 1, F.lit(" "))
+        .otherwise(F.concat("p_brand", F.lit(" , "), "p_type")).alias("brands"),
+        F.when(F.col("p_size") % 3 == 0, F.lit("n/a")).otherwise((F.col("p_size") % 7).cast("string")).alias("energy_kcal"))
+    return clean_products(raw).select("p_partkey", "product_name", "brand",
+                                      as_double("calories_per_100g").alias("calories_per_100g"))
+
+
+def _coerce_dates(spark, d):
+    """Order dates as text, and other text that is no date."""
+    orders = read_parquet_table(spark, d, "orders")
+    text = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+                         F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority"))
+                         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("mixed"))
+    return coerce_dates(text, ["order_date", "mixed"])
+
+
+def _priced(spark, d, products):
+    out = price_sales(_star(spark, d).sales, products)
     return out.select(as_long("sale_id").alias("sale_id"), as_long("product_id").alias("product_id"),
                       as_long("quantity").alias("quantity"), as_double("unit_price").alias("unit_price"),
                       as_double("discount_pct").alias("discount_pct"),
@@ -98,6 +128,15 @@ def _price_sales(spark, d):
                       as_double("total_amount").alias("total_amount"))
 
 
+def _price_sales(spark, d):
+    return _priced(spark, d, _star(spark, d).products)
+
+
+def _price_sales_unknown(spark, d):
+    """Lines whose product is not organic find no price and stay, unpriced."""
+    return _priced(spark, d, _star(spark, d).products.where("is_organic"))
+
+
 def _global_ntile(spark, d):
     o = read_parquet_table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return global_ntile(o, 100, "o_totalprice", ascending=False, tie_break="o_orderkey",
@@ -112,8 +151,12 @@ def _global_rank(spark, d):
 
 def _assign_ids(spark, d):
     c = read_parquet_table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return assign_ids(c, ["c_acctbal", "c_custkey"], id_col="new_id", cap=None).select(
-        "c_custkey", "new_id")
+    return assign_ids(c, ["c_acctbal", "c_custkey"], id_col="new_id").select("c_custkey", "new_id")
+
+
+def _assign_ids_by_text(spark, d):
+    p = read_parquet_table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
+    return assign_ids(p, ["p_brand", "p_name", "p_partkey"], id_col="new_id").select("p_partkey", "new_id")
 
 
 def _sales_in_year(spark, d):
@@ -124,10 +167,6 @@ def _sales_in_year(spark, d):
                     as_double("total_amount").alias("total_amount"))
 
 
-def _q(fn) -> Query:
-    return fn
-
-
 QUERIES: dict[str, Query] = {
     # Reference queries (G-01 .. G-15)
     "revenue_by_year": lambda sp, d: R.revenue_by_year(_star(sp, d).sales),
@@ -142,8 +181,9 @@ QUERIES: dict[str, Query] = {
         _star(sp, d).sales, _star(sp, d).calendar, YOY_BASE, YOY_CURRENT),
     "rank_in_category": lambda sp, d: P.rank_in_category(_star(sp, d).sales, _star(sp, d).products),
     "organic_split": lambda sp, d: P.organic_split(_star(sp, d).products, _star(sp, d).sales),
-    "unsold_products": lambda sp, d: P.unsold_products(_star(sp, d).products, _star(sp, d).sales,
-                                                       *UNSOLD_PERIOD),
+    "unsold_products": lambda sp, d: P.unsold_products(_star(sp, d).products, _star(sp, d).sales),
+    "unsold_products_in_period": lambda sp, d: P.unsold_products(
+        _star(sp, d).products, _star(sp, d).sales, *UNSOLD_PERIOD),
     "rfm_scores": lambda sp, d: C.rfm_scores(_star(sp, d).sales, _star(sp, d).customers, RFM_AS_OF),
     "rfm_scores_best_high": lambda sp, d: C.rfm_scores(_star(sp, d).sales, _star(sp, d).customers,
                                                        RFM_AS_OF, orientation="best_high"),
@@ -163,7 +203,12 @@ QUERIES: dict[str, Query] = {
     "check_not_null": _check_not_null,
     "check_domain": _check_domain,
     "price_sales": _price_sales,
+    "price_sales_unknown_product": _price_sales_unknown,
     "assign_ids": _assign_ids,
+    "assign_ids_by_text": _assign_ids_by_text,
+    "clean_products": _clean_products,
+    "coerce_dates": _coerce_dates,
+    "fill_defaults": _fill_defaults,
     # Distributed windows (F-10, F-11)
     "global_ntile": _global_ntile,
     "global_rank": _global_rank,
@@ -187,6 +232,12 @@ QUERIES: dict[str, Query] = {
                                                                _star(sp, d).products),
     "top_customers_per_product": lambda sp, d: C.top_customers_per_product(
         _star(sp, d).sales, _star(sp, d).customers, 5),
+    "product_monthly_trend": lambda sp, d: T.monthly_trend(
+        _star(sp, d).sales.where(F.col("product_id") == DRILL_PRODUCT), _star(sp, d).calendar, YOY_BASE, YOY_CURRENT),
+    "top_customers_in_year": lambda sp, d: C.top_customers(
+        K.filter_year(_star(sp, d).sales, KPI_YEAR), _star(sp, d).customers, 10),
+    "product_vs_category_in_year": lambda sp, d: P.product_vs_category(
+        K.filter_year(_star(sp, d).sales, KPI_YEAR), _star(sp, d).products),
     "order_details": lambda sp, d: P.order_details(_star(sp, d).sales, _star(sp, d).products,
                                                    _star(sp, d).customers, DRILL_PRODUCT),
 }

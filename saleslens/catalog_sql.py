@@ -39,7 +39,9 @@ WITH sales AS (
          quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
          weekofyear(d) AS week, isodow(d) AS day_of_week
   FROM (SELECT CAST(range AS DATE) AS d
-        FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY))
+        FROM (SELECT unnest(range(date_trunc('year', min(o_orderdate)),
+                                  date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR, INTERVAL 1 DAY)) AS range
+              FROM orders))
 )"""
 
 
@@ -93,6 +95,27 @@ FROM t ORDER BY rfm_score DESC, customer_id"""
 
 _KPI_WHERE = "FROM sales WHERE year(sale_date) = 2000"
 
+def _unsold(sales: str) -> str:
+    return STAR + f"""
+SELECT CAST(p.product_id AS BIGINT) AS product_id, p.product_name, p.brand, p.category,
+       CAST(p.unit_price AS DOUBLE) AS unit_price, p.launch_date
+FROM products p LEFT JOIN {sales} s ON p.product_id = s.product_id
+WHERE s.sale_id IS NULL ORDER BY p.category, p.product_name"""
+
+
+def _priced(products: str) -> str:
+    return STAR + f""", j AS (
+  SELECT s.sale_id, s.product_id, s.quantity, p.unit_price AS price,
+         COALESCE(s.discount_pct, 0) AS pct, s.discount_pct
+  FROM sales s LEFT JOIN {products} p ON s.product_id = p.product_id)
+SELECT CAST(sale_id AS BIGINT) AS sale_id, CAST(product_id AS BIGINT) AS product_id,
+       CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS unit_price,
+       CAST(discount_pct AS DOUBLE) AS discount_pct,
+       CAST(ROUND(price * quantity * pct * 0.01, 2) AS DOUBLE) AS discount_amount,
+       CAST(ROUND(price * quantity - ROUND(price * quantity * pct * 0.01, 2), 2) AS DOUBLE) AS total_amount
+FROM j"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "revenue_by_year": STAR + """
 SELECT CAST(year(sale_date) AS BIGINT) AS year, COUNT(sale_id) AS orders,
@@ -171,13 +194,9 @@ SELECT CASE WHEN p.is_organic THEN 'Organico' ELSE 'Convenzionale' END AS produc
 FROM products p LEFT JOIN sales s ON p.product_id = s.product_id
 GROUP BY p.is_organic ORDER BY revenue DESC""",
 
-    "unsold_products": STAR + """
-SELECT CAST(p.product_id AS BIGINT) AS product_id, p.product_name, p.brand, p.category,
-       CAST(p.unit_price AS DOUBLE) AS unit_price, p.launch_date
-FROM products p
-LEFT JOIN (SELECT * FROM sales WHERE sale_date >= DATE '1997-12-01' AND sale_date < DATE '1998-01-01') s
-       ON p.product_id = s.product_id
-WHERE s.sale_id IS NULL ORDER BY p.category, p.product_name""",
+    "unsold_products": _unsold("sales"),
+    "unsold_products_in_period": _unsold(
+        "(SELECT * FROM sales WHERE sale_date >= DATE '1997-12-01' AND sale_date < DATE '1998-01-01')"),
 
     "rfm_scores": _rfm_scores(flip=False),
     "rfm_scores_best_high": _rfm_scores(flip=True),
@@ -255,37 +274,43 @@ SELECT CAST(sale_id AS BIGINT) AS sale_id, COUNT(*) AS row_count,
        CASE WHEN sale_id IS NULL THEN 'null key' ELSE 'duplicate key' END AS problem
 FROM sales GROUP BY sale_id HAVING COUNT(*) > 1 OR sale_id IS NULL""",
 
-    "check_fk": STAR + """
-SELECT CAST(s.product_id AS BIGINT) AS product_id, COUNT(*) AS row_count
-FROM sales s
-WHERE s.product_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_size <= 25 AND p.p_partkey = s.product_id)
-GROUP BY s.product_id""",
+    "check_fk": """
+SELECT doc_id, COUNT(*) AS row_count FROM documents
+WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)
+GROUP BY doc_id""",
 
-    "check_not_null": STAR + " " + "\nUNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count "
-        f"FROM sales"
-        for c in ["sale_id", "product_id", "customer_id", "sale_date", "quantity", "unit_price",
-                  "total_amount"]),
+    "check_not_null": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+        f"FROM documents LEFT JOIN labels USING (doc_id)"
+        for c in ["doc_id", "lang", "source", "quality", "toxic"]),
 
-    "check_domain": STAR + " " + "\nUNION ALL ".join(
+    "check_domain": "\nUNION ALL ".join(
         [f"SELECT '{c}' AS column_name, 'max_length {n}' AS rule, "
-         f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM products"
-         for c, n in [("product_name", 300), ("brand", 150), ("category", 100)]]
-        + [f"SELECT '{c}', 'decimal({p},{s})', CAST(COUNT(*) FILTER (WHERE {c} IS NOT NULL AND "
-           f"TRY_CAST({c} AS DECIMAL({p},{s})) IS NULL) AS BIGINT) FROM products"
-           for c, p, s in [("calories_per_100g", 8, 2), ("unit_price", 10, 2)]]),
+         f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {t}"
+         for t, c, n in [("documents", "text", 2000), ("documents", "source", 150), ("part", "p_name", 300)]]
+        + ["SELECT 'p_retailprice', 'decimal(5,2)', COUNT(*) FILTER (WHERE p_retailprice IS NOT NULL AND "
+           "TRY_CAST(p_retailprice AS DECIMAL(5,2)) IS NULL) FROM part"]),
+
+    "clean_products": """
+SELECT p_partkey, trim(p_name) AS product_name,
+       CASE WHEN p_size % 5 IN (0, 1) THEN 'Unknown' ELSE trim(p_brand) END AS brand,
+       CASE WHEN p_size % 3 = 0 OR p_size % 7 = 0 THEN NULL ELSE CAST(p_size % 7 AS DOUBLE) END AS calories_per_100g
+FROM part WHERE length(trim(p_name)) >= 3""",
+
+    "coerce_dates": """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
+       CASE WHEN o_orderkey % 2 = 0 THEN TRY_CAST(o_orderpriority AS DATE) ELSE CAST(o_orderdate AS DATE) END AS mixed
+FROM orders""",
 
-    "price_sales": STAR + """, j AS (
-  SELECT s.sale_id, s.product_id, s.quantity, p.unit_price AS price,
-         COALESCE(s.discount_pct, 0) AS pct, s.discount_pct
-  FROM sales s JOIN products p ON s.product_id = p.product_id)
-SELECT CAST(sale_id AS BIGINT) AS sale_id, CAST(product_id AS BIGINT) AS product_id,
-       CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS unit_price,
-       CAST(discount_pct AS DOUBLE) AS discount_pct,
-       CAST(ROUND(price * quantity * pct * 0.01, 2) AS DOUBLE) AS discount_amount,
-       CAST(ROUND(price * quantity - ROUND(price * quantity * pct * 0.01, 2), 2) AS DOUBLE) AS total_amount
-FROM j""",
+    "fill_defaults": """
+SELECT doc_id, CAST(coalesce(quality, -1) AS BIGINT) AS quality, CAST(coalesce(toxic, 0) AS BIGINT) AS toxic
+FROM documents LEFT JOIN labels USING (doc_id)""",
+
+    "assign_ids_by_text": """
+SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_brand, p_name, p_partkey) AS new_id FROM part""",
+
+    "price_sales": _priced("products"),
+    "price_sales_unknown_product": _priced("(SELECT * FROM products WHERE is_organic)"),
 
     "assign_ids": """
 SELECT c_custkey, CAST(ROW_NUMBER() OVER (ORDER BY c_acctbal ASC, c_custkey ASC) AS BIGINT) AS new_id
@@ -423,3 +448,11 @@ FROM sales s JOIN products p ON s.product_id = p.product_id
 LEFT JOIN customers c ON s.customer_id = c.customer_id
 WHERE s.product_id = 42 ORDER BY s.sale_date, s.sale_id""",
 }
+
+# The same questions with a dashboard filter.
+ORACLE_SQL["product_monthly_trend"] = ORACLE_SQL["monthly_trend"].replace(
+    "WHERE c.year IN (1999, 2000)", "WHERE c.year IN (1999, 2000) AND s.product_id = 42")
+ORACLE_SQL["top_customers_in_year"] = ORACLE_SQL["top_customers"].replace(
+    "FROM sales GROUP BY", "FROM sales WHERE year(sale_date) = 2000 GROUP BY")
+ORACLE_SQL["product_vs_category_in_year"] = ORACLE_SQL["product_vs_category"].replace(
+    "ON s.product_id = p.product_id\n", "ON s.product_id = p.product_id WHERE year(s.sale_date) = 2000\n")

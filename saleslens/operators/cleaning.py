@@ -5,17 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.operators.windows import global_row_number
 
-# Cleaning limits and fallback brand.
+# Shortest name and fallback brand.
 MIN_NAME_LENGTH = 3
-NAME_MAX = 100
-BRAND_MAX = 50
 UNKNOWN_BRAND = "Unknown"
-PRODUCT_CAP = 300
 
 
 def strip_text(c: Column) -> Column:
@@ -27,9 +24,10 @@ def clean_products(raw: DataFrame) -> DataFrame:
     """B-01: raw product records -> (product_name, brand, calories_per_100g) + raw columns.
 
     Expected raw columns: ``product_name``, ``brands`` (comma separated), ``energy_kcal``
-    (text or number). Name: stripped, kept when at least 3 characters, cut to 100.
-    Brand: first comma-separated item, stripped, 'Unknown' when missing or empty, cut to
-    50. Calories: numeric, rounded to 1 decimal; 0 or missing -> NULL.
+    (text or number). Name: stripped, kept when at least 3 characters. Brand: first
+    comma-separated item, stripped, 'Unknown' when missing or empty. Both stay whole: text
+    over a table's limit is reported by ``check_domain``, never cut, so two long names
+    cannot merge. Calories: numeric, rounded to 1 decimal; 0 or missing -> NULL.
     """
     name = strip_text(F.coalesce(F.col("product_name"), F.lit("")))
     first_brand = strip_text(F.split(F.coalesce(F.col("brands"), F.lit(UNKNOWN_BRAND)), ",")
@@ -39,27 +37,17 @@ def clean_products(raw: DataFrame) -> DataFrame:
     calories = F.when(kcal != 0, F.round(kcal, 1)).cast("decimal(8,2)")
     return (raw.withColumn("_name", name)
                .where(F.length("_name") >= MIN_NAME_LENGTH)
-               .withColumn("product_name", F.substring("_name", 1, NAME_MAX))
-               .withColumn("brand", F.substring(brand, 1, BRAND_MAX))
+               .withColumn("product_name", F.col("_name"))
+               .withColumn("brand", brand)
                .withColumn("calories_per_100g", calories)
                .drop("_name"))
 
 
-def assign_ids(df: DataFrame, order: Sequence[str], id_col: str = "product_id", start: int = 1,
-               cap: int | None = PRODUCT_CAP) -> DataFrame:
-    """B-02: consecutive ids ``start, start+1, ..`` in a stable order; keep ``cap`` rows.
-
-    With a cap, a distributed top-k (each task keeps its first ``cap`` rows) bounds the
-    numbering window to ``cap`` rows. Without one, the first order column must be
-    numeric and the second a numeric tie-break; the distributed row number is used.
-    """
-    if cap is not None:
-        top = df.orderBy(*order).limit(cap)
-        rn = F.row_number().over(Window.orderBy(*order))
-        return top.withColumn(id_col, (rn + (start - 1)).cast("int"))
-    if len(order) != 2:
-        raise ValueError("uncapped ids need (numeric order column, numeric tie-break)")
-    out = global_row_number(df, order[0], True, order[1], name="_rn")
+def assign_ids(df: DataFrame, order: Sequence[str], id_col: str = "product_id", start: int = 1) -> DataFrame:
+    """B-02: consecutive ids ``start, start+1, ..`` in the order of the given columns (any
+    orderable types; together unique), numbered by the distributed row number."""
+    first, *rest = order
+    out = global_row_number(df, first, True, tie_break=rest or first, name="_rn")
     return out.withColumn(id_col, F.col("_rn") + (start - 1)).drop("_rn")
 
 
@@ -67,11 +55,11 @@ def price_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
     """B-03: price sale lines from the product list price.
 
     discount_amount = round(price * qty * pct / 100, 2), total = round(price * qty -
-    discount_amount, 2), exact decimals with HALF_UP rounding. The product side is
-    joined by key (broadcast only when the runtime size allows).
+    discount_amount, 2), exact decimals with HALF_UP rounding. A line whose product is
+    unknown stays, unpriced (NULL amounts), for the foreign-key check to report.
     """
     p = products.select("product_id", F.col("unit_price").alias("_list_price"))
-    j = sales.drop("unit_price", "discount_amount", "total_amount").join(p, "product_id")
+    j = sales.drop("unit_price", "discount_amount", "total_amount").join(p, "product_id", "left")
     gross = F.col("_list_price") * F.col("quantity")
     pct = F.coalesce(F.col("discount_pct"), F.lit(Decimal("0.00")))
     disc = F.round(gross * pct * F.lit(Decimal("0.01")), 2)

@@ -8,14 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                   broadcast: bool = False) -> DataFrame:
+BROADCAST_BYTES = 8 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its plan's size (known for written tables and day
+    ranges, else an upper estimate) is at most ``BROADCAST_BYTES``; else as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (GROUP BY semantics for NULL keys)."""
     renamed = right
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"_r_{k}")
-    if broadcast:
-        renamed = F.broadcast(renamed)
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
@@ -24,9 +31,9 @@ def by_calendar(sales: DataFrame, calendar: DataFrame, attrs: Sequence[str],
                 date_col: str = "sale_date") -> DataFrame:
     """Sales inner-joined to Calendar attributes on the sale date.
 
-    The Calendar has one row per day of a fixed span, so its size is bounded by the span
-    (not by the data) and it is always broadcast: the fact side is never shuffled for
-    this join. Sales dated outside the span are dropped, as an inner join does.
+    A Calendar of up to some centuries is broadcast (its plan's size is checked), so the
+    fact side is not shuffled. Sales dated outside its span are dropped, as an inner join
+    does; ``star_from_tpch`` spans all order dates.
     """
     cal = calendar.select(F.col("full_date").alias("_cal_date"), *attrs)
-    return sales.join(F.broadcast(cal), sales[date_col] == F.col("_cal_date")).drop("_cal_date")
+    return sales.join(small(cal), sales[date_col] == F.col("_cal_date")).drop("_cal_date")

@@ -1,28 +1,21 @@
 """Window operators that stay distributed at any data size.
 
 ``rank() OVER (ORDER BY x)`` or ``ntile(k) OVER (ORDER BY x)`` without a PARTITION BY
-makes Spark move every row into one task. The functions here give the same numbers
-with the work spread over many tasks:
-
-1. Cut points: one global ``percentile_approx`` of the sort key (a partial aggregate per
-   task; the result is a single array of ``buckets - 1`` values, evaluated once as a
-   scalar subquery and used as a constant).
-2. Bucket of each row: a branch-free binary search over the cut points. The bucket id is
-   ``#cuts < key + #cuts <= key``, so every value equal to a cut point gets a bucket of
-   its own and equal keys never straddle buckets. A heavy value (one key holding a third
-   of all rows) therefore lands in a single-valued bucket.
-3. Bucket sizes (at most ``2 * buckets`` rows per partition key) give each bucket its
-   offset through a small running sum.
-4. Rank inside a bucket: ``offset + rank()`` over the bucket. Single-valued buckets need
-   no sort at all (every row ties), so the heavy value is never gathered. For row
-   numbers, single-valued buckets are split further by the tie-break column through a
-   second set of cut points.
-
-The bucketized rows are written once under the shared checkpoint folder
-(``session.materialize``): the bucket counts and the windowed pass read that table, so
-the rows are bucketized once and the optimizer never re-traces the search expressions.
-
-Exact results: the cut points only decide the work split; ranks and tiles are exact.
+makes Spark move every row into one task. The functions here give the same numbers with
+the work spread over many tasks:
+
+* Row numbers and tiles: the rows are range-partitioned by (partition keys, order key,
+  tie-break), sorted inside each task and written once with their task's number and their
+  place in it. The rows per task (one row per task and partition key) give every task its
+  offset; a row's number is offset plus place. Range bounds are composite, so a value
+  that a third of all rows share is split by the tie-break.
+* Ranks: a value's rank is one more than the rows of smaller values. Rows are counted per
+  value (combined map-side, so a heavy value costs one row per task), the distinct values
+  are range-partitioned and their counts added up the same way, and the ranks are joined
+  back (adaptive execution splits a heavy value, both sides being plain exchanges).
+
+Spark orders the keys itself, so any orderable type works: NaN, BIGINT of any size,
+DECIMAL, text, dates. Tasks hold about ``ROWS_A_TASK`` rows whatever the data size.
 """
 
 from __future__ import annotations
@@ -32,154 +25,76 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from saleslens.operators.joins import join_null_safe
 from saleslens.session import materialize
 
-DEFAULT_BUCKETS = 256
-
-_K, _B, _S, _SINGLE, _N, _OFF, _TOT = "_wk", "_wb", "_ws", "_wsingle", "_wn", "_woff", "_wtot"
-
+ROWS_A_TASK = 4_000_000
 
-def _ordering_key(df: DataFrame, order_col, ascending: bool, dtype=None) -> Column:
-    """A numeric key whose ascending order is the requested order of ``order_col``."""
-    c = F.col(order_col) if isinstance(order_col, str) else order_col
-    if dtype is None:
-        dtype = df.select(c).schema.fields[0].dataType
-    if isinstance(dtype, T.DateType):
-        c = F.unix_date(c).cast("bigint")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
-        c = c.cast("bigint")
-    elif isinstance(dtype, T.BooleanType):
-        c = c.cast("int")
-    elif not isinstance(dtype, T.NumericType):
-        raise TypeError(f"distributed ordering needs a numeric or date key, got {dtype}")
-    return c if ascending else -c
+_TASK, _AT, _FIRST, _N, _OFF, _TOT = "_wtask", "_wat", "_wfirst", "_wn", "_woff", "_wtot"
+_PLACE_BITS = 33  # of monotonically_increasing_id
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
-    """One scalar subquery: a struct with the ``buckets - 1`` quantile cut points of each
-    key column (one partial aggregate per task, merged once). The fractions are one SQL
-    array literal (a single expression, not one literal per element)."""
-    fractions = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    accuracy = max(10000, 16 * buckets)
-    fields = ", ".join(f"'{k}', percentile_approx({k}, array({fractions}), {accuracy})" for k in keys)
-    return df.select(F.expr(f"named_struct({fields})")).scalar()
+def _tasks(df: DataFrame, rows: int, rows_a_task: int) -> int:
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, math.ceil(rows / rows_a_task), min(least, rows // 10_000))
 
 
-def _with_search(df: DataFrame, searches: list[tuple[str, str, int, str, bool]],
-                 extra: Sequence[str] = ()) -> DataFrame:
-    """Add ``out`` = number of cut points (array column ``cuts``, ascending, length n)
-    below ``value`` (or equal to it when inclusive) for every search: a branch-free
-    binary search, O(log n) code-generated comparisons per row. Each probe step is one
-    projection over the previous one; the result is written out by the caller
-    (``materialize``) before any join, so no optimizer rule has to trace the chain."""
-    d = df
-    for value, cuts, n, out, inclusive in searches:
-        d = d.withColumn(out, F.lit(0))
-        step = 1 << (n.bit_length() - 1) if n > 0 else 0
-        while step >= 1:
-            cand = F.col(out) + F.lit(step)
-            probe = F.try_element_at(F.col(cuts), cand)
-            hit = (probe <= F.col(value)) if inclusive else (probe < F.col(value))
-            d = d.withColumn(out, F.when(hit, cand).otherwise(F.col(out)))
-            step //= 2
-    if extra:
-        d = d.selectExpr("*", *extra)
-    return d
+def _direction(col: str, ascending: bool) -> Column:
+    return F.col(col).asc() if ascending else F.col(col).desc()
 
 
-def _bucketize(df: DataFrame, order_col, ascending: bool, buckets: int,
-               tie_break: str | None = None) -> DataFrame:
-    d = df.withColumn(_K, _ordering_key(df, order_col, ascending))
-    keys = [_K]
-    if tie_break is not None:
-        d = d.withColumn("_wt", _ordering_key(d, tie_break, True))
-        keys.append("_wt")
-    n_cuts = buckets - 1
-    d = d.withColumn("_wcuts", _cut_points(d, keys, buckets))
-    searches = [(_K, f"_wcuts.{_K}", n_cuts, "_wlt", False),
-                (_K, f"_wcuts.{_K}", n_cuts, "_wle", True)]
-    if tie_break is not None:
-        searches.append(("_wt", "_wcuts._wt", n_cuts, "_wts", False))
-    d = _with_search(d, searches).drop("_wcuts")
-    # Nulls sort first ascending and last descending (Spark and T-SQL defaults).
-    null_bucket = F.lit(-1) if ascending else F.lit(2 * n_cuts + 1)
-    d = (d.withColumn(_B, F.when(F.col(_K).isNull(), null_bucket)
-                      .otherwise(F.col("_wlt") + F.col("_wle")))
-          .withColumn(_SINGLE, F.col(_K).isNull() | (F.col("_wle") > F.col("_wlt"))))
-    if tie_break is not None:
-        # Rows of a single-valued bucket are ordered by the tie-break only: split them
-        # further by the tie-break cut points.
-        d = d.withColumn(_S, F.when(F.col(_SINGLE), F.col("_wts")).otherwise(F.lit(0))).drop("_wts")
-    # The bucketized rows are read by the bucket counts and by the windowed pass:
-    # write them once (shared checkpoint folder) instead of computing them twice.
-    return materialize(d.drop("_wlt", "_wle"), "buckets")
+def _offsets(cells: DataFrame, parts: list[str]) -> DataFrame:
+    """(parts, task) -> rows (or counts) of earlier tasks and of all, from one row per task
+    and partition key."""
+    whole = Window.partitionBy(*parts)
+    before = whole.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0))).withColumn(
+        _TOT, F.sum(_N).over(whole))
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (partition keys may be NULL)."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
-                             for c in right.columns])
-    if broadcast:
-        renamed = F.broadcast(renamed)
-    cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
-
-
-def global_rank(df: DataFrame, order_col, ascending: bool = True, partition_by: Sequence[str] = (),
-                name: str = "rank", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``rank() OVER (PARTITION BY partition_by ORDER BY order_col)``, distributed."""
-    parts = list(partition_by)
-    source_cols = df.columns
-    d = _bucketize(df, order_col, ascending, buckets)
-    counts = d.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*parts, _B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    # Without partition keys the offset table has at most 2 * buckets rows.
-    joined = _join_on(d, offsets, parts + [_B], broadcast=not parts)
-    # Every row of a single-valued bucket ties, so its local rank is 1 however the bucket
-    # is split: spread such buckets over ``buckets`` window partitions (deterministic
-    # hash of the row and its input partition) so a heavy value is never gathered.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in source_cols], F.spark_partition_id()),
-                    F.lit(buckets))
-    salted = joined.withColumn("_wsalt", F.when(F.col(_SINGLE), spread).otherwise(F.lit(0)))
-    local = F.rank().over(Window.partitionBy(*parts, _B, "_wsalt").orderBy(_K))
-    return (salted.withColumn(name, (F.col(_OFF) + local).cast("bigint"))
-                  .drop(_K, _B, _SINGLE, _OFF, "_wsalt"))
-
-
-def _numbered(df: DataFrame, order_col, ascending: bool, tie_break: str | None,
-              partition_by: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
+def _numbered(df: DataFrame, order_col: str, ascending: bool, tie_break: str | Sequence[str],
+              partition_by: Sequence[str], rows_a_task: int) -> DataFrame:
     """Rows with ``_wrn`` (row number) and ``_wtot`` (rows in the partition)."""
     parts = list(partition_by)
-    d = _bucketize(df, order_col, ascending, buckets, tie_break)
-    keys = parts + [_B]
-    order = [F.col(_K)]
-    if tie_break is not None:
-        keys.append(_S)
-        order.append(F.col("_wt"))
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    w_all = Window.partitionBy(*parts)
-    before = w_all.orderBy(*keys[len(parts):]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF),
-                            F.sum(_N).over(w_all).alias(_TOT))
-    joined = _join_on(d, offsets, keys, broadcast=False)
-    rn = F.col(_OFF) + F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    out = joined.withColumn("_wrn", rn.cast("bigint"))
-    return out.drop(_K, _B, _S, _SINGLE, _OFF, "_wt"), keys
-
-
-def global_row_number(df: DataFrame, order_col, ascending: bool = True, tie_break: str | None = None,
+    ties = [tie_break] if isinstance(tie_break, str) else list(tie_break)
+    order = [*[F.col(c).asc() for c in parts], _direction(order_col, ascending), *[F.col(c).asc() for c in ties]]
+    placed = materialize(
+        df.repartitionByRange(_tasks(df, df.count(), rows_a_task), *order).sortWithinPartitions(*order)
+        .withColumn(_AT, F.monotonically_increasing_id())
+        .withColumn(_TASK, F.shiftright(_AT, _PLACE_BITS).cast("int"))
+        .withColumn(_AT, F.col(_AT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))), "ordered")
+    cells = placed.groupBy(*parts, _TASK).agg(F.count(F.lit(1)).alias(_N), F.min(_AT).alias(_FIRST))
+    joined = join_null_safe(placed, _offsets(cells, parts).drop(_N), [*parts, _TASK])
+    return joined.withColumn("_wrn", F.col(_OFF) + F.col(_AT) - F.col(_FIRST) + 1).drop(_AT, _TASK, _FIRST, _OFF)
+
+
+def global_row_number(df: DataFrame, order_col: str, ascending: bool = True, *, tie_break: str | Sequence[str],
                       partition_by: Sequence[str] = (), name: str = "row_number",
-                      buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """``row_number() OVER (PARTITION BY .. ORDER BY order_col, tie_break)``, distributed."""
-    out, _ = _numbered(df, order_col, ascending, tie_break, partition_by, buckets)
+    out = _numbered(df, order_col, ascending, tie_break, partition_by, rows_a_task)
     return out.withColumnRenamed("_wrn", name).drop(_TOT)
 
 
+def global_rank(df: DataFrame, order_col: str, ascending: bool = True, partition_by: Sequence[str] = (),
+                name: str = "rank", rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """``rank() OVER (PARTITION BY partition_by ORDER BY order_col)``, distributed."""
+    parts = list(partition_by)
+    keys = [*parts, order_col]
+    values = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wc")), "values")
+    order = [*[F.col(c).asc() for c in parts], _direction(order_col, ascending)]
+    placed = materialize(values.repartitionByRange(_tasks(df, values.count(), rows_a_task), *order)
+                         .withColumn(_TASK, F.spark_partition_id()), "ordered")
+    earlier = (Window.partitionBy(*parts, _TASK).orderBy(_direction(order_col, ascending))
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = placed.withColumn("_wbefore", F.coalesce(F.sum("_wc").over(earlier), F.lit(0)))
+    cells = placed.groupBy(*parts, _TASK).agg(F.sum("_wc").alias(_N))
+    ranked = join_null_safe(local, _offsets(cells, parts).drop(_N, _TOT), [*parts, _TASK])
+    ranks = materialize(ranked.select(*keys, (F.col(_OFF) + F.col("_wbefore") + 1).cast("bigint").alias(name)), "ranks")
+    return join_null_safe(df, ranks, keys)
+
+
 def ntile_of(row_number: str, total: str, k: int) -> Column:
     """Tile of a 1-based row number among ``total`` rows: the first ``total mod k`` tiles
     get one extra row (SQL NTILE). Exact integer arithmetic."""
@@ -191,61 +106,29 @@ def ntile_of(row_number: str, total: str, k: int) -> Column:
         f"ELSE {rem} + ({row_number} - {big} - 1) div nullif({q}, 0) + 1 END AS BIGINT)")
 
 
-def global_ntile(df: DataFrame, k: int, order_col, ascending: bool = True,
-                 tie_break: str | None = None, partition_by: Sequence[str] = (),
-                 name: str = "ntile", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def global_ntile(df: DataFrame, k: int, order_col: str, ascending: bool = True, *, tie_break: str | Sequence[str],
+                 partition_by: Sequence[str] = (), name: str = "ntile",
+                 rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """``ntile(k) OVER (PARTITION BY .. ORDER BY order_col, tie_break)``, distributed."""
     if k < 1:
         raise ValueError("ntile needs k >= 1")
-    out, _ = _numbered(df, order_col, ascending, tie_break, partition_by, buckets)
+    out = _numbered(df, order_col, ascending, tie_break, partition_by, rows_a_task)
     return out.withColumn(name, ntile_of("_wrn", _TOT, k)).drop("_wrn", _TOT)
 
 
-def global_ntiles(df: DataFrame, k: int, specs: Sequence[tuple], tie_break: str,
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Several ``ntile(k) OVER (ORDER BY col, tie_break)`` columns at once.
+def global_ntiles(df: DataFrame, k: int, specs: Sequence[tuple], key: str,
+                  rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY col, key)`` columns at once; ``key`` is unique.
 
-    ``specs`` = [(order_col, ascending, name), ...]. The cut points of every ordering
-    (and of the tie-break) come from ONE aggregate, the bucket ids from ONE projection;
-    each ordering then adds its bounded offset table (broadcast) and one windowed pass.
+    ``specs`` = [(order_col, ascending, name), ...]. Each ordering moves only its column
+    and the key; the tiles are joined to the rows by key at the end. ``df`` is read once
+    per ordering, so pass a written table.
     """
-    n_cuts = buckets - 1
-    types = {f.name: f.dataType for f in df.schema.fields}
-    keys = [f"_wk{i}" for i in range(len(specs))]
-    d = df.select("*", *[_ordering_key(df, col, asc, types[col]).alias(key)
-                         for key, (col, asc, _) in zip(keys, specs)],
-                  _ordering_key(df, tie_break, True, types[tie_break]).alias("_wt"))
-    d = d.withColumn("_wcuts", _cut_points(d, keys + ["_wt"], buckets))
-    searches = [("_wt", "_wcuts._wt", n_cuts, "_wts", False)]
-    extra = []
-    for key, (_, asc, _) in zip(keys, specs):
-        null_bucket = -1 if asc else 2 * n_cuts + 1
-        searches += [(key, f"_wcuts.{key}", n_cuts, f"{key}lt", False),
-                     (key, f"_wcuts.{key}", n_cuts, f"{key}le", True)]
-        extra += [f"IF({key} IS NULL, {null_bucket}, {key}lt + {key}le) AS _wb{key}",
-                  f"IF({key} IS NULL OR {key}le > {key}lt, _wts, 0) AS _ws{key}"]
-    d = _with_search(d, searches, extra).drop(
-        "_wcuts", *[f"{key}{x}" for key in keys for x in ("lt", "le")])
-    # Read by every bucket count and windowed pass below: write the rows once.
-    d = materialize(d, "buckets")
-    temps = ["_wt", "_wts"] + keys
-    out = d
-    for key, (_, _, name) in zip(keys, specs):
-        b, sb = f"_wb{key}", f"_ws{key}"
-        before = Window.orderBy(b, sb).rowsBetween(Window.unboundedPreceding, -1)
-        # At most (2 * buckets + 1) * buckets rows whatever the data size.
-        offsets = (d.groupBy(b, sb).agg(F.count(F.lit(1)).alias(_N))
-                    .select(F.col(b).alias(f"_r_{b}"), F.col(sb).alias(f"_r_{sb}"),
-                            F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF),
-                            F.sum(_N).over(Window.partitionBy()).alias(_TOT)))
-        out = out.join(F.broadcast(offsets), [out[b].eqNullSafe(offsets[f"_r_{b}"]),
-                                              out[sb].eqNullSafe(offsets[f"_r_{sb}"])])
-        rn = F.col(_OFF) + F.row_number().over(
-            Window.partitionBy(b, sb).orderBy(F.col(key), F.col("_wt")))
-        cols = [c for c in out.columns if c not in (f"_r_{b}", f"_r_{sb}", _OFF, _TOT)]
-        out = out.select(*cols, rn.cast("bigint").alias("_wrn"), F.col(_TOT)).select(
-            *cols, ntile_of("_wrn", _TOT, k).alias(name))
-    return out.drop(*temps, *[f"_wb{key}" for key in keys], *[f"_ws{key}" for key in keys])
+    out = df
+    for col, ascending, name in specs:
+        tiles = global_ntile(df.select(key, col), k, col, ascending, tie_break=key, name=name, rows_a_task=rows_a_task)
+        out = out.join(tiles.select(key, name), key)
+    return out
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslens.functions.expr import as_double, as_long, days_between, round_half_up, safe_ratio
-from saleslens.operators.joins import join_null_safe
 from saleslens.operators.windows import global_ntiles, top_n_per_group
 from saleslens.session import materialize
 
@@ -69,11 +68,11 @@ def rfm_scored(sales: DataFrame, customers: DataFrame, as_of=RFM_AS_OF, tiles: i
     if orientation not in ("reference", "best_high"):
         raise ValueError("orientation must be 'reference' or 'best_high'")
     keys = list(group_cols)
-    # The base is read by the cut points, three bucket counts and the tiles: write it once.
+    # The base is read by three orderings and the final join: write it once.
     base = materialize(rfm_base(sales, customers, as_of, keys), "rfm_base")
     out = global_ntiles(base, tiles, [("recency_days", True, "r_score"),
                                       ("frequency", False, "f_score"),
-                                      ("monetary", False, "m_score")], tie_break="customer_id")
+                                      ("monetary", False, "m_score")], key="customer_id")
     if orientation == "best_high":
         for name in ("r_score", "f_score", "m_score"):
             out = out.withColumn(name, tiles + 1 - F.col(name))
@@ -137,16 +136,20 @@ def discount_impact(sales: DataFrame, customers: DataFrame, by: str = "region")
 
 
 def top_customers(sales: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
-    """M-09: the ``n`` customers with the highest revenue (ties by customer_id)."""
-    per = sales.groupBy("customer_id").agg(F.count("sale_id").alias("orders"),
-                                           F.sum("total_amount").alias("revenue"))
+    """M-09: the ``n`` customers with the highest revenue (ties by customer_id).
+
+    The ``n`` are taken before their attributes are looked up; a buyer that is no known
+    customer appears without attributes.
+    """
+    per = (sales.groupBy("customer_id").agg(F.count("sale_id").alias("orders"),
+                                            F.sum("total_amount").alias("revenue"))
+           .orderBy(F.desc("revenue"), "customer_id").limit(n))
     j = per.join(customers.select("customer_id", "customer_name", "customer_type", "region"),
-                 "customer_id")
+                 "customer_id", "left")
     return (j.select(as_long("customer_id").alias("customer_id"), "customer_name", "customer_type",
                      "region", as_long("orders").alias("orders"),
                      as_double("revenue").alias("revenue"))
-            .orderBy(F.desc("revenue"), "customer_id")
-            .limit(n))
+            .orderBy(F.desc("revenue"), "customer_id"))
 
 
 def top_customers_per_product(sales: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslens.functions.expr import as_double, as_long, in_period, safe_ratio
-from saleslens.operators.joins import join_null_safe
+from saleslens.operators.joins import join_null_safe, small
 from saleslens.operators.windows import global_rank, top_n_per_group
+from saleslens.session import materialize
 from saleslens.plans.revenue import product_totals
 
 # Labels of the organic flag (true, otherwise).
@@ -27,7 +28,7 @@ def rank_in_category(sales: DataFrame, products: DataFrame) -> DataFrame:
         "disc_sum": (F.sum("discount_pct"), "sum"),
         "disc_n": (F.count("discount_pct"), "sum"),
     })
-    ranked = global_rank(groups, "revenue", ascending=False, partition_by=["category"],
+    ranked = global_rank(materialize(groups, "groups"), "revenue", ascending=False, partition_by=["category"],
                          name="rank_in_category")
     return (ranked.select("category", "product_name", "brand", as_long("orders").alias("orders"),
                           as_double("revenue").alias("revenue"),
@@ -117,7 +118,8 @@ def product_vs_category(sales: DataFrame, products: DataFrame) -> DataFrame:
     pr = per.join(products.select("product_id", "product_name", "category"), "product_id")
     cat = pr.groupBy("category").agg(F.sum("revenue").alias("cat_sum"),
                                      F.count("revenue").alias("cat_n"))
-    out = join_null_safe(pr, cat, ["category"])
+    # A few large categories would be hot keys of a shuffle; one row each, written, is small.
+    out = join_null_safe(pr, small(materialize(cat, "categories")), ["category"])
     cat_avg = safe_ratio(as_double("cat_sum"), "cat_n")
     return (out.select(as_long("product_id").alias("product_id"), "product_name", "category",
                        as_double("revenue").alias("revenue"),

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslens.functions.expr import as_double, as_long, mean, round_half_up, safe_ratio
 from saleslens.operators.windows import global_rank
+from saleslens.session import materialize
 
 # Product names left out of the share ranking by default.
 DEFAULT_EXCLUDED_NAMES = ("?????",)
@@ -59,9 +60,12 @@ def rank_products(sales: DataFrame, products: DataFrame, top_n: int | None = Non
     ranked within the first ``top_n`` (ties at the border are all kept).
     """
     groups = product_totals(sales, products, ["product_name", "category", "brand"])
-    ranked = global_rank(groups, "revenue", ascending=False, name="rank")
-    if top_n is not None:
-        ranked = ranked.where(F.col("rank") <= top_n)
+    if top_n is None:
+        ranked = global_rank(materialize(groups, "groups"), "revenue", ascending=False, name="rank")
+    else:
+        # The filter becomes a rank limit: each task sends only its own first top_n.
+        first = F.rank().over(Window.orderBy(F.desc("revenue"))).cast("bigint")
+        ranked = groups.withColumn("rank", first).where(F.col("rank") <= top_n)
     return ranked.select("product_name", "category", "brand",
                          as_double("revenue").alias("revenue"), as_long("units").alias("units"),
                          "rank")

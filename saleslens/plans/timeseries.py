@@ -10,10 +10,12 @@ month: their single partition is bounded by the calendar span, not by the data.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.functions.expr import as_double, as_long, round_half_up, safe_ratio
+from saleslens.functions.expr import as_double, as_long, in_period, round_half_up, safe_ratio
 from saleslens.operators.joins import by_calendar
 
 
@@ -88,7 +90,10 @@ def revenue_moving_avg(sales: DataFrame, calendar: DataFrame, months: int = 3) -
 def monthly_trend(sales: DataFrame, calendar: DataFrame, base: int, current: int) -> DataFrame:
     """M-02: per month of the year, revenue of ``base`` vs ``current`` year."""
     years = calendar.where(F.col("year").isin(base, current))
-    m = (by_calendar(sales, years, ["year", "month", "month_name"])
+    # The bounds of both years reach the scan of the facts, not only the calendar.
+    low, high = min(base, current), max(base, current)
+    dated = sales.where(in_period("sale_date", dt.date(low, 1, 1), dt.date(high + 1, 1, 1)))
+    m = (by_calendar(dated, years, ["year", "month", "month_name"])
          .groupBy("year", "month", "month_name").agg(F.sum("total_amount").alias("revenue")))
     return (_two_year_pivot(m, ["month", "month_name"], base, current)
             .withColumn("month", as_long("month"))
@@ -126,7 +131,7 @@ def category_year_matrix(sales: DataFrame, products: DataFrame, calendar: DataFr
              .groupBy("category", "year").agg(F.sum("revenue").alias("revenue")))
     # One row per calendar year: bounded by the calendar span.
     years = cells.groupBy("year").agg(F.sum("revenue").alias("year_revenue"))
-    out = cells.join(F.broadcast(years), "year")
+    out = cells.join(years, "year")
     pct = round_half_up(safe_ratio(as_double("revenue") * 100.0, as_double("year_revenue")), 2)
     return (out.select("category", as_long("year").alias("year"),
                        as_double("revenue").alias("revenue"), pct.alias("pct_of_year"))

@@ -8,7 +8,7 @@ range); Parquet enforces none of them, so ``operators.quality`` checks them expl
 from pyspark.sql import types as T
 
 PRODUCTS = T.StructType([
-    T.StructField("product_id", T.IntegerType(), False),
+    T.StructField("product_id", T.LongType(), False),
     T.StructField("product_name", T.StringType(), False),
     T.StructField("brand", T.StringType(), True),
     T.StructField("category", T.StringType(), True),
@@ -19,7 +19,7 @@ PRODUCTS = T.StructType([
 ])
 
 CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.IntegerType(), False),
+    T.StructField("customer_id", T.LongType(), False),
     T.StructField("customer_name", T.StringType(), False),
     T.StructField("customer_type", T.StringType(), True),
     T.StructField("region", T.StringType(), True),
@@ -30,8 +30,8 @@ CUSTOMERS = T.StructType([
 
 SALES = T.StructType([
     T.StructField("sale_id", T.LongType(), False),
-    T.StructField("product_id", T.IntegerType(), False),
-    T.StructField("customer_id", T.IntegerType(), False),
+    T.StructField("product_id", T.LongType(), False),
+    T.StructField("customer_id", T.LongType(), False),
     T.StructField("sale_date", T.DateType(), False),
     T.StructField("quantity", T.IntegerType(), False),
     T.StructField("unit_price", T.DecimalType(10, 2), False),

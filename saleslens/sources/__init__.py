@@ -1,6 +1,6 @@
 """Sources and sinks: the star adapter, CSV/JSON readers, table loads."""
 
 from saleslens.sources.adapter import (  # noqa: F401
-    TPCH_CALENDAR, Star, customers_from_tpch, products_from_tpch, read_parquet_table,
+    Star, customers_from_tpch, products_from_tpch, read_parquet_table,
     sales_from_tpch, star_from_tpch,
 )

@@ -8,6 +8,7 @@ read, so each query scans only what it uses.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -16,9 +17,6 @@ from pyspark.sql import functions as F
 
 from saleslens.functions.dates import build_calendar
 
-# Calendar span used for the test tables (order dates run 1995-01 .. 2001-08).
-TPCH_CALENDAR = ("1995-01-01", "2001-12-31")
-
 
 @dataclass(frozen=True)
 class Star:
@@ -98,9 +96,22 @@ def customers_from_tpch(customer: DataFrame, nation: DataFrame, region: DataFram
             ))
 
 
-def star_from_tpch(spark: SparkSession, sf_dir: str, calendar_range=TPCH_CALENDAR) -> Star:
+def order_years(orders: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last day of the years that the order dates span (two aggregates of one
+    pruned column; today's year without orders)."""
+    low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    today = dt.date.today()
+    return dt.date((low or today).year, 1, 1), dt.date((high or today).year, 12, 31)
+
+
+def star_from_tpch(spark: SparkSession, sf_dir: str, calendar_range=None) -> Star:
+    """The star over the tables of ``sf_dir``; its Calendar spans whole years of the order
+    dates unless ``calendar_range`` (first, last day) is given."""
+
     def t(name):
         return read_parquet_table(spark, sf_dir, name)
+    if calendar_range is None:
+        calendar_range = order_years(t("orders"))
     return Star(
         sales=sales_from_tpch(t("lineitem"), t("orders")),
         products=products_from_tpch(t("part")),

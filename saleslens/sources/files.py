@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 CORRUPT_COL = "_corrupt_record"
 
 # Raw product page as landed from the product API: a page number and an array of
-# products; the energy value may arrive as number or text, so it is read as text.
+# products; page number and energy may arrive as number or text, so they are read as text.
 PRODUCT_PAGE_SCHEMA = T.StructType([
-    T.StructField("page", T.LongType(), True),
+    T.StructField("page", T.StringType(), True),
     T.StructField("products", T.ArrayType(T.StructType([
         T.StructField("product_name", T.StringType(), True),
         T.StructField("brands", T.StringType(), True),
@@ -50,22 +50,27 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
+def _landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read
+            .option("multiLine", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .schema(PRODUCT_PAGE_SCHEMA)
+            .json(path)
+            .withColumn("source", F.col("_metadata.file_path")))
+
+
 def read_product_pages(spark: SparkSession, path: str) -> DataFrame:
     """A-02: landed JSON pages ``{"page": n, "products": [...]}`` -> one row per product.
 
     Columns: page, source (file), position (index in the page), product_name, brands,
-    categories, energy_kcal. A page without a products array yields no rows; a page
-    that is not valid JSON is skipped (its other pages are kept).
+    categories, energy_kcal. A field of another type becomes NULL and costs only itself (a
+    page number as text is read, one that is no number is NULL). A page without a products
+    array yields no rows; pages without usable JSON are in ``rejected_pages``.
     """
-    pages = (spark.read
-             .option("multiLine", True)
-             .option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", CORRUPT_COL)
-             .schema(PRODUCT_PAGE_SCHEMA)
-             .json(path)
-             .withColumn("source", F.col("_metadata.file_path")))
-    return (pages.where(F.col(CORRUPT_COL).isNull())
-            .select("page", "source", F.posexplode("products").alias("position", "p"))
+    return (_landed_pages(spark, path)
+            .select(F.col("page").try_cast("bigint").alias("page"), "source",
+                    F.posexplode("products").alias("position", "p"))
             .select("page", "source", "position",
                     F.col("p.product_name").alias("product_name"),
                     F.col("p.brands").alias("brands"),
@@ -73,6 +78,12 @@ def read_product_pages(spark: SparkSession, path: str) -> DataFrame:
                     F.col("p.nutriments").getField("energy-kcal_100g").alias("energy_kcal")))
 
 
+def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(source, raw text) of landed pages that give no products because they are not JSON."""
+    return (_landed_pages(spark, path).where(F.col(CORRUPT_COL).isNotNull() & F.col("products").isNull())
+            .select("source", F.col(CORRUPT_COL).alias("raw")))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """B-14: header CSV export, replacing what is at ``path`` (a folder of part files)."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -1,3 +1,3 @@
-"""Incremental form of the table load: newly landed files appended as they arrive."""
+"""Incremental form of the CSV load: newly landed files appended as they arrive."""
 
 from saleslens.streaming.ingest import stream_load_csv  # noqa: F401

@@ -1,40 +1,31 @@
-"""Incremental load of landed CSV files into a Parquet table (streaming form of B-06).
+"""Incremental load of landed CSV files into a Parquet folder (streaming form of A-01).
 
-The batch load appends a whole file; when sale files keep landing in a folder, the same
-load runs as a Structured Streaming query: the file source picks up only new files, each
-micro-batch is cast to the table schema and appended with the key-conflict policy of
-``load_table``, and the checkpoint (under the shared ``spark.checkpoint.dir``) records
-which files are done, so a restarted or failed run neither skips nor repeats a file.
+The file source picks up only new files; Spark's own file sink and the checkpoint make
+each file count exactly once, also over restarts and failures. Keys are not checked here:
+the landed folder is the input of ``load_table``, which does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from saleslens.session import scratch_path
-from saleslens.sources.tables import load_table
-
+from saleslens.sources.files import CORRUPT_COL
 
-def stream_load_csv(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
-                    key: Sequence[str] | None = None, checkpoint: str | None = None,
-                    available_now: bool = True, max_files_per_trigger: int | None = None
-                    ) -> StreamingQuery:
-    """Start the incremental load; with ``available_now`` it processes every file
-    present and stops (a scheduled catch-up run), otherwise it keeps running."""
-    reader = (spark.readStream.option("header", True).option("mode", "PERMISSIVE")
-              .schema(schema))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
-    ckpt = checkpoint or scratch_path(spark, f"saleslens-stream/{target.strip('/').replace('/', '_')}")
 
-    def append(batch, _epoch_id):
-        load_table(batch, target, schema, key=key, on_conflict="skip" if key else "error")
+def stream_load_csv(spark: SparkSession, source_dir: str, schema: T.StructType, target_dir: str,
+                    checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Start the incremental load; with ``available_now`` it processes every file present
+    and stops, otherwise it keeps running.
 
-    writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    ``checkpoint`` is a shared folder of this load alone; a run that names it again goes on
+    where the last one ended. Lines that do not fit the schema keep their raw text in
+    ``_corrupt_record``.
+    """
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType())])
+    lines = (spark.readStream.option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT_COL).schema(full).csv(source_dir))
+    writer = (lines.writeStream.format("parquet").outputMode("append")
+              .option("path", target_dir).option("checkpointLocation", checkpoint))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

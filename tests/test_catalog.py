@@ -5,11 +5,14 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from saleslens.catalog import QUERIES
+from saleslens.catalog_sql import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
 
 
 @pytest.fixture(scope="module")
@@ -29,10 +32,10 @@ def _norm(rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql_twin(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -60,8 +63,19 @@ def test_plan_shapes(spark):
     assert "LeftAnti" in unsold
     kpi = q["kpi_summary"](spark, SF_SMALL)
     assert _plan(kpi).count("FileScan parquet") == 2   # one scan each of lineitem and orders
-    for name in ("rank_products", "global_rank", "rfm_scores"):
-        p = _plan(q[name](spark, SF_SMALL))
-        # The rank / row-number window runs per bucket (hash-partitioned on the bucket
-        # id); only the bounded cut-point and offset tables are single-partition.
-        assert "hashpartitioning(_wb" in p, name
+    trend = _plan(q["monthly_trend"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate" in trend and "LessThan(o_orderdate" in trend
+
+
+@pytest.mark.parametrize("name", ["rank_products", "rank_in_category", "global_rank", "global_ntile", "rfm_scores", "assign_ids"])
+def test_no_single_task_window_over_rows(spark, name):
+    """Rows are numbered inside range partitions; only one row per task meets in one place."""
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    for line in plan.splitlines():
+        assert "Window [rank(" not in line and "Window [row_number(" not in line
+
+
+@pytest.mark.parametrize("name", ["check_fk", "check_not_null", "check_domain"])
+def test_quality_entries_find_violations(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert df.where(F.col(df.columns[-1]) > 0).count() > 0

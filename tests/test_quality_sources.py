@@ -12,8 +12,8 @@ from saleslens.operators.quality import (
     check_domain, check_foreign_key, check_not_null, check_primary_key, fill_defaults, row_counts,
 )
 from saleslens.schemas import CUSTOMERS, PRODUCTS, SALES, TABLE_RULES
-from saleslens.sources.files import read_csv_table, read_product_pages, write_csv
-from saleslens.sources.tables import ensure_tables, load_table, read_table
+from saleslens.sources.files import read_csv_table, read_product_pages, rejected_pages, write_csv
+from saleslens.sources.tables import ensure_tables, key_conflicts, load_star, load_table, read_table
 from tests import fixtures as fx
 
 
@@ -50,12 +50,16 @@ def test_clean_products_and_ids(spark):
         ("No brand", None, None, 2, 0),
         ("L" * 120, "  Spaced  ", "12.25", 2, 1),
     ], "product_name string, brands string, energy_kcal string, page long, position long")
-    out = assign_ids(clean_products(raw), ["page", "position"], cap=3).orderBy("product_id").collect()
+    out = assign_ids(clean_products(raw), ["page", "position"]).orderBy("product_id").collect()
     assert [(r.product_id, r.product_name[:11], r.brand, r.calories_per_100g) for r in out] == [
         (1, "Padded name", "Brand A", D("235.00")),
         (2, "Empty brand", "Unknown", None),
         (3, "No brand", "Unknown", None),
+        (4, "L" * 11, "Spaced", D("12.30")),
     ]
+    assert len(out[3].product_name) == 120  # whole text
+    text_ids = assign_ids(raw.where("brands is not null"), ["brands", "product_name"], "n", start=10)
+    assert [r.n for r in text_ids.orderBy("brands", "product_name").collect()] == [10, 11, 12, 13]
 
 
 def test_price_sales_half_up(spark):
@@ -64,6 +68,8 @@ def test_price_sales_half_up(spark):
     r = price_sales(s, p).first()
     # 1.67 * 3 = 5.01; 15% = 0.7515 -> 0.75; total 4.26
     assert (r.unit_price, r.discount_amount, r.total_amount) == (D("1.67"), D("0.75"), D("4.26"))
+    unknown = price_sales(s, p.where("product_id = 99")).collect()
+    assert [(r.sale_id, r.unit_price, r.total_amount) for r in unknown] == [(1, None, None)]
 
 
 def test_csv_reader_bad_values(spark, tmp_dir):
@@ -86,6 +92,8 @@ def test_product_pages(spark, tmp_dir):
                                   "nutriments": {"energy-kcal_100g": 235}},
                                  {"product_name": "Milk"}]},
         {"page": 2},
+        {"page": "3", "products": [{"product_name": "Text page"}]},
+        {"page": "x", "products": [{"product_name": "No number"}]},
     ]
     for i, p in enumerate(pages):
         with open(os.path.join(tmp_dir, f"page{i}.json"), "w") as f:
@@ -94,17 +102,26 @@ def test_product_pages(spark, tmp_dir):
         f.write("{not json")
     rows = read_product_pages(spark, tmp_dir).orderBy("page", "position").collect()
     assert [(r.page, r.position, r.product_name, r.energy_kcal) for r in rows] == [
-        (1, 0, "Jben", "235"), (1, 1, "Milk", None)]
+        (None, 0, "No number", None), (1, 0, "Jben", "235"), (1, 1, "Milk", None), (3, 0, "Text page", None)]
+    rejects = rejected_pages(spark, tmp_dir).collect()
+    assert [(os.path.basename(r.source), r.raw.strip()) for r in rejects] == [("page9.json", "{not json")]
 
 
 def test_load_table_conflicts_and_csv_sink(spark, tmp_dir):
     target = os.path.join(tmp_dir, "products_tbl")
     p = fx.products(spark, [(1, "A", "B", "C", True, 1.0), (2, "B", "B", "C", False, 2.0)])
-    load_table(p, target, PRODUCTS, key=["product_id"])
+    assert load_table(p, target, PRODUCTS, key=["product_id"]) == 2
     with pytest.raises(ValueError):
         load_table(p, target, PRODUCTS, key=["product_id"])
     more = fx.products(spark, [(2, "B", "B", "C", False, 2.0), (3, "C", "B", "C", False, 3.0)])
-    load_table(more, target, PRODUCTS, key=["product_id"], on_conflict="skip")
+    nulls = more.withColumn("product_id", F.lit(None).cast("bigint"))
+    with pytest.raises(ValueError):
+        load_table(nulls, target, PRODUCTS, key=["product_id"])
+    problems = key_conflicts(more.unionByName(nulls).unionByName(more.where("product_id = 3")), ["product_id"], read_table(spark, target))
+    assert sorted((r.product_id or 0, r.problem) for r in problems.collect()) == [
+        (0, "null key"), (0, "null key"), (2, "key already present"), (3, "repeated key"), (3, "repeated key")]
+    assert load_table(more, target, PRODUCTS, key=["product_id"], on_conflict="skip") == 1
+    assert load_table(more, target, PRODUCTS, key=["product_id"], on_conflict="skip") == 0
     assert sorted(r.product_id for r in read_table(spark, target).collect()) == [1, 2, 3]
     out = os.path.join(tmp_dir, "csv_out")
     write_csv(read_table(spark, target), out)
@@ -120,22 +137,41 @@ def test_ensure_tables(spark, tmp_dir):
     assert spark.table("retail_t.products").first().is_organic is False
 
 
-def test_stream_load_csv(spark, tmp_dir):
+def test_stream_load_csv_counts_each_file_once(spark, tmp_dir):
     from saleslens.streaming import stream_load_csv
-    src = os.path.join(tmp_dir, "landing")
+    src, target, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "landed", "ckpt"))
     os.makedirs(src)
     header = ",".join(f.name for f in SALES.fields)
     with open(os.path.join(src, "a.csv"), "w") as f:
-        f.write(header + "\n1,1,1,2024-01-01,2,1.50,0,0,3.00\n2,1,1,2024-01-02,1,1.50,0,0,1.50\n")
-    target = os.path.join(tmp_dir, "sales_tbl")
-    ckpt = os.path.join(tmp_dir, "ckpt")
-    q = stream_load_csv(spark, src, SALES, target, key=["sale_id"], checkpoint=ckpt)
-    q.awaitTermination(120)
+        f.write(header + "\n1,1,1,2024-01-01,2,1.50,0,0,3.00\nx,1,1,2024-01-02,1,1.50,0,0,1.50\n")
+    for session in (spark, spark.newSession()):  # the second finds nothing new
+        stream_load_csv(session, src, SALES, target, ckpt).awaitTermination(120)
     with open(os.path.join(src, "b.csv"), "w") as f:
-        f.write(header + "\n2,1,1,2024-01-02,1,1.50,0,0,1.50\n3,1,1,2024-01-03,1,1.50,0,0,1.50\n")
-    q = stream_load_csv(spark, src, SALES, target, key=["sale_id"], checkpoint=ckpt)
-    q.awaitTermination(120)
-    assert sorted(r.sale_id for r in read_table(spark, target).collect()) == [1, 2, 3]
+        f.write(header + "\n3,1,1,2024-01-03,1,1.50,0,0,1.50\n")
+    stream_load_csv(spark.newSession(), src, SALES, target, ckpt).awaitTermination(120)
+    rows = spark.read.parquet(target).collect()
+    assert sorted((r.sale_id or 0, r._corrupt_record is not None) for r in rows) == [(0, True), (1, False), (3, False)]
+
+
+def test_load_star_parents_first(spark, tmp_dir):
+    products = fx.products(spark, [(1, "A", "B", "C", None, 1.0)])
+    customers = spark.createDataFrame([(7, "Shop")], "customer_id long, customer_name string")
+    sales = fx.sales(spark, [(1, 1, 7, "2024-01-01", 3, 0, 15, 0)]).withColumn("unit_price", F.lit(1))
+    targets = {n: os.path.join(tmp_dir, n) for n in ("products", "customers", "sales")}
+    tables = {"sales": sales, "customers": customers, "products": products}
+    assert list(load_star(tables, targets).items()) == [("products", 1), ("customers", 1), ("sales", 1)]
+    assert read_table(spark, targets["customers"]).first().is_active is True
+    for broken in (sales.withColumn("product_id", F.lit(2)), sales.withColumn("quantity", F.lit(None).cast("int"))):
+        with pytest.raises(ValueError):
+            load_star({"sales": broken.withColumn("sale_id", F.lit(9))}, targets)
+
+
+def test_csv_round_trip_of_a_whole_table(spark, tmp_dir):
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    out = os.path.join(tmp_dir, "part_csv")
+    write_csv(part, out)
+    back = read_csv_table(spark, out, part.schema, keep_corrupt=False)
+    assert back.count() == part.count() and back.exceptAll(part).isEmpty()
 
 
 def test_coerce_dates_bad_text_is_null(spark):
