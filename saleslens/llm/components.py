@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from saleslens.session import materialize
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+EDGES_A_TASK = 250_000
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Every node's larger neighbours are linked to the least of its neighbourhood."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks), "least")
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(
         F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Every node's smaller neighbours, and itself, are linked to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "least")
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), "least")
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
@@ -31,12 +34,16 @@ def components(edges: DataFrame) -> DataFrame:
     points to its component's least node; the number of rounds is logarithmic. Minima are
     combined map-side and the joins read written tables, so adaptive execution can split
     a node that has a third of all edges. Self-links and repeated edges are harmless.
+    ``edges`` should be a written table: it is counted to size the tasks.
     """
-    proper = edges.select("u", "v").where("u <> v").distinct()
-    current, before = materialize(proper, "edges"), None
+    tasks = 1 + edges.count() // EDGES_A_TASK
+
+    def stored(rows: DataFrame) -> DataFrame:
+        return materialize(rows.where("u <> v").distinct().coalesce(tasks), "edges")
+
+    current, before = stored(edges.select("u", "v")), None
     while True:
-        large = materialize(_large_star(current).where("u <> v").distinct(), "edges")
-        current = materialize(_small_star(large).where("u <> v").distinct(), "edges")
+        current = stored(_small_star(stored(_large_star(current, tasks)), tasks))
         state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

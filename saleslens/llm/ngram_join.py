@@ -7,37 +7,43 @@ fragments, and a pair is judged by its overlaps in the fragments:
   fragments at least one is the same in both. Sets of like size use the same cut (a set
   also takes part in the next smaller size class if a partner can be there), and equal
   fragments meet by their hash. No link is missed, and texts that merely share a common
-  passage do not meet, because a fragment holds n-grams from everywhere in a text.
+  passage do not meet, because a fragment holds n-grams from everywhere in a text. A cut
+  has ``e`` fragments to spare, so at least ``e + 1`` are the same, and empty ones need
+  to meet only for the rare sets that have more than ``e`` of them.
 * Counting. Overlaps of a candidate pair are counted per fragment and summed.
 
-Equal sets are one class from the start. Groups never expand into all pairs: a block of
+Equal sets are one class from the start. Fragments that no other class has, nearly all,
+shuffle once, as a hash and a class; a Bloom filter of the others, of bounded size, keeps
+them out of the later joins. Groups never expand into all pairs: a block of
 equal fragments first links its members to one leader; only members that are then still
-in different components meet, in tiles of bounded size, and only if a coarse sketch of
-both (one byte per few n-grams, whose differences bound the true ones) leaves a link
-possible. Sets are equal, and n-grams are, when their hashes are (64 bits a gram).
+in different components meet, in tiles of bounded size, and only if a sketch of both (a
+few bits per n-gram, whose differences bound the true ones) leaves a link possible. Sets are equal, and n-grams are, when their hashes are (64 bits a gram).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saleslens.llm import bloom
 from saleslens.llm.components import components
 from saleslens.llm.line_dedup import LOWER
+from saleslens.llm.rows import BROADCAST_ROWS, bounded, drop_rows, text_mark
 from saleslens.session import materialize
 
 GRAM_WORDS = 3
 SIMILARITY = (90, 100)  # linked when 100 * intersection >= 90 * union
 FRAGMENTS = 4  # of the counting step
 TILE = 2000
-BROADCAST_ROWS = 500_000  # ids of 40 bytes: 20 MB
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # a 64-bit mixer's factors
 _P = [np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for i in range(16)]
@@ -72,12 +78,34 @@ def gram_set(text: str | None, hashes: dict, gram: int) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def size_classes(num: int, den: int, largest: int = 1 << 40) -> np.ndarray:
-    """Upper bounds of the size classes: a set's partners are in its own or the next one."""
+@dataclass(frozen=True)
+class SizeClasses:
+    """Size classes and their cuts: a set's partners are in its own or the next class."""
+
+    num: int
+    den: int
+    bounds: np.ndarray  # largest size of each class
+    parts: np.ndarray  # fragments of each class's cut
+    spare: np.ndarray
+
+
+def size_classes(num: int, den: int, largest: int = 1 << 40) -> SizeClasses:
     bounds = [max(1, num // (den - num))]
     while bounds[-1] < largest:
         bounds.append(max(bounds[-1] + 1, bounds[-1] * den // num))
-    return np.array(bounds)
+    parts, spare = [], []
+    for low, high in zip([1, *(b + 1 for b in bounds)], bounds, strict=False):
+        # linked sets, the smaller of this class, differ in at most high * (den - num) / num
+        differ, e = high * (den - num) // num, 0
+        for _ in range(20):  # spare enough for the empty fragments of nearly all sets
+            empty = (differ + 1 + e) * math.exp(-low / (differ + 1 + e))
+            more = min(low // 4, math.ceil(empty + 3 * math.sqrt(empty)))
+            if more <= e:
+                break
+            e = more
+        parts.append(differ + 1 + e)
+        spare.append(e)
+    return SizeClasses(num, den, np.array(bounds), np.array(parts), np.array(spare))
 
 
 def _cut(grams: np.ndarray, parts: int) -> np.ndarray:
@@ -86,59 +114,90 @@ def _cut(grams: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(high, (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
 
 
-def _range_sums(grams: np.ndarray, parts: int) -> np.ndarray:
+def _range_sums(grams: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(grams), dtype=np.uint64)])
-    return np.diff(total[_cut(grams, parts)])
+    return np.diff(total[ends])
 
 
-def fragment_names(grams: np.ndarray, bounds: np.ndarray, num: int, den: int) -> np.ndarray:
+def fragment_names(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     """One hash per fragment, under the cuts of the set's own and the next smaller class."""
-    own, out = int(np.searchsorted(bounds, len(grams))), []
-    for k in {own, own - 1} if own and num * len(grams) <= den * bounds[own - 1] else {own}:
-        parts = int(bounds[k]) * (den - num) // num + 1
+    own, out = int(np.searchsorted(classes.bounds, len(grams))), []
+    meets_smaller = own and classes.num * len(grams) <= classes.den * classes.bounds[own - 1]
+    for k in (own, own - 1) if meets_smaller else (own,):
+        parts = int(classes.parts[k])
+        ends = _cut(grams, parts)
         place = np.arange(parts, dtype=np.uint64) * _P[1] + np.uint64(k * int(_P[2]) % (1 << 64))
-        out.append(_mix(_range_sums(grams, parts) ^ _mix(place)))
+        names = _mix(_range_sums(grams, ends) ^ _mix(place))
+        empty = ends[1:] == ends[:-1]
+        out.append(names if empty.sum() > classes.spare[k] else names[~empty])
     return np.concatenate(out)
 
 
-def sketch(grams: np.ndarray) -> np.ndarray:
-    """A byte for each of a power of two of hash ranges; neighbours add up, so it folds."""
-    parts = 1 << max(3, (len(grams) // 2 - 1).bit_length())
-    return _range_sums(grams, parts).astype(np.uint8)
+def sketch(grams: np.ndarray) -> bytes:
+    """The parity of the grams in each of a power of two of cells, by the hash's low bits.
+
+    Two sets differ in at least as many n-grams as their sketches in cells. A sketch folds
+    to half its cells by combining its halves.
+    """
+    cells = 1 << max(6, (6 * len(grams) - 1).bit_length())
+    odd = np.zeros(cells, np.uint8)
+    place, times = np.unique(grams & np.uint64(cells - 1), return_counts=True)
+    odd[place.astype(np.int64)] = times & 1
+    return np.packbits(odd).tobytes()
+
 
+def _fold(cells: bytes, size: int) -> np.ndarray:
+    out = np.frombuffer(cells, np.uint8)
+    while len(out) > size:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
 
-def _fold(cells: np.ndarray, size: int) -> np.ndarray:
-    while len(cells) > size:
-        cells = cells[0::2] + cells[1::2]
-    return cells
+
+def _differ(cells: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(cells.view(np.uint64) ^ own.view(np.uint64)).sum(axis=-1)
 
 
 def _signatures(gram: int, num: int, den: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds, hashes = size_classes(num, den), _WordHashes()
+        classes, hashes = size_classes(num, den), _WordHashes()
         for batch in batches:
-            size, prints, names = [], [], []
-            for text in batch.column(1):
-                grams = gram_set(text.as_py(), hashes, gram)
-                size.append(len(grams))
-                prints.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
-                names.append(fragment_names(grams, bounds, num, den).tobytes() if len(grams) else None)
+            rows = {k: [] for k in ("mark", "n_shingles", "print", "names")}
+            for text in batch.column(1).to_pylist():
+                grams = gram_set(text, hashes, gram)
+                rows["mark"].append(text_mark(text))
+                rows["n_shingles"].append(len(grams))
+                rows["print"].append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
+                rows["names"].append(fragment_names(grams, classes).tobytes() if len(grams) else None)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).cast(id_type), "n_shingles": pa.array(size, pa.int64()),
-                "print": pa.array(prints, pa.binary()), "names": pa.array(names, pa.binary())})
+                "doc_id": batch.column(0).cast(id_type), "mark": pa.array(rows["mark"], pa.int64()),
+                "n_shingles": pa.array(rows["n_shingles"], pa.int64()),
+                "print": pa.array(rows["print"], pa.binary()), "names": pa.array(rows["names"], pa.binary())})
 
     return run
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _explode(batches: Iterator[pa.RecordBatch], filt=None) -> Iterator[pa.RecordBatch]:
+    """(cid, name) per fragment; with a filter only the names that it holds."""
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
-            names = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
-            if names:
-                yield pa.RecordBatch.from_pydict({
-                    "cid": pa.array(np.repeat(part.column(0).to_numpy(), [len(x) for x in names])),
-                    "name": pa.array(np.concatenate(names))})
+            lists = [np.frombuffer(x, np.uint64) for x in part.column(1).to_pylist()]
+            cid = np.repeat(part.column(0).to_numpy(), [len(x) for x in lists])
+            name = np.concatenate(lists)
+            if filt is not None:
+                held = bloom.holds(filt, bloom.probes(name, len(filt) * 8))
+                cid, name = cid[held], name[held]
+            yield pa.RecordBatch.from_pydict({"cid": pa.array(cid), "name": pa.array(name.view(np.int64))})
+
+
+def _filter_of(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filt = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            bloom.add(filt, bloom.probes(batch.column(0).to_numpy().view(np.uint64), bits))
+        yield from bloom.shards(filt, np.zeros_like(filt))
+
+    return run
 
 
 def _sets(gram: int, fragments: int):
@@ -159,7 +218,7 @@ def _sets(gram: int, fragments: int):
                     rows["n"].append(len(grams))
                     rows["part"].append(p)
                     rows["grams"].append(grams[ends[p]:ends[p + 1]].tobytes())
-                    rows["cells"].append(sketch(grams).tobytes() if p == 0 else None)
+                    rows["cells"].append(sketch(grams) if p == 0 else None)
             yield pa.RecordBatch.from_pydict({
                 "cid": pa.array(rows["cid"], pa.int64()), "n": pa.array(rows["n"], pa.int64()),
                 "part": pa.array(rows["part"], pa.int32()), "grams": pa.array(rows["grams"], pa.binary()),
@@ -182,15 +241,17 @@ def _possible(num: int, den: int):
             room = _room(n, m, num, den)
             for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
                 size = min(len(x), len(y))
-                x, y = _fold(np.frombuffer(x, np.uint8), size), _fold(np.frombuffer(y, np.uint8), size)
-                keep[i] = (x != y).sum() <= room[i]
+                keep[i] = _differ(_fold(x, size), _fold(y, size)) <= room[i]
             yield pa.RecordBatch.from_pydict({"a": pa.array(a[keep]), "b": pa.array(b[keep])})
 
     return run
 
 
 def _tiles(num: int, den: int):
-    """Rows come sorted by (name, i, j); within a tile, left rows meet right rows."""
+    """Rows come sorted by (name, i, j); within a tile, left rows meet right rows.
+
+    A pair that shares several blocks is taken in the first of them only.
+    """
 
     def pairs(rows):
         left = [r for r in rows if r[7]]
@@ -198,16 +259,18 @@ def _tiles(num: int, den: int):
         if not left or not right:
             return
         size = min(len(r[6]) for r in rows)
-        cells = np.stack([_fold(np.frombuffer(r[6], np.uint8), size) for r in right])
-        ids, comps, n = (np.array([r[k] for r in right]) for k in (3, 4, 5))
+        cells = np.stack([_fold(r[6], size) for r in right])
+        comps, n = (np.array([r[k] for r in right]) for k in (4, 5))
         for r in left:
             room = _room(n, r[5], num, den)
             room[comps == r[4]] = -1
             at = np.flatnonzero(room >= 0)
-            own = _fold(np.frombuffer(r[6], np.uint8), size)
-            at = at[(cells[at] != own).sum(axis=1) <= room[at]]
-            for other in ids[at].tolist():
-                yield (min(r[3], other), max(r[3], other))
+            own = _fold(r[6], size)
+            at = at[_differ(cells[at], own) <= room[at]]
+            for k in at.tolist():
+                common = np.intersect1d(r[8].values.to_numpy(), right[k][8].values.to_numpy(), assume_unique=True)
+                if common[0] == r[0]:
+                    yield (min(r[3], right[k][3]), max(r[3], right[k][3]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, seen = None, [], set()
@@ -217,7 +280,7 @@ def _tiles(num: int, den: int):
             return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(8), strict=True):
                 if row[:3] != key:
                     seen.update(pairs(rows))
                     key, rows = row[:3], []
@@ -240,34 +303,45 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, gram: int, similarity: tuple[int, int], tile: int, broadcast_rows: int):
+    def __init__(self, docs: DataFrame, gram: int, similarity: tuple[int, int], tile: int, broadcast_rows: int,
+                 max_bits: int):
         self.docs, self.gram, (self.num, self.den) = docs.select("doc_id", "text"), gram, similarity
-        self.tile, self.broadcast_rows = tile, broadcast_rows
+        self.tile, self.broadcast_rows, self.max_bits = tile, broadcast_rows, max_bits
         id_field = docs.schema["doc_id"]
         self.signed = materialize(self.docs.mapInArrow(
             _signatures(gram, self.num, self.den, to_arrow_type(id_field.dataType)),
-            T.StructType([id_field, T.StructField("n_shingles", T.LongType()),
+            T.StructType([id_field, T.StructField("mark", T.LongType()), T.StructField("n_shingles", T.LongType()),
                           T.StructField("print", T.BinaryType()), T.StructField("names", T.BinaryType())])),
             "signatures")
-        self.classes = materialize(
-            self.signed.where("print is not null").groupBy("print")
-            .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_docs"), F.first("names").alias("names"))
-            .withColumn("cid", F.monotonically_increasing_id()), "classes")
+        prints = materialize(self.signed.where("print is not null").groupBy("print")
+                             .agg(F.min("doc_id").alias("first_id")), "prints")
+        seed = 0  # the first seed that gives every print a number of its own
+        while not prints.groupBy(self.number(seed)).count().where("count > 1").isEmpty():
+            seed += 1
+        self.seed, self.classes = seed, prints.withColumn("cid", self.number(seed))
+
+    @staticmethod
+    def number(seed: int) -> Column:
+        return F.xxhash64(F.lit(seed), "print")
 
     def members(self) -> DataFrame:
         """(name, cid, leader) of the blocks: two or more classes with an equal fragment."""
-        blocks = self.classes.select("cid", "names").mapInArrow(_explode, "cid bigint, name bigint")
-        leaders = materialize(blocks.groupBy("name").agg(F.min("cid").alias("leader"), F.count("*").alias("n"))
-                              .where("n > 1").select("name", "leader"), "leaders")
-        return materialize(blocks.join(leaders, "name"), "members")
+        named = self.signed.where("print is not null").select(self.number(self.seed).alias("cid"), "names")
+        schema = "cid bigint, name bigint"
+        leaders = materialize(
+            named.mapInArrow(_explode, schema).groupBy("name").agg(F.min("cid").alias("leader"), F.max("cid").alias("last"))
+            .where("leader < last").select("name", "leader"), "leaders")
+        bits = bloom.bits_for(leaders.count(), self.max_bits)
+        filt = self.docs.sparkSession.sparkContext.broadcast(bloom.merged(
+            leaders.select("name").mapInArrow(_filter_of(bits), bloom.SHARD_SCHEMA), bits, "once"))
+        held = named.mapInArrow(lambda batches: _explode(batches, filt.value), schema)
+        return materialize(held.distinct().join(leaders, "name"), "members")
 
     def sets(self, members: DataFrame) -> DataFrame:
         """(cid, n, part, grams, cells): the fragments of every class that is in a block."""
         wanted = materialize(self.classes.join(members.select("cid").distinct(), "cid", "left_semi")
                              .select("cid", "print", "first_id"), "candidates")
-        if wanted.count() <= self.broadcast_rows:
-            wanted = F.broadcast(wanted)
-        rows = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
+        rows = self.docs.join(bounded(wanted, self.broadcast_rows), F.col("doc_id").eqNullSafe(F.col("first_id")))
         made = rows.select("cid", "print", "text").mapInArrow(
             _sets(self.gram, FRAGMENTS), "cid bigint, n bigint, part int, grams binary, cells binary")
         # a representative's row can be repeated
@@ -299,18 +373,21 @@ class _Join:
             F.count("*").alias("size"), F.min_by("component", "cid").alias("main"),
             F.min("component").alias("low"), F.max("component").alias("high"))
         mixed = materialize(blocks.where("low < high").select("name", "size", "main"), "mixed")
+        # A member meets the others in its own tile column; one outside the leader's
+        # component also stands, in its own tile row, on the left of every column.
         tiles = F.ceil(F.col("size") / self.tile).cast("int")
-        rows = (known.join(mixed, "name")
-                .join(sets.where("part = 0").select("cid", "n", "cells"), "cid")
-                .withColumn("tiles", tiles)
-                .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
-                .withColumn("all", F.sequence(F.lit(0), F.col("tiles") - 1)))
-        cols = ["name", "i", "j", "cid", "component", "n", "cells"]
-        right = rows.withColumn("j", F.col("own")).withColumn("i", F.explode("all")).select(
-            *cols, F.lit(False).alias("left"))
-        left = rows.where("component <> main").withColumn("i", F.col("own")).withColumn(
-            "j", F.explode("all")).select(*cols, F.lit(True).alias("left"))
-        tiled = left.unionByName(right).repartition("name", "i", "j").sortWithinPartitions("name", "i", "j")
+        own = F.pmod(F.xxhash64("cid"), tiles).cast("int")
+        steps = F.sequence(F.lit(0), tiles - 1)
+        right = F.transform(steps, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(False).alias("left")))
+        left = F.transform(steps, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(True).alias("left")))
+        inside = materialize(known.join(mixed, "name").select("name", "cid", "component", "size", "main"), "inside")
+        blocks = inside.groupBy("cid").agg(F.sort_array(F.collect_list("name")).alias("names"))
+        sketches = sets.where("part = 0").select("cid", "n", "cells").join(blocks, "cid")
+        placed = inside.withColumn("at", F.explode(
+            F.when(F.col("component") != F.col("main"), F.concat(right, left)).otherwise(right)))
+        tiled = (placed.join(sketches, "cid")
+                 .select("name", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "names")
+                 .repartition("name", "i", "j").sortWithinPartitions("name", "i", "j"))
         return materialize(tiled.mapInArrow(_tiles(self.num, self.den), "a bigint, b bigint").distinct(), "across")
 
     def run(self) -> DataFrame:
@@ -326,13 +403,15 @@ class _Join:
         classes = materialize(named.join(least, "part").select(
             F.col("print").alias("p"), F.col("cid").alias("class_id"), "component_id"), "class-components")
         return self.signed.join(classes, F.col("print") == F.col("p"), "left").select(
-            "doc_id", "n_shingles", F.when(F.col("p").isNull(), F.col("doc_id"))
+            "doc_id", "mark", "n_shingles", F.when(F.col("p").isNull(), F.col("doc_id"))
             .otherwise(F.col("component_id")).alias("component_id"), "class_id")
 
 
 def ngram_join(docs: DataFrame, gram: int = GRAM_WORDS, similarity: tuple[int, int] = SIMILARITY,
-               tile: int = TILE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_id.
+               tile: int = TILE, broadcast_rows: int = BROADCAST_ROWS,
+               max_bits: int = bloom.MAX_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, mark (the text's xxhash64), n_shingles,
+    component_id, class_id.
 
     ``class_id`` names the set (equal sets share it), ``component_id`` is the smallest
     doc_id reachable over links, the row's own included. Null, empty and blank texts have
@@ -340,4 +419,15 @@ def ngram_join(docs: DataFrame, gram: int = GRAM_WORDS, similarity: tuple[int, i
     their own; a null doc_id is never a component's name unless all its ids are null.
     Other columns are ignored; an empty table gives an empty result.
     """
-    return _Join(docs, gram, similarity, tile, broadcast_rows).run()
+    return _Join(docs, gram, similarity, tile, broadcast_rows, max_bits).run()
+
+
+def keep_representatives(docs: DataFrame, gram: int = GRAM_WORDS,
+                         similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """``docs`` with one document of each component: the one whose doc_id names it.
+
+    Rows without words stay; so do rows with a null doc_id in a component without ids.
+    """
+    joined = ngram_join(docs, gram, similarity)
+    gone = materialize(joined.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark"), "dropped")
+    return drop_rows(docs, gone)
