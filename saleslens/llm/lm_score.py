@@ -186,7 +186,6 @@ def _model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _LOG_HALF, _LOG_PI = log(0.5), log(np.pi)
-_lgamma = np.vectorize(lgamma, otypes=[float])
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -194,7 +193,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     values, at = np.unique(x, return_inverse=True)
     out = np.empty(len(values))
     small = values < 64
-    out[small] = _lgamma(values[small]) if small.any() else 0
+    out[small] = [lgamma(v) for v in values[small].tolist()]
     v = values[~small]
     out[~small] = (v - 0.5) * np.log(v) - v + 0.5 * np.log(2 * np.pi) + 1 / (12 * v) - 1 / (360 * v ** 3)
     return out[at].reshape(np.shape(x))
