@@ -9,6 +9,7 @@ linear scorer over hashed word shapes is trained; the scorer judges every docume
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,34 +42,53 @@ LABELLERS = (
 )
 
 
-def shape(word: str) -> str:
-    """A word's shape: letters a/A, digits 9, other characters as they are; runs of three
-    and more marked +."""
-    out, last, run = [], "", 0
-    for c in word[:64]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c
-        run = run + 1 if k == last else 1
-        if run == 1:
-            out.append(k)
-        elif run == 3:
-            out.append("+")
-        last = k
-    return "".join(out)
+class _Kinds(dict):
+    """Character -> kind, for str.translate."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = kind = "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c
+        return kind
+
+
+_KINDS = _Kinds()
+_RUN = re.compile(r"(.)\1+", re.S)
+_SYMBOL_RUN = re.compile(r"[^aA9]\+")
+
+
+def shape(kinds: str) -> str:
+    """The shape of a word's kinds: runs shortened to one, of three and more marked +."""
+    return _RUN.sub(lambda m: m[1] + "+" if len(m[0]) > 2 else m[1], kinds[:64])
+
+
+class _Forms(dict):
+    """kinds -> shape's hash (14 bits) << 18 | flags (4) << 14 | letters << 7 | length."""
+
+    def __missing__(self, kinds: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        form = shape(kinds)
+        length = min(len(kinds), 127)
+        lower, upper = kinds.count("a"), kinds.count("A")
+        letters = min(lower + upper, length)
+        flags = (bool(_SYMBOL_RUN.search(form)) | (not lower and upper > 1) << 1 | ("!" in kinds) << 2
+                 | (not letters and "9" not in kinds) << 3)
+        value = self[kinds] = (zlib.crc32(form.encode()) & (DIMS - 1)) << 18 | flags << 14 | letters << 7 | length
+        return value
 
 
 class _Words(dict):
-    """word -> hash (32 bits) << 32 | shape (14) << 18 | flags (4) << 14 | letters << 7 | length."""
+    """word -> hash (32 bits) << 31 | what ``_Forms`` has of its kinds (letters a/A, digits 9,
+    other characters as they are)."""
+
+    def __init__(self):
+        super().__init__()
+        self.forms = _Forms()
 
     def __missing__(self, word: str) -> int:
         if len(self) > 500_000:
             self.clear()
-        form = shape(word)
-        runs = any(form[i + 1] == "+" and not form[i].isalnum() for i in range(len(form) - 1))
-        length = min(len(word), 127)
-        letters = min(sum(c.isalpha() for c in word), length)
-        flags = runs | (word.isupper() and letters > 1) << 1 | ("!" in word) << 2 | (not any(c.isalnum() for c in word)) << 3
-        value = self[word] = (zlib.crc32(word.encode()) << 31 | (zlib.crc32(form.encode()) & (DIMS - 1)) << 18
-                              | flags << 14 | letters << 7 | length)
+        value = self[word] = zlib.crc32(word.encode()) << 31 | self.forms[word.translate(_KINDS)]
         return value
 
 
