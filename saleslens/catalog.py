@@ -159,6 +159,12 @@ def _assign_ids_by_text(spark, d):
     return assign_ids(p, ["p_brand", "p_name", "p_partkey"], id_col="new_id").select("p_partkey", "new_id")
 
 
+def _mixed_case(products: DataFrame) -> DataFrame:
+    """Products whose names are spelled in capitals at every other id."""
+    odd = F.col("product_id") % 2 == 1
+    return products.withColumn("product_name", F.when(odd, F.upper("product_name")).otherwise(F.col("product_name")))
+
+
 def _sales_in_year(spark, d):
     s = K.filter_year(_star(spark, d).sales, KPI_YEAR)
     return s.select(as_long("sale_id").alias("sale_id"), "sale_date",
@@ -173,6 +179,8 @@ QUERIES: dict[str, Query] = {
     "rank_products": lambda sp, d: R.rank_products(_star(sp, d).sales, _star(sp, d).products),
     "rank_products_top10": lambda sp, d: R.rank_products(_star(sp, d).sales, _star(sp, d).products,
                                                          top_n=10),
+    "rank_products_ignore_case": lambda sp, d: R.rank_products(
+        _star(sp, d).sales, _mixed_case(_star(sp, d).products), ignore_case=True),
     "top_products_share": lambda sp, d: R.top_products_share(_star(sp, d).sales,
                                                              _star(sp, d).products),
     "revenue_mom": lambda sp, d: T.revenue_mom(_star(sp, d).sales, _star(sp, d).calendar),

@@ -456,3 +456,14 @@ ORACLE_SQL["top_customers_in_year"] = ORACLE_SQL["top_customers"].replace(
     "FROM sales GROUP BY", "FROM sales WHERE year(sale_date) = 2000 GROUP BY")
 ORACLE_SQL["product_vs_category_in_year"] = ORACLE_SQL["product_vs_category"].replace(
     "ON s.product_id = p.product_id\n", "ON s.product_id = p.product_id WHERE year(s.sale_date) = 2000\n")
+ORACLE_SQL["rank_products_ignore_case"] = STAR + """, spelled AS (
+  SELECT product_id, category, brand,
+         CASE WHEN product_id % 2 = 1 THEN upper(product_name) ELSE product_name END AS product_name
+  FROM products), g AS (
+  SELECT MIN(p.product_name) AS product_name, MIN(p.category) AS category, MIN(p.brand) AS brand,
+         SUM(s.total_amount) AS revenue, SUM(s.quantity) AS units
+  FROM sales s JOIN spelled p ON s.product_id = p.product_id
+  GROUP BY lower(p.product_name), lower(p.category), lower(p.brand))
+SELECT product_name, category, brand, CAST(revenue AS DOUBLE) AS revenue, CAST(units AS BIGINT) AS units,
+       CAST(RANK() OVER (ORDER BY revenue DESC) AS BIGINT) AS rank
+FROM g"""

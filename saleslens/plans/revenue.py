@@ -35,10 +35,12 @@ def revenue_by_year(sales: DataFrame) -> DataFrame:
 
 
 def product_totals(sales: DataFrame, products: DataFrame, attrs: Iterable[str],
-                   measures: dict | None = None) -> DataFrame:
+                   measures: dict | None = None, ignore_case: bool = False) -> DataFrame:
     """Revenue and units per group of product attributes (not per product id).
 
-    ``measures`` maps output name -> (per-product aggregate, regroup aggregate name).
+    ``measures`` maps output name -> (per-product aggregate, regroup aggregate name). With
+    ``ignore_case`` spellings that differ in case are one group, shown by the least one (a
+    row store's usual collation groups so).
     """
     measures = measures or {
         "revenue": (F.sum("total_amount"), "sum"),
@@ -49,17 +51,23 @@ def product_totals(sales: DataFrame, products: DataFrame, attrs: Iterable[str],
         *[agg.alias(name) for name, (agg, _) in measures.items()])
     joined = per_product.join(products.select("product_id", *attrs), "product_id")
     regroup = {"sum": F.sum, "max": F.max, "min": F.min}
+    if ignore_case:
+        keys = [F.lower(c).alias(f"_{c}") for c in attrs]
+        return joined.groupBy(*keys).agg(
+            *[F.min(c).alias(c) for c in attrs],
+            *[regroup[how](name).alias(name) for name, (_, how) in measures.items()]).drop(*[f"_{c}" for c in attrs])
     return joined.groupBy(*attrs).agg(
         *[regroup[how](name).alias(name) for name, (_, how) in measures.items()])
 
 
-def rank_products(sales: DataFrame, products: DataFrame, top_n: int | None = None) -> DataFrame:
+def rank_products(sales: DataFrame, products: DataFrame, top_n: int | None = None,
+                  ignore_case: bool = False) -> DataFrame:
     """G-02 / M-06: rank of (name, category, brand) groups by revenue, ties share a rank.
 
     Ids sharing name, category and brand merge into one group. ``top_n`` keeps groups
     ranked within the first ``top_n`` (ties at the border are all kept).
     """
-    groups = product_totals(sales, products, ["product_name", "category", "brand"])
+    groups = product_totals(sales, products, ["product_name", "category", "brand"], ignore_case=ignore_case)
     if top_n is None:
         ranked = global_rank(materialize(groups, "groups"), "revenue", ascending=False, name="rank")
     else:
