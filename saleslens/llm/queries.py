@@ -36,7 +36,7 @@ def _fold(doc_id, folds: int):
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_fold(F.col("doc_id"), 3) != 1)
-    scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", (F.coalesce(_fold(F.col("doc_id"), 3), F.lit(0)) == 1).alias("held_out"), "score",
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

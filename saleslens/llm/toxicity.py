@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saleslens.session import materialize
+
 TOXIC_DOCS, CLEAN_DOCS = 4000, 16000  # bounds of the training sample
 MIN_SUPPORT, MIN_SHARE = 8, 0.01  # toxic documents that hold a pattern: number and share
 MIN_VARIETY = 0.8  # different surroundings among them
-MAX_CLEAN_SHARE = 0.02  # of the pattern's rate in toxic documents
+MAX_CLEAN_SHARE = 0.02  # of the pattern's rate in toxic documents, exceptions aside
+MAX_DOUBTFUL, DOUBTFUL_SHARE = 2000, 0.7  # whole words that exceptions may yet clear: number and share
 MAX_CANDIDATES = 50_000
 STEMS = range(4, 9)  # lengths of word beginnings
 THRESHOLD = 0.7
@@ -107,20 +110,20 @@ class Scorer:
                 automaton.make_automaton()
         self.logistic, self.folds, self.weights = np.array(logistic), _Folds(), {}
 
-    def weight(self, word: str) -> float:
-        """The heaviest pattern in a folded word."""
+    def hit(self, word: str) -> tuple[float, str]:
+        """The heaviest pattern in a folded word, weight first; (0, "") if there is none."""
         got = self.weights.get(word)
         if got is None:
             if len(self.weights) > 300_000:
                 self.weights.clear()
             hits = self.words.iter(MARK + word + MARK) if len(self.words) else ()
-            got = self.weights[word] = max((w for _, (_, w) in hits), default=0.0)
+            got = self.weights[word] = max(((w, p) for _, (p, w) in hits), default=(0.0, ""))
         return got
 
-    def measure(self, text: str | None) -> tuple[float, int]:
-        """Summed weight of the hits outside exception phrases, and the number of words."""
+    def hits(self, text: str | None) -> tuple[list[tuple[float, str]], int]:
+        """(weight, pattern) of the hits outside exception phrases, and the number of words."""
         words = folded_words(text, self.folds)
-        hits = {i: w for i, w in enumerate(map(self.weight, words)) if w}
+        hits = {i: h for i, h in enumerate(map(self.hit, words)) if h[1]}
         if hits and len(self.phrases):
             starts = np.cumsum([0, *(len(w) + 1 for w in words)])  # of each word's mark
             for end, phrase in self.phrases.iter(MARK + MARK.join(words) + MARK):
@@ -128,7 +131,12 @@ class Scorer:
                 last = int(np.searchsorted(starts, end))
                 for i in range(first, last):
                     hits.pop(i, None)
-        return sum(hits.values()), len(words)
+        return list(hits.values()), len(words)
+
+    def measure(self, text: str | None) -> tuple[float, int]:
+        """Summed weight of the hits, and the number of words."""
+        hits, n = self.hits(text)
+        return float(sum(w for w, _ in hits)), n
 
     def score(self, text: str | None) -> float:
         return float(_logistic(self.logistic, *_inputs(*self.measure(text))))
@@ -198,7 +206,7 @@ def _neighbours(lexicon):
                 words = folded_words(text, scorer.folds)
                 own = set()
                 for i, w in enumerate(words):
-                    if scorer.weight(w):
+                    if scorer.hit(w)[1]:
                         own |= {MARK + MARK.join(words[j:j + 2]) + MARK for j in (i - 1, i) if 0 <= j < len(words) - 1}
                 counts.update((phrase, toxic) for phrase in own)
         yield pa.RecordBatch.from_pydict({"phrase": pa.array([p for p, _ in counts], pa.string()),
@@ -208,6 +216,21 @@ def _neighbours(lexicon):
     return run
 
 
+def _hit_counts(parts):
+    """Documents per pattern hit outside exceptions, by class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, counts = Scorer(*parts.value), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts.update((p, toxic) for p in {p for _, p in scorer.hits(text)[0]})
+        yield pa.RecordBatch.from_pydict({"pattern": pa.array([p for p, _ in counts], pa.string()),
+                                          "toxic": pa.array([t for _, t in counts], pa.int32()),
+                                          "n": pa.array(list(counts.values()), pa.int64())})
+
+    return run
+
+
 def _measures(parts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*parts.value)
@@ -245,19 +268,32 @@ def _unlike(sample: DataFrame) -> DataFrame:
     words = F.split(F.lower("text"), r"\s+")
     names = [f"h{i}" for i in (1, 2)]
     hashes = [F.array_min(F.transform(words, lambda w, i=i: F.xxhash64(F.lit(i), w))).alias(f"h{i}") for i in (1, 2)]
-    return sample.select("*", *hashes).dropDuplicates(names)
+    return sample.select("*", *hashes).dropDuplicates(["toxic", *names])
+
+
+def _sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int) -> DataFrame:
+    """(text, toxic) of the labelled documents with the smallest hashes, a bounded number.
+
+    The ids are chosen first and broadcast, so no text of other documents moves.
+    """
+    known = labels.where("toxic is not null and doc_id is not null").select(
+        "doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    first = F.xxhash64("doc_id")
+    chosen = (known.where("toxic = 1").orderBy(first).limit(toxic_docs)
+              .unionByName(known.where("toxic = 0").orderBy(first).limit(clean_docs)))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return materialize(rows.limit(toxic_docs + clean_docs), "labelled")
 
 
-def fit(labelled: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> ToxicityModel:
-    """Learn lexicon, exceptions and score from (doc_id, text, toxic) rows.
+def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> ToxicityModel:
+    """Learn lexicon, exceptions and score from docs (doc_id, text) and labels (doc_id, toxic).
 
-    At most ``toxic_docs`` toxic and ``clean_docs`` other rows are used, those with the
-    smallest hashes. Without toxic rows the lexicon is empty and every score the same.
+    At most ``toxic_docs`` toxic and ``clean_docs`` other documents are used. Without toxic
+    ones the lexicon is empty and every score the same.
     """
-    spark = labelled.sparkSession
-    rows = labelled.where("toxic is not null").select("text", F.col("toxic").cast("int"), F.xxhash64("doc_id", "text").alias("order"))
-    toxic = _unlike(rows.where("toxic = 1").orderBy("order").limit(toxic_docs)).select("text", "toxic").cache()
-    clean = _unlike(rows.where("toxic <> 1").orderBy("order").limit(clean_docs)).select("text", F.lit(0).alias("toxic")).cache()
+    spark = docs.sparkSession
+    both = materialize(_unlike(_sample(docs, labels, toxic_docs, clean_docs)).select("text", "toxic").repartition(16), "lessons")
+    toxic, clean = both.where("toxic = 1"), both.where("toxic = 0")
     n_toxic, n_clean = toxic.count(), clean.count()
 
     def weight(t: int, c: int) -> float:
@@ -269,21 +305,34 @@ def fit(labelled: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLE
     met = counted(toxic).where(F.col("n") >= MIN_SUPPORT).orderBy(F.desc("n"), "pattern").limit(MAX_CANDIDATES).collect()
     candidates = {r.pattern: r.n for r in met}
     clean_counts = {r.pattern: r.n for r in counted(clean, spark.sparkContext.broadcast(set(candidates))).collect()}
-    wanted = {p for p, t in candidates.items() if clean_counts.get(p, 0) / max(n_clean, 1) <= MAX_CLEAN_SHARE * t / n_toxic}
-    held = [r.held for r in toxic.select("text").mapInArrow(_holders(spark.sparkContext.broadcast(wanted)), "held map<string,string>").collect()]
+
+    def clean_share(pattern: str, t: int, c: int) -> float:
+        return (c / max(n_clean, 1)) / (t / n_toxic)
+
+    shares = {p: clean_share(p, t, clean_counts.get(p, 0)) for p, t in candidates.items()}
+    doubtful = sorted((s, p) for p, s in shares.items() if MAX_CLEAN_SHARE < s <= DOUBTFUL_SHARE and p.endswith(MARK))
+    wanted = {p for p, s in shares.items() if s <= MAX_CLEAN_SHARE} | {p for _, p in doubtful[:MAX_DOUBTFUL]}
+    held = [r.held for r in toxic.select("text").mapInArrow(
+        _holders(spark.sparkContext.broadcast(wanted)), "held map<string,string>").collect()]
     lexicon = _choose(held, clean_counts, weight)
 
-    both = toxic.unionByName(clean)
     near: dict[str, list[int]] = {}
     for r in (both.mapInArrow(_neighbours(spark.sparkContext.broadcast(lexicon)), "phrase string, toxic int, n bigint")
               .groupBy("phrase", "toxic").agg(F.sum("n").alias("n")).where("toxic = 0 or n > 1").collect()):
         near.setdefault(r.phrase, [0, 0])[r.toxic] += r.n
     exceptions = sorted(p for p, (c, t) in near.items() if c >= 3 and weight(t, c) < 0)
 
+    # Only words that are rare in other documents, exceptions aside, stay in the lexicon.
+    left: dict[str, list[int]] = {}
+    for r in (both.mapInArrow(_hit_counts(spark.sparkContext.broadcast((lexicon, exceptions, [0, 0, 0]))),
+                              "pattern string, toxic int, n bigint").groupBy("pattern", "toxic").agg(F.sum("n").alias("n")).collect()):
+        left.setdefault(r.pattern, [0, 0])[r.toxic] += r.n
+    lexicon = {p: weight(t, c) for p, (c, t) in left.items() if t >= MIN_SUPPORT and clean_share(p, t, c) <= MAX_CLEAN_SHARE}
+    kept = Scorer(lexicon, [], [0, 0, 0])
+    exceptions = [p for p in exceptions if any(kept.hit(w)[1] for w in p.split())]
+
     parts = spark.sparkContext.broadcast((lexicon, exceptions, [0, 0, 0]))
     read = both.mapInArrow(_measures(parts), "toxic int, total double, n bigint").toPandas()
-    toxic.unpersist()
-    clean.unpersist()
     logistic = _fit_logistic(read.total.to_numpy(), read.n.to_numpy(), read.toxic.to_numpy()) if len(read) else np.zeros(3)
     return ToxicityModel(lexicon, exceptions, logistic)
 
