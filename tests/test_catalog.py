@@ -79,3 +79,38 @@ def test_no_single_task_window_over_rows(spark, name):
 def test_quality_entries_find_violations(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.where(F.col(df.columns[-1]) > 0).count() > 0
+
+
+def _sum(spark, name, column):
+    return E.queries()[name](spark, SF_SMALL).agg(F.sum(column)).first()[0]
+
+
+def test_revenue_is_conserved(spark):
+    total = _sum(spark, "revenue_by_year", "revenue")
+    for name in ("rank_products", "revenue_by_region", "revenue_by_category", "purchase_trend", "category_year_matrix"):
+        assert math.isclose(_sum(spark, name, "revenue"), total, rel_tol=1e-9), name
+
+
+def test_shares_add_up(spark):
+    for name in ("revenue_by_region", "revenue_by_category"):
+        assert abs(_sum(spark, name, "pct_of_total") - 100) < 0.1, name
+    years = E.queries()["category_year_matrix"](spark, SF_SMALL).groupBy("year").agg(F.sum("pct_of_year").alias("p")).collect()
+    assert all(abs(r.p - 100) < 0.1 for r in years)
+
+
+def test_top_ten_is_the_head_of_the_ranking(spark):
+    ranked = {tuple(r) for r in E.queries()["rank_products"](spark, SF_SMALL).where("rank <= 10").collect()}
+    assert ranked == {tuple(r) for r in E.queries()["rank_products_top10"](spark, SF_SMALL).collect()}
+
+
+def test_tiles_of_rfm_are_even(spark):
+    rows = E.queries()["rfm_scores"](spark, SF_SMALL)
+    for column in ("r_score", "f_score", "m_score"):
+        sizes = [r["count"] for r in rows.groupBy(column).count().collect()]
+        assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+
+
+def test_period_reaches_the_scan(spark):
+    for name in ("sales_in_year", "kpi_summary", "unsold_products_in_period"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan, name

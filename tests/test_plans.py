@@ -1,6 +1,5 @@
 """Analysis plans on hand-written fixtures (ties, NULL flags, gaps, zero totals)."""
 
-from pyspark.sql import functions as F
 
 from saleslens import plans as P
 from tests import fixtures as fx
