@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.rows import drop_rows, text_mark
+from saleslens.llm.rows import drop_rows, slices, text_mark
 from saleslens.session import materialize
 
 WINDOW = 10
@@ -87,7 +87,7 @@ def _index(shard_words: int):
                  "doc_ids": [doc_ids], "marks": [marks], "starts": [starts], "lengths": [lengths]}, _ARROW_INDEX)
 
         terms, ids, doc_ids, marks, starts, lengths, at = fresh()
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = words(text)
                 marks.append(text_mark(text))

@@ -21,8 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from saleslens.llm import bloom
+from saleslens.llm.rows import slices
 from saleslens.session import materialize
 
 MIN_CHARS = 20
@@ -57,7 +59,7 @@ def _build(bits: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for batch in batches:
+        for batch in slices(batches, 5000):
             keys = [k for text in batch.column(0) for k in _keys(text.as_py(), least)]
             met, counts = np.unique(_hashes(keys), return_counts=True)
             at = bloom.probes(met, bits)
@@ -81,7 +83,7 @@ def _suspects(filt, least: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = filt.value
         bits = len(twice) * 8
-        for batch in batches:
+        for batch in slices(batches, 5000):
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = _keys(text.as_py(), least)
@@ -97,7 +99,7 @@ def _suspects(filt, least: int, id_type: pa.DataType):
 
 def _drop(id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept, total, gone = [], [], []
             for text, keys in zip(batch.column(1), batch.column(2), strict=True):
                 lines = (text.as_py() or "").split("\n")
@@ -125,7 +127,6 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     id_field = docs.schema["doc_id"]
-    from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(id_field.dataType)
     filt = spark.sparkContext.broadcast(repeat_filter(docs, min_chars, max_bits))
     suspects = materialize(docs.mapInArrow(

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from saleslens.llm.line_dedup import LOWER
+from saleslens.llm.rows import slices
 from saleslens.session import materialize
 
 DEPTH = 5
@@ -94,7 +95,7 @@ def _chunks(id_type: pa.DataType, size: int):
                 "train": pa.array([train], pa.list_(pa.bool_())), "sizes": pa.array([sizes], pa.list_(pa.int64())),
                 "data": pa.array([b"".join(parts)], pa.binary())})
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, learns, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = serial((text or "").encode().translate(LOWER).split())
                 ids.append(doc_id)

@@ -15,8 +15,8 @@ fragments, and a pair is judged by its overlaps in the fragments:
 Equal sets are one class from the start. Fragments that no other class has, nearly all,
 shuffle once, as a hash and a class; a Bloom filter of the others, of bounded size, keeps
 them out of the later joins. Groups never expand into all pairs: a block of
-equal fragments first links its members to one leader; only members that are then still
-in different components meet, in tiles of bounded size, and only if a sketch of both (a
+equal fragments first links its members to its leader; only members of a leader's blocks
+that are then still in different components meet, in tiles of bounded size, and only if a sketch of both (a
 few bits per n-gram, whose differences bound the true ones) leaves a link possible. Sets are equal, and n-grams are, when their hashes are (64 bits a gram).
 """
 
@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from saleslens.llm import bloom
 from saleslens.llm.components import components
 from saleslens.llm.line_dedup import LOWER
-from saleslens.llm.rows import BROADCAST_ROWS, bounded, drop_rows, text_mark
+from saleslens.llm.rows import BROADCAST_ROWS, bounded, drop_rows, slices, text_mark
 from saleslens.session import materialize
 
 GRAM_WORDS = 3
@@ -57,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -160,7 +160,7 @@ def _differ(cells: np.ndarray, own: np.ndarray) -> np.ndarray:
 def _signatures(gram: int, num: int, den: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, hashes = size_classes(num, den), _WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             rows = {k: [] for k in ("mark", "n_shingles", "print", "names")}
             for text in batch.column(1).to_pylist():
                 grams = gram_set(text, hashes, gram)
@@ -205,7 +205,7 @@ def _sets(gram: int, fragments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             rows = {k: [] for k in ("cid", "n", "part", "grams", "cells")}
             for cid, want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                        batch.column(2), strict=True):
@@ -248,9 +248,9 @@ def _possible(num: int, den: int):
 
 
 def _tiles(num: int, den: int):
-    """Rows come sorted by (name, i, j); within a tile, left rows meet right rows.
+    """Rows come sorted by (leader, i, j); within a tile, left rows meet right rows.
 
-    A pair that shares several blocks is taken in the first of them only.
+    A pair that shares several groups is taken in the first of them only.
     """
 
     def pairs(rows):
@@ -325,7 +325,8 @@ class _Join:
         return F.xxhash64(F.lit(seed), "print")
 
     def members(self) -> DataFrame:
-        """(name, cid, leader) of the blocks: two or more classes with an equal fragment."""
+        """(leader, cid): classes that share a block of equal fragments with the block's
+        least class, its leader; the leader is a member of its own group."""
         named = self.signed.where("print is not null").select(self.number(self.seed).alias("cid"), "names")
         schema = "cid bigint, name bigint"
         leaders = materialize(
@@ -335,7 +336,7 @@ class _Join:
         filt = self.docs.sparkSession.sparkContext.broadcast(bloom.merged(
             leaders.select("name").mapInArrow(_filter_of(bits), bloom.SHARD_SCHEMA), bits, "once"))
         held = named.mapInArrow(lambda batches: _explode(batches, filt.value), schema)
-        return materialize(held.distinct().join(leaders, "name"), "members")
+        return materialize(held.distinct().join(leaders, "name").select("leader", "cid").distinct(), "members")
 
     def sets(self, members: DataFrame) -> DataFrame:
         """(cid, n, part, grams, cells): the fragments of every class that is in a block."""
@@ -366,34 +367,40 @@ class _Join:
                            .mapInArrow(_possible(self.num, self.den), "a bigint, b bigint"), "pairs")
 
     def across(self, members: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-        """Possible pairs of members that share a block but no component yet."""
+        """Possible pairs of members that share a group but no component yet."""
         known = members.join(parts, F.col("cid") == F.col("node"), "left").select(
-            "name", "cid", "leader", F.coalesce("component", "cid").alias("component"))
-        blocks = known.groupBy("name").agg(
+            "leader", "cid", F.coalesce("component", "cid").alias("component"))
+        groups = known.groupBy("leader").agg(
             F.count("*").alias("size"), F.min_by("component", "cid").alias("main"),
             F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = materialize(blocks.where("low < high").select("name", "size", "main"), "mixed")
-        # A member meets the others in its own tile column; one outside the leader's
-        # component also stands, in its own tile row, on the left of every column.
-        tiles = F.ceil(F.col("size") / self.tile).cast("int")
-        own = F.pmod(F.xxhash64("cid"), tiles).cast("int")
-        steps = F.sequence(F.lit(0), tiles - 1)
-        right = F.transform(steps, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(False).alias("left")))
-        left = F.transform(steps, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(True).alias("left")))
-        inside = materialize(known.join(mixed, "name").select("name", "cid", "component", "size", "main"), "inside")
-        blocks = inside.groupBy("cid").agg(F.sort_array(F.collect_list("name")).alias("names"))
-        sketches = sets.where("part = 0").select("cid", "n", "cells").join(blocks, "cid")
-        placed = inside.withColumn("at", F.explode(
-            F.when(F.col("component") != F.col("main"), F.concat(right, left)).otherwise(right)))
+        inside = materialize(known.join(groups.where("low < high").select("leader", "size", "main"), "leader")
+                             .withColumn("outside", F.col("component") != F.col("main")), "inside")
+        # Members outside the leader's component stand on the left of every tile of their
+        # row, all members on the right of every tile of their column.
+        shapes = inside.groupBy("leader").agg(
+            F.ceil(F.sum(F.col("outside").cast("int")) / self.tile).cast("int").alias("rows"),
+            F.ceil(F.count("*") / self.tile).cast("int").alias("columns"))
+
+        def place(name: str) -> Column:
+            return F.pmod(F.xxhash64("cid"), F.col(name)).cast("int")
+
+        right = F.transform(F.sequence(F.lit(0), F.col("rows") - 1),
+                            lambda i: F.struct(i.alias("i"), place("columns").alias("j"), F.lit(False).alias("left")))
+        left = F.transform(F.sequence(F.lit(0), F.col("columns") - 1),
+                           lambda j: F.struct(place("rows").alias("i"), j.alias("j"), F.lit(True).alias("left")))
+        own = inside.groupBy("cid").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+        sketches = sets.where("part = 0").select("cid", "n", "cells").join(own, "cid")
+        placed = inside.join(shapes, "leader").withColumn(
+            "at", F.explode(F.when(F.col("outside"), F.concat(right, left)).otherwise(right)))
         tiled = (placed.join(sketches, "cid")
-                 .select("name", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "names")
-                 .repartition("name", "i", "j").sortWithinPartitions("name", "i", "j"))
+                 .select("leader", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "leaders")
+                 .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j"))
         return materialize(tiled.mapInArrow(_tiles(self.num, self.den), "a bigint, b bigint").distinct(), "across")
 
     def run(self) -> DataFrame:
         members = self.members()
         sets = self.sets(members)
-        star = members.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
+        star = members.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b"))
         links = self.links(self.possible(star, sets), sets)
         across = self.across(members, components(links), sets)
         parts = components(links.unionByName(self.links(across, sets)))

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saleslens.llm.rows import drop_rows, slices, text_mark
+from saleslens.session import materialize
+
 DIMS = 1 << 14
 TRAIN_DOCS = 8000
 THRESHOLD = 0.5
@@ -86,7 +89,7 @@ class _Words(dict):
         self.forms = _Forms()
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = zlib.crc32(word.encode()) << 31 | self.forms[word.translate(_KINDS)]
         return value
@@ -167,15 +170,19 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
     return good, given
 
 
-def train(rows: list[np.ndarray], target: np.ndarray, rounds: int = 300, rate: float = 2.0,
+def sparse_features(reading: Reading) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places of a text's features and their shrunk mean."""
+    places = features(reading)
+    met, times = np.unique(places, return_counts=True)
+    return met.astype("<i4"), (times * (10 / (len(places) + SHRINK))).astype("<f4")
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 300, rate: float = 2.0,
           ridge: float = 1e-5) -> np.ndarray:
-    """Weights of a logistic scorer (bias last) on shrunk mean one-hot features, by Adagrad."""
-    size = [len(r) + SHRINK for r in rows]
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    place = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    keys, times = np.unique(row * DIMS + place, return_counts=True)
-    row, place = keys // DIMS, keys % DIMS
-    value = times / np.array(size)[row] * 10
+    """Weights of a logistic scorer (bias last) on ``sparse_features``, by Adagrad."""
+    row = np.repeat(np.arange(len(rows)), [len(p) for p, _ in rows])
+    place = np.concatenate([np.empty(0, np.int32), *[p for p, _ in rows]])
+    value = np.concatenate([np.empty(0, np.float32), *[v for _, v in rows]])
     w, squares = np.zeros(DIMS + 1), np.full(DIMS + 1, 1e-8)
     for _ in range(rounds):
         margin = np.bincount(row, value * w[place], len(rows)) + w[DIMS]
@@ -189,7 +196,7 @@ def train(rows: list[np.ndarray], target: np.ndarray, rounds: int = 300, rate: f
 
 def _vote_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = _Words()
-    for batch in batches:
+    for batch in slices(batches):
         codes = [_pattern(votes(read(x.as_py(), cache))) for x in batch.column(0)]
         code, n = np.unique(np.array(codes, np.int64), return_counts=True)
         yield pa.RecordBatch.from_pydict({"pattern": pa.array(code), "n": pa.array(n.astype(np.int64))})
@@ -197,11 +204,13 @@ def _vote_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = _Words()
-    for batch in batches:
+    for batch in slices(batches):
         made = [read(x.as_py(), cache) for x in batch.column(0)]
+        sparse = [sparse_features(r) for r in made]
         yield pa.RecordBatch.from_pydict({
             "pattern": pa.array([_pattern(votes(r)) for r in made], pa.int64()),
-            "places": pa.array([features(r).astype("<i4").tobytes() for r in made], pa.binary())})
+            "places": pa.array([p.tobytes() for p, _ in sparse], pa.binary()),
+            "values": pa.array([v.tobytes() for _, v in sparse], pa.binary())})
 
 
 def text_scores(weights: np.ndarray, texts, cache: dict) -> list[float]:
@@ -239,8 +248,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> QualityModel:
     share = min(1.0, 1.5 * train_docs / counts.sum() + 1e-9)
     sample = (docs.where(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30)))
               .select("text", order.alias("order")).orderBy("order").limit(train_docs).select("text")
-              .mapInArrow(_sample_features, "pattern bigint, places binary").collect())
-    weights = train([np.frombuffer(r.places, "<i4").astype(np.int64) for r in sample],
+              .mapInArrow(_sample_features, "pattern bigint, places binary, values binary").collect())
+    weights = train([(np.frombuffer(r.places, "<i4"), np.frombuffer(r.values, "<f4")) for r in sample],
                     np.array([posterior.get(r.pattern, 0.5) for r in sample]))
     cast, prior = patterns != ABSTAIN, good * counts
     voted = np.stack([((counts - prior)[:, None] * cast).sum(0), (prior[:, None] * cast).sum(0)])
@@ -249,7 +258,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> QualityModel:
 
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, quality_score in 0..1, keep.
+    """One row per row of ``docs``: doc_id, mark (the text's xxhash64), quality_score in 0..1,
+    keep.
 
     Null, empty and blank texts score 0 and are rejected. Any number of repeated rows or
     ids, ties and extra columns are fine; an empty table gives an empty result.
@@ -259,23 +269,18 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
-        for batch in batches:
-            got = np.array(text_scores(weights.value, (x.as_py() for x in batch.column(1)), cache), float)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(kind), "quality_score": pa.array(got),
-                                              "keep": pa.array(got >= threshold)})
+        for batch in slices(batches):
+            texts = batch.column(1).to_pylist()
+            got = np.array(text_scores(weights.value, texts, cache), float)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0).cast(kind), "mark": pa.array(map(text_mark, texts), pa.int64()),
+                "quality_score": pa.array(got), "keep": pa.array(got >= threshold)})
 
     return docs.select("doc_id", "text").mapInArrow(run, T.StructType([
-        id_field, T.StructField("quality_score", T.DoubleType()), T.StructField("keep", T.BooleanType())]))
+        id_field, T.StructField("mark", T.LongType()), T.StructField("quality_score", T.DoubleType()), T.StructField("keep", T.BooleanType())]))
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, all columns as they were."""
-    weights, place = docs.sparkSession.sparkContext.broadcast(model.weights), docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
-        for batch in batches:
-            got = text_scores(weights.value, (x.as_py() for x in batch.column(place)), cache)
-            yield batch.filter(pa.array([x >= threshold for x in got], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    gone = materialize(score(docs, model, threshold).where("not keep").select("doc_id", "mark"), "dropped")
+    return drop_rows(docs, gone)

@@ -84,7 +84,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(docs))
+    return score(docs, fit(docs)).drop("mark")
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_lm_score, op4_html_text, op5_mix_sources, op6_decontaminate, op7_secrets, op8_exact_dedup,

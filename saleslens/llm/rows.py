@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +12,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces: fewer texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_mark(text: str | None) -> int:
     """What ``xxhash64`` of a text column gives."""
     if text is None:

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saleslens.llm.rows import slices
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -147,7 +149,7 @@ def secret_scan(docs: DataFrame, dictionary: bytes | None = None, novelty: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Novelty(primer.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [[{"kind": k, "start": s, "end": e} for s, e, k in find_spans(text, measure, novelty)]
                      for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(kind), "spans": pa.array(found, pa.list_(span))})

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saleslens.llm.rows import slices
 from saleslens.session import materialize
 
 TOXIC_DOCS, CLEAN_DOCS = 4000, 16000  # bounds of the training sample
@@ -69,7 +70,7 @@ def fold(word: str) -> str:
 
 class _Folds(dict):
     def __missing__(self, word: str) -> str:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = fold(word)
         return value
@@ -114,7 +115,7 @@ class Scorer:
         """The heaviest pattern in a folded word, weight first; (0, "") if there is none."""
         got = self.weights.get(word)
         if got is None:
-            if len(self.weights) > 300_000:
+            if len(self.weights) > 150_000:
                 self.weights.clear()
             hits = self.words.iter(MARK + word + MARK) if len(self.words) else ()
             got = self.weights[word] = max(((w, p) for _, (p, w) in hits), default=(0.0, ""))
@@ -348,7 +349,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*parts.value)
-        for batch in batches:
+        for batch in slices(batches):
             got = [scorer.score(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(kind), "score": pa.array(got, pa.float64())})
 
