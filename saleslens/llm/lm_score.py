@@ -47,11 +47,13 @@ def serial(words: list[bytes]) -> bytes:
 
 def gram_keys(text: np.ndarray) -> np.ndarray:
     """(nearest context byte, .., farthest, byte) of every place from ``DEPTH`` on."""
-    n = len(text) - DEPTH
-    key = np.zeros(max(n, 0), np.uint64)
-    for back in range(1, DEPTH + 1):
-        key = key << np.uint64(8) | text[DEPTH - back:DEPTH - back + n].astype(np.uint64)
-    return key << np.uint64(8) | text[DEPTH:].astype(np.uint64)
+    n = max(len(text) - DEPTH, 0)
+    wide = text.astype(np.uint64)
+    key = wide[DEPTH - 1:DEPTH - 1 + n].copy()
+    for back in [*range(2, DEPTH + 1), 0]:  # the byte itself last
+        np.left_shift(key, np.uint64(8), out=key)
+        np.bitwise_or(key, wide[DEPTH - back:DEPTH - back + n], out=key)
+    return key
 
 
 def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -64,15 +66,45 @@ def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_intdigest(word) >> 1  # room for a flag
         return value
 
 
+def _first_of_runs(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    ordered = np.sort(keys)
+    return ordered[_first_of_runs(ordered)]
+
+
 def _unique(keys: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys, and how often each is among the counted ones."""
-    met = np.unique(keys)
-    trained = np.sort(keys[counted])
-    return met, np.searchsorted(trained, met, "right") - np.searchsorted(trained, met, "left")
+    """The distinct keys (of 63 bits), and how often each is among the counted ones."""
+    flagged = np.sort(keys << np.uint64(1) | counted)
+    ordered = flagged >> np.uint64(1)
+    first = _first_of_runs(ordered)
+    if not len(first):
+        return ordered, np.empty(0, np.int64)
+    return ordered[first], np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), first)
+
+
+_PIECE = 1 << 16
+_PIECE_PLACES = np.arange(_PIECE, dtype=np.uint64)
+
+
+def _look_up(known: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The value of each gram key (48 bits). Pieces are sorted first, each key with its
+    place, so that the search runs along ``known`` instead of jumping about in it."""
+    out = np.empty(len(keys))
+    for start in range(0, len(keys), _PIECE):
+        piece = keys[start:start + _PIECE]
+        packed = np.sort(piece << np.uint64(16) | _PIECE_PLACES[:len(piece)])
+        ordered = packed >> np.uint64(16)
+        first = _first_of_runs(ordered)
+        found = values[np.searchsorted(known, ordered[first])]
+        out[start + (packed & np.uint64(_PIECE - 1)).astype(np.int64)] = np.repeat(found, np.diff(first, append=len(ordered)))
+    return out
 
 
 def _bucket(keys: np.ndarray, kind: int, buckets: int) -> np.ndarray:
@@ -358,12 +390,14 @@ def _scores(id_type: pa.DataType, buckets: int, n_train: int, distinct: int, end
         (grams, _, starts), (words, _, lengths) = _read_chunk(train, sizes, data)
         values = []
         for kind, keys in ((GRAMS, grams), (WORDS, words)):
-            met = np.unique(keys)
+            met = _distinct(keys)
             bucket, got = _bucket(met, kind, buckets), np.zeros(len(met))
+            order = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for (k, b), part in answers.items():
                 if k == kind:
-                    got[bucket == b] = part
-            values.append(got[np.searchsorted(met, keys)])
+                    got[order[cut[b]:cut[b + 1]]] = part
+            values.append(_look_up(met, got, keys) if kind == GRAMS else got[np.searchsorted(met, keys)])
         doc = np.repeat(np.arange(len(ids)), lengths)
         n = len(ids)
         base = np.bincount(doc, np.log10((values[1] + ALPHA) / floor), n) + np.log10((ends + ALPHA) / floor)
