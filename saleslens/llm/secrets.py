@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from saleslens.llm.rows import slices
+from saleslens.session import materialize
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -128,7 +129,8 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def identifier_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     """The corpus's ``words`` commonest identifiers, commonest last (nearest to the text)."""
     counts = docs.select("text").mapInArrow(_identifiers, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(words).collect()
+    # written first: the tasks' candidates meet in a task, the driver gets the chosen words
+    top = materialize(counts.orderBy(F.desc("n"), "word").limit(words), "identifiers").collect()
     best = heapq.nsmallest(words, ((-r.n, bytes(r.word)) for r in top))
     return b" ".join(w for _, w in reversed(best))
 
