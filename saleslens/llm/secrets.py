@@ -1,19 +1,22 @@
 """Secret scan: patterns, and zstandard novelty primed with a dictionary.
 
 Patterns report assignments of credentials, access keys and long hexadecimal runs. The
-novelty scan looks at other unbroken strings near words that speak of credentials: a
+novelty scan looks at other unbroken strings near words that speak of credentials, before or after them: a
 compressor primed with the corpus's identifiers and common words measures how many bytes
-the string adds to the text around it. Names and prose compress away; a string whose
-bytes hardly compress is reported.
+the string adds to the text around it. Names and prose compress away; a string that adds
+about as many bytes as noise of its own alphabet is reported.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -29,18 +32,20 @@ KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the maximal runs of 32 and more
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{8,}={0,2}")  # '=' only as padding: WORD=value has a value
 
 # Words that speak of credentials; lower case.
 SENSITIVE = (b"password", b"passwd", b"passphrase", b"secret", b"token", b"apikey", b"api_key", b"api-key",
              b"access_key", b"private_key", b"credential", b"bearer", b"authorization", b"signature", b"auth_")
 SENSITIVE_RE = re.compile("|".join(x.decode() for x in SENSITIVE), re.I | re.A)
 
-REACH = 64  # characters between the word and the candidate
+REACH = 64  # characters between the word and the candidate, on either side
+# Of fewer bits, a byte more or less would decide; names are letters, numbers digits only.
+LEAST_BITS, LEAST_BITS_ALONE = 48, 96
 CONTEXT = 256  # characters of surrounding text on either side
 PIECE = 32
 NOVELTY = 0.9
-NOISE = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+DIGITS, LOWERS, UPPERS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DICTIONARY_WORDS = 4096
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -60,43 +65,71 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def alphabet(string: str) -> str:
+    """The letters and digits that a string like this one is drawn from."""
+    own = set(string)
+    for hexadecimal in (DIGITS + "abcdef", DIGITS + "ABCDEF"):
+        if own & set(DIGITS) and own & set(hexadecimal[10:]) and own & set(DIGITS + LOWERS + UPPERS) <= set(hexadecimal):
+            return hexadecimal
+    return "".join(kind for kind in (DIGITS, LOWERS, UPPERS) if not own.isdisjoint(kind))
+
+
+def long_enough(string: str) -> bool:
+    """Whether noise of the string's alphabet and length holds the bits of a credential."""
+    kinds, n = alphabet(string), sum(c.isalnum() for c in string)
+    digits = sum(c.isdigit() for c in string)
+    return n * math.log2(len(kinds) or 1) >= (LEAST_BITS if 0 < digits < n else LEAST_BITS_ALONE)
+
+
 class Novelty:
     """How new a string is, given the text around it and a dictionary: the bytes it adds
-    when compressed, as a share of those that noise of the same length adds. Of a longer
-    string, the newest piece of ``PIECE`` characters counts."""
+    when compressed, as a share of those that noise of the same length and alphabet adds,
+    with other signs where the string has them. Of a longer string, the newest piece of
+    ``PIECE`` characters counts."""
 
     def __init__(self, dictionary: bytes):
         primed = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if len(dictionary) >= 8 else {}
         self.compressor = zstandard.ZstdCompressor(level=9, write_content_size=False, **primed)
         draw = random.Random(0)
-        self.noise = bytes(draw.choice(NOISE) for _ in range(2 * PIECE))
+        self.draws = [draw.random() for _ in range(2 * PIECE)]
 
     def added(self, around: bytes, string: bytes) -> int:
         return len(self.compressor.compress(around + string)) - len(self.compressor.compress(around))
 
+    def noise(self, piece: str, kinds: str) -> bytes:
+        return "".join(kinds[int(x * len(kinds))] if c.isalnum() else c for c, x in zip(piece, self.draws, strict=False)).encode()
+
     def __call__(self, text: str, start: int, end: int) -> float:
         around = (text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT] + "\n").encode()
         ends = [*range(start + PIECE, end - PIECE // 2 + 1, PIECE), end]
-        best = 0.0
+        kinds, best = alphabet(text[start:end]), 0.0
         for left, right in zip([start, *ends], ends, strict=False):
-            piece = text[left:right].encode()
-            best = max(best, self.added(around, piece) / max(1, self.added(around, self.noise[:len(piece)])))
+            piece = text[left:right]
+            best = max(best, self.added(around, piece.encode()) / max(1, self.added(around, self.noise(piece, kinds))))
         return best
 
 
+def near_strings(text: str) -> Iterator[tuple[int, int]]:
+    """The unbroken strings within reach of a word, in order, each as a whole; a word in a
+    string cuts it."""
+    words = [m.span() for m in SENSITIVE_RE.finditer(text)]
+    for (_, left), (right, _) in zip([(0, -REACH - 1), *words], [*words, (len(text) + REACH + 1, 0)], strict=True):
+        for m in CANDIDATE.finditer(text, max(left, 0), min(right, len(text))):
+            if m.start() - left <= REACH or right - m.end() <= REACH:
+                # after the word itself, _ and - only join
+                yield m.start() + (len(m[0]) - len(m[0].lstrip("_-")) if m.start() == left else 0), m.end()
+
+
 def novel_spans(text: str, novelty: Novelty, known: list[tuple[int, int, str]], least: float) -> list[tuple[int, int, str]]:
     low = text.encode().translate(LOWER)
     if not any(w in low for w in SENSITIVE):
         return []
+    known = sorted(known)
+    starts, reached = [s for s, _, _ in known], [0, *accumulate((e for _, e, _ in known), max)]
     out = []
-    for word in SENSITIVE_RE.finditer(text):
-        for m in CANDIDATE.finditer(text, word.end(), word.end() + REACH):
-            # the string as a whole, not as far as the reach goes
-            start, end = CANDIDATE.match(text, m.start()).span()
-            if any(s < end and start < e for s, e, _ in known + out):
-                continue
-            if any(c.isdigit() for c in m[0]) and novelty(text, start, end) >= least:
-                out.append((start, end, "novel"))
+    for start, end in near_strings(text):
+        if reached[bisect_left(starts, end)] <= start and long_enough(text[start:end]) and novelty(text, start, end) >= least:
+            out.append((start, end, "novel"))
     return out
 
 

@@ -262,6 +262,27 @@ def test_novel_strings_in_sensitive_context():
     assert secrets.find_spans(f"token = {noise}", novelty) == [(0, 8 + len(noise), "assign")]
 
 
+@pytest.mark.parametrize("before,string,after", [
+    ("AWS_SECRET_ACCESS_KEY=", "q7Zp2LxV9bKdT4mWc8RfYh3N", ""), ("private_key=", "q7Zp2LxV9bKdT4mWc8RfYh3N", ""),
+    ("passphrase=", "q7Zp2LxV9bKdT4mWc8RfYh3N==", ""), ("credential=", "q7Zp2LxV9bKdT4mWc8RfYh3N", " x"),
+    ("https://h/p?signature=", "q7Zp2LxV9bKdT4mWc8RfYh3N", "&x=1"), ("value ", "q7Zp2LxV9bKdT4mWc8RfYh3N", " is the bearer"),
+    ("the bearer is" + " " * 60, "q7Zp2LxV9bKdT4mWc8RfYh3N", ""), ("", "q7Zp2LxV9bKdT4mWc8RfYh3N", " " * 60 + "bearer"),
+    ("credential=", "6f1d2c3a-9b8e-4f70-a1c2-d3e4f5061728", ""), ("signature: ", "9f86d081884c7d659a2f", ""),
+    ("credential='", "k3Xw9TzQ1v", "'"), ("passphrase=", "qZpLxVbKdTmWcRfYhNwE", ""), ("auth_", "q7Zp2LxV9bKdT4mWc8RfYh3N", "")])
+def test_novel_strings_of_every_place_and_alphabet(before, string, after):
+    words = "connection string value deployment production database service account region cluster".split()
+    novelty = secrets.Novelty(" ".join(words * 20).encode())
+    assert secrets.find_spans(before + string + after, novelty) == [(len(before), len(before + string), "novel")]
+
+
+def test_names_near_credential_words_are_not_novel():
+    words = "connection string value deployment production database service account region cluster".split()
+    novelty = secrets.Novelty(" ".join(words * 20).encode())
+    for text in ("private_key=production_database_service_account", "the production_database_service2 credential", "bearer 20240131 1700000000",
+                 "q7Zp2LxV9bKdT4mWc8RfYh3N" + " " * 65 + "bearer", "passphrase=ValueError"):
+        assert secrets.find_spans(text, novelty) == []
+
+
 def test_secrets_query(spark):
     got = {r.doc_id: r for r in queries.op7_secrets(spark, SF).collect()}
     for row in spark.read.parquet(f"{SF}/documents.parquet").collect():
