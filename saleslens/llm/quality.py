@@ -28,6 +28,8 @@ DIMS = 1 << 14
 TRAIN_DOCS = 8000
 THRESHOLD = 0.5
 SHRINK = 8  # features of a short text pull less
+PIECE = 64  # kinds a shape; a longer word has several
+LONG = 127  # in place of the length of such a word
 ABSTAIN, BAD, GOOD = 0, 1, 2
 
 # Votes by a measure of the text: (name, bad when outside this range, good when inside
@@ -57,11 +59,29 @@ class _Kinds(dict):
 _KINDS = _Kinds()
 _RUN = re.compile(r"(.)\1+", re.S)
 _SYMBOL_RUN = re.compile(r"[^aA9]\+")
+_SYMBOL_RUN_OF_KINDS = re.compile(r"([^aA9])\1\1|[^aA9+]\+")  # the same before kinds are shortened
 
 
 def shape(kinds: str) -> str:
     """The shape of a word's kinds: runs shortened to one, of three and more marked +."""
-    return _RUN.sub(lambda m: m[1] + "+" if len(m[0]) > 2 else m[1], kinds[:64])
+    return _RUN.sub(lambda m: m[1] + "+" if len(m[0]) > 2 else m[1], kinds)
+
+
+def _place(form: str) -> int:
+    return zlib.crc32(form.encode()) & (DIMS - 1)
+
+
+def _flags(kinds: str, symbol_run: bool, lower: int, upper: int) -> int:
+    return (symbol_run | (not lower and upper > 1) << 1 | ("!" in kinds) << 2
+            | (not lower + upper and "9" not in kinds) << 3)
+
+
+def long_word(word: str) -> tuple[list[int], int, int]:
+    """Shapes' hashes of the pieces, flags and letters of a whole word of any length."""
+    kinds = word.translate(_KINDS)
+    lower, upper = kinds.count("a"), kinds.count("A")
+    places = [_place(shape(kinds[i:i + PIECE])) for i in range(0, len(kinds), PIECE)]
+    return places, _flags(kinds, bool(_SYMBOL_RUN_OF_KINDS.search(kinds)), lower, upper), lower + upper
 
 
 class _Forms(dict):
@@ -71,18 +91,15 @@ class _Forms(dict):
         if len(self) > 100_000:
             self.clear()
         form = shape(kinds)
-        length = min(len(kinds), 127)
         lower, upper = kinds.count("a"), kinds.count("A")
-        letters = min(lower + upper, length)
-        flags = (bool(_SYMBOL_RUN.search(form)) | (not lower and upper > 1) << 1 | ("!" in kinds) << 2
-                 | (not letters and "9" not in kinds) << 3)
-        value = self[kinds] = (zlib.crc32(form.encode()) & (DIMS - 1)) << 18 | flags << 14 | letters << 7 | length
+        flags = _flags(kinds, bool(_SYMBOL_RUN.search(form)), lower, upper)
+        value = self[kinds] = _place(form) << 18 | flags << 14 | lower + upper << 7 | len(kinds)
         return value
 
 
 class _Words(dict):
     """word -> hash (32 bits) << 31 | what ``_Forms`` has of its kinds (letters a/A, digits 9,
-    other characters as they are)."""
+    other characters as they are), or ``LONG`` for words of more than ``PIECE`` characters."""
 
     def __init__(self):
         super().__init__()
@@ -91,6 +108,8 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 200_000:
             self.clear()
+        if len(word) > PIECE:  # not kept: such words are many and long
+            return zlib.crc32(word.encode()) << 31 | LONG
         value = self[word] = zlib.crc32(word.encode()) << 31 | self.forms[word.translate(_KINDS)]
         return value
 
@@ -101,7 +120,7 @@ class Reading:
 
     n: int
     word: np.ndarray
-    shape: np.ndarray
+    shape: np.ndarray  # of every word, or of every piece of a long one
     seen: np.ndarray  # trigrams that came before in the text
     echo: np.ndarray
     measures: list[float]
@@ -112,8 +131,15 @@ def read(text: str | None, cache: dict) -> Reading:
     n = len(words)
     code = np.fromiter(map(cache.__getitem__, words), np.int64, n)
     word = code >> 31
-    flags = (code >> 14) & 15
-    letters, length = ((code >> 7) & 127).sum(), (code & 127).sum()
+    shapes, flags, letters, lengths = (code >> 18) & (DIMS - 1), (code >> 14) & 15, (code >> 7) & 127, code & 127
+    pieces, after = [], []
+    for i in np.flatnonzero(lengths == LONG).tolist():
+        (shapes[i], *rest), flags[i], letters[i] = long_word(words[i])
+        lengths[i] = len(words[i])
+        pieces += rest
+        after += [i + 1] * len(rest)
+    if pieces:
+        shapes = np.insert(shapes, after, pieces)
     echo = word[1:] == word[:-1]
     tri = (word[:-2] * 1_000_003 + word[1:-1]) * 1_000_003 + word[2:] if n > 2 else word[:0]
     _, first = np.unique(tri, return_index=True)
@@ -121,10 +147,10 @@ def read(text: str | None, cache: dict) -> Reading:
     seen[first] = False
     d = max(n, 1)
     measures = [
-        (flags & 1).sum() / d, letters / max(length, 1), ((flags >> 1) & 1).sum() / d,
+        (flags & 1).sum() / d, letters.sum() / max(lengths.sum(), 1), ((flags >> 1) & 1).sum() / d,
         ((flags >> 2) & 1).sum() / d, ((flags >> 3) & 1).sum() / d, echo.sum() / d,
-        len(np.unique(word)) / d, seen.sum() / max(len(tri), 1), ((code & 127) <= 3).sum() / d]
-    return Reading(n, word, (code >> 18) & (DIMS - 1), seen, echo, measures)
+        len(np.unique(word)) / d, seen.sum() / max(len(tri), 1), (lengths <= 3).sum() / d]
+    return Reading(n, word, shapes, seen, echo, measures)
 
 
 def votes(reading: Reading) -> list[int]:

@@ -101,6 +101,44 @@ def test_quality_edges(spark):
     assert kept.count() == sum(r.keep for r in quality.score(docs, model).collect())
 
 
+def test_long_words_are_read_whole():
+    cache = quality._Words()
+    at = dict(zip([x[0] for x in quality.LABELLERS], range(9), strict=True))
+    reading = quality.read("x" * 200 + "#%" * 4500, cache)
+    assert abs(reading.measures[at["letters"]] - 200 / 9200) < 1e-12
+    assert len(reading.shape) == 144 and len(reading.word) == reading.n == 1
+    for junk in ("#####", "!"):
+        start = "Ab" * 40  # what comes after the first piece counts
+        one, other = quality.read(start + "cd" * 40, cache), quality.read(start + junk + "cd" * 40, cache)
+        assert one.measures != other.measures and sorted(one.shape) != sorted(other.shape)
+    # a run over the edge of two pieces
+    assert quality.read("a" * 63 + "##" + "#" + "b" * 20, cache).measures[at["symbol_runs"]] == 1
+    # pieces stand in the place of their word
+    before, after = (quality.read(w, cache).shape[0] for w in ("One", "two!"))
+    mixed = quality.read("One " + "9-" * 50 + " two!", cache).shape
+    assert (mixed[0], mixed[-1], len(mixed)) == (before, after, 4)
+
+
+def test_short_words_are_read_as_before():
+    words = "One TWO three!!! 4,5 --- a+ x" + "y" * 62 + " é" + "Z" * 63
+    reading = quality.read(words, quality._Words())
+    kinds = [w.translate(quality._KINDS) for w in words.split()]
+    low = quality.DIMS // 2 - 1
+    assert (reading.shape & low).tolist() == [zlib.crc32(quality.shape(k).encode()) & low for k in kinds]
+    letters = sum(c in "aA" for k in kinds for c in k)
+    assert abs(reading.measures[1] - letters / sum(map(len, kinds))) < 1e-12
+
+
+def test_texts_without_spaces_are_judged_whole():
+    draw = random.Random(3)
+    weights = np.zeros(quality.DIMS + 1)
+    junk = zlib.crc32(quality.shape("#" * 10).encode()) & (quality.DIMS - 1)
+    weights[junk] = -5.0
+    clean = "".join(draw.choice("春夏秋冬山川") for _ in range(640))
+    good, bad = quality.text_scores(weights, [clean, clean + "#" * 6400], quality._Words())
+    assert good == 0.5 and bad < 0.1
+
+
 # --- language model
 
 def brute_ctw(train, texts, depth):
