@@ -21,14 +21,18 @@ from pyspark.sql import types as T
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s>/][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?")
 WORD = re.compile(r"[a-z]+")
 
 # Elements by what they mean for text blocks.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template svg math iframe object canvas xmp noembed noframes select audio video".split())
+RAW = set("script style title textarea iframe xmp noembed noframes".split())  # to the end of the page if never closed
+SKIPPED = set("noscript template svg object canvas select audio video".split())  # left out if closed
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-             "strong sub sup time tt u var wbr img br".split())
+             "strong sub sup time tt u var wbr img br math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded "
+             "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+             "none semantics annotation annotation-xml".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 BOILER = set("nav aside form menu footer header button dialog fieldset head datalist".split())
 MAIN = set("article main".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -39,6 +43,51 @@ HINTS = set("ad ads advert advertisement advertising adverts adsense banner bann
             "widget widgets menu nav navigation navbar breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments "
             "commentlist disqus respond reply replies discussion responses related recommended share sharing social login signin signup "
             "search pagination pager legal copyright disclaimer complementary contentinfo tags byline meta skip".split())
+# Of those, words of a page's layout, or of an article's own sections.
+LAYOUT = set("banner banners notice notices alert alerts notification modal overlay sidebar widget widgets menu nav navigation navbar "
+             "breadcrumb breadcrumbs footer header masthead topbar toolbar respond discussion responses related recommended share sharing "
+             "social search pagination pager legal copyright disclaimer tags byline meta skip".split())
+BESIDE = set("has with without no".split())  # class="with-sidebar" is no sidebar
+
+
+def hints_at(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether the attributes name the element as other than an article.
+
+    On <article> and <main> only a whole name that is not about layout does
+    (class="comment", not "with-sidebar" or "has-comments"). Ids are also anchors: on
+    headings they say nothing, inside an article only what is not about layout.
+    """
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in ("hidden", "aria-hidden"):
+            if value != "false":
+                return True
+        elif tag in MAIN:
+            if name in ("class", "id", "role") and any(
+                    "".join(WORD.findall(x)) in HINTS - LAYOUT and len(WORD.findall(x)) == 1 for x in value.split()):
+                return True
+        elif name == "id":
+            if tag not in HEADINGS and not (HINTS - LAYOUT if in_main else HINTS).isdisjoint(WORD.findall(value)):
+                return True
+        elif name == "class":
+            words = [WORD.findall(x) for x in value.split()]
+            if any(x and x[0] not in BESIDE and not HINTS.isdisjoint(x) for x in words):
+                return True
+        elif name in ("role", "itemprop", "aria-label") and not HINTS.isdisjoint(WORD.findall(value)):
+            return True
+    return False
+
+
+def closed_elements(page: str, tag: str) -> dict[int, int]:
+    """Start of every ``tag`` element that is closed -> its end; elements may nest."""
+    opened, out = [], {}
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?![^\s/>])[^>]*(?:>|\Z)", page, re.I):
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                opened.append(m.start())
+        elif opened:
+            out[opened.pop()] = m.end()
+    return out
 
 
 @dataclass
@@ -71,7 +120,7 @@ class _Page:
         words = "".join(self.parts).split()
         if words:
             main, boiler, hint = self.depth()
-            heading = int(any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in self.open))
+            heading = int(any(x[0] in HEADINGS for x in self.open))
             self.blocks.append(Block(" ".join(words), len(words), min(self.linked, len(words)), main, boiler, hint, heading))
         self.parts, self.linked = [], 0
 
@@ -98,14 +147,7 @@ class _Page:
         elif tag == "a":
             self.close("a")
         main, boiler, hint = self.depth()
-        hinted = 0
-        if attributes:
-            for m in ATTRIBUTE.finditer(attributes):
-                value = (m[2] or m[3] or m[4] or "").lower()
-                if m[1].lower() in ("hidden", "aria-hidden"):
-                    hinted |= value != "false"
-                else:
-                    hinted |= not HINTS.isdisjoint(WORD.findall(value))
+        hinted = bool(attributes) and hints_at(tag, attributes, main > 0)
         if tag in MAIN and not hinted:
             main += 1
         elif tag in BOILER and not (tag == "header" and main and not hinted):
@@ -118,6 +160,7 @@ class _Page:
 def blocks_of(page: str | None) -> list[Block]:
     """The text blocks of a page in order; text is decoded, its white space single spaces."""
     state, at, page = _Page(), 0, page or ""
+    closed: dict[str, dict[int, int]] = {}
     while at < len(page):
         m = TOKEN.search(page, at)
         text = page[at:m.start()] if m else page[at:]
@@ -140,6 +183,10 @@ def blocks_of(page: str | None) -> list[Block]:
         elif tag in RAW and not attributes.endswith("/"):
             found = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = found.end() if found else len(page)
+        elif tag in SKIPPED:
+            if tag not in closed:
+                closed[tag] = closed_elements(page, tag)
+            at = max(at, closed[tag].get(m.start(), at))
         elif tag not in VOID:
             state.begin(tag, attributes)
     state.flush()
@@ -196,6 +243,10 @@ LABELLED: list[list[tuple[str, int | None]]] = [
     [(_LONG, 1)],
     [(f"<div>{_MORE}</div>", 0), (f"<p>{_LONG}</p>", 0), (f"<p>{_SHORT}</p>", 0), ("<article>", None), (f"<p>{_MORE}</p>", 1), (f"<p>{_LONG}</p>", 1),
      ("</article>", None), (f"<p>{_LONG}</p>", 0), (f"<p>{_MORE}</p>", 0), (f"<div>{_LONG} {_MORE}</div>", 0), (f"<p>{_SHORT}</p>", 0)],
+    [(_NAV, 0), ("<article style='overflow:hidden' class='post with-sidebar'>", None), ("<h1 title='A hidden valley'>The river</h1>", 1),
+     (f"<p>{_LONG} <math><mi>a</mi><mo>=</mo><mn>2</mn></math></p>", 1), ("<section id='discussion'>", None),
+     ("<h2 id='related-work'>Related work</h2>", 1), (f"<p>{_MORE}</p>", 1), ("</section>", None), ("</article>", None),
+     (f"<article class='comment depth-2'><p>{_MORE}</p></article>", 0), (f"<footer>{_SHORT}</footer>", 0)],
 ]
 
 

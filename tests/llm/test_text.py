@@ -247,6 +247,28 @@ def test_main_text(page, want):
     assert html_text.main_text(page, TREE) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article style='overflow:hidden'><p>one</p></article><p>other</p>", "one"),
+    ("<article><p title='A hidden valley'>one</p><div data-class=\"ad\" data-id=menu><p>two</p></div></article>", "one\ntwo"),
+    ("<article><p>one</p><p hidden>two</p><p class = 'ad'>three</p><p data-x='y'hidden>four</p></article>", "one"),
+    ("<article class='post with-sidebar has-comments' id=search><p>one</p></article><p>other</p>", "one"),
+    ("<main class='page-header'><p>one</p></main><p>other</p>", "one"),
+    ("<article><p>one</p></article><article class='comment' id=comment-7><p>two</p></article>", "one"),
+    ("<article><p>one</p><h2 id=related-work>two</h2><section id=discussion><p>three</p></section><div id=comments><p>four</p></div></article>",
+     "one\ntwo\nthree"),
+    ("<article><p>if <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds</p></article>", "if x = 2 holds"),
+    ("<article><p>a</p><svg><svg><text>no</text></svg><text>no</text></svg><p>b</p></article>", "a\nb"),
+    ("<article><p>a</p><video hidden><p>b</p><select class=menu><p>c</p><svg><text>no</text></svg></article>", "a\nb\nc"),
+    ("<article><p>a</p><svg><p>b</p><svg><text>no</text></svg><noscript>no</noscript><template/><p>c</p></article>", "a\nb\nc"),
+    ("<article><p>a</p><script>b <p>c</p></article>", "a")])
+def test_main_text_keeps_what_is_no_hint(page, want):
+    assert html_text.main_text(page, TREE) == want
+
+
+def test_unclosed_elements_take_linear_time():
+    assert len(html_text.blocks_of("<article>" + "<svg><p>a" * 20_000)) == 20_000
+
+
 def test_html_query_on_the_pages(spark):
     got = {r.page_id: r for r in queries.op4_html_text(spark, SF).collect()}
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
