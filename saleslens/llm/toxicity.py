@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +27,10 @@ from saleslens.llm.rows import slices
 from saleslens.session import materialize
 
 TOXIC_DOCS, CLEAN_DOCS = 4000, 16000  # bounds of the training sample
-MIN_SUPPORT, MIN_SHARE = 8, 0.01  # toxic documents that hold a pattern: number and share
+MIN_SUPPORT = 8  # toxic documents that hold a pattern, however many there are
 MIN_VARIETY = 0.8  # different surroundings among them
-MAX_CLEAN_SHARE = 0.02  # of the pattern's rate in toxic documents, exceptions aside
+MIN_WEIGHT, MIN_EVIDENCE = float(np.log(4)), 16.0  # log odds, and their likelihood ratio statistic, exceptions aside
+SHINGLE, HASHES = 3, 4  # texts that share so many min-hashes of word groups are copies
 MAX_DOUBTFUL, DOUBTFUL_SHARE = 2000, 0.7  # whole words that exceptions may yet clear: number and share
 MAX_CANDIDATES = 50_000
 STEMS = range(4, 9)  # lengths of word beginnings
@@ -255,8 +257,7 @@ def _choose(held: list[dict[str, str]], clean: dict[str, int], weight) -> dict[s
         for pattern, context in own.items():
             docs[pattern] = docs.get(pattern, 0) + 1
             around.setdefault(pattern, set()).add(context)
-    least = max(MIN_SUPPORT, MIN_SHARE * len(held))
-    fit = [p for p, n in docs.items() if n >= least and len(around[p]) >= MIN_VARIETY * n]
+    fit = [p for p, n in docs.items() if n >= MIN_SUPPORT and len(around[p]) >= MIN_VARIETY * n]
     out: dict[str, float] = {}
     for pattern in sorted(fit, key=lambda p: (-docs[p], -len(p), p)):
         if not any(pattern.startswith(p) or p.startswith(pattern) for p in out):
@@ -265,11 +266,25 @@ def _choose(held: list[dict[str, str]], clean: dict[str, int], weight) -> dict[s
 
 
 def _unlike(sample: DataFrame) -> DataFrame:
-    """One of documents that share two min-hashes of their words: copies teach nothing."""
-    words = F.split(F.lower("text"), r"\s+")
-    names = [f"h{i}" for i in (1, 2)]
-    hashes = [F.array_min(F.transform(words, lambda w, i=i: F.xxhash64(F.lit(i), w))).alias(f"h{i}") for i in (1, 2)]
-    return sample.select("*", *hashes).dropDuplicates(["toxic", *names])
+    """One of documents that share ``HASHES`` min-hashes of their groups of ``SHINGLE``
+    words: copies teach nothing. Unlike texts share words, but hardly such groups."""
+    names = [f"h{i}" for i in range(HASHES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odd = np.random.default_rng(0).integers(1 << 62, size=(HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for batch in slices(batches):
+            least = []
+            for text in batch.column(0).to_pylist():
+                words = (text or "").lower().split()
+                groups = {" ".join(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+                own = np.array([xxhash.xxh64_intdigest(g) for g in groups], np.uint64)
+                least.append((own * odd).min(axis=1).view(np.int64))
+            made = np.array(least, np.int64).reshape(-1, HASHES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(made[:, i]) for i in range(HASHES))],
+                                             ["text", "toxic", *names])
+
+    hashed = sample.select("text", "toxic").mapInArrow(run, "text string, toxic int, " + ", ".join(f"{n} bigint" for n in names))
+    return hashed.dropDuplicates(["toxic", *names])
 
 
 def _sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int) -> DataFrame:
@@ -307,12 +322,16 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     candidates = {r.pattern: r.n for r in met}
     clean_counts = {r.pattern: r.n for r in counted(clean, spark.sparkContext.broadcast(set(candidates))).collect()}
 
-    def clean_share(pattern: str, t: int, c: int) -> float:
-        return (c / max(n_clean, 1)) / (t / n_toxic)
+    def speaks(t: int, c: int) -> bool:
+        """Whether the log odds are clearly positive."""
+        rate = n_toxic / (n_toxic + n_clean)
+        evidence = 2 * sum(k * np.log(k / ((t + c) * r)) for k, r in ((t, rate), (c, 1 - rate)) if k)
+        return weight(t, c) >= MIN_WEIGHT and evidence >= MIN_EVIDENCE
 
-    shares = {p: clean_share(p, t, clean_counts.get(p, 0)) for p, t in candidates.items()}
-    doubtful = sorted((s, p) for p, s in shares.items() if MAX_CLEAN_SHARE < s <= DOUBTFUL_SHARE and p.endswith(MARK))
-    wanted = {p for p, s in shares.items() if s <= MAX_CLEAN_SHARE} | {p for _, p in doubtful[:MAX_DOUBTFUL]}
+    sure = {p for p, t in candidates.items() if speaks(t, clean_counts.get(p, 0))}
+    shares = {p: (clean_counts.get(p, 0) / max(n_clean, 1)) / (t / n_toxic) for p, t in candidates.items()}
+    doubtful = sorted((s, p) for p, s in shares.items() if p not in sure and s <= DOUBTFUL_SHARE and p.endswith(MARK))
+    wanted = sure | {p for _, p in doubtful[:MAX_DOUBTFUL]}
     held = [r.held for r in toxic.select("text").mapInArrow(
         _holders(spark.sparkContext.broadcast(wanted)), "held map<string,string>").collect()]
     lexicon = _choose(held, clean_counts, weight)
@@ -323,12 +342,12 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
         near.setdefault(r.phrase, [0, 0])[r.toxic] += r.n
     exceptions = sorted(p for p, (c, t) in near.items() if c >= 3 and weight(t, c) < 0)
 
-    # Only words that are rare in other documents, exceptions aside, stay in the lexicon.
+    # Only words that are clearly rarer in other documents, exceptions aside, stay in the lexicon.
     left: dict[str, list[int]] = {}
     for r in (both.mapInArrow(_hit_counts(spark.sparkContext.broadcast((lexicon, exceptions, [0, 0, 0]))),
                               "pattern string, toxic int, n bigint").groupBy("pattern", "toxic").agg(F.sum("n").alias("n")).collect()):
         left.setdefault(r.pattern, [0, 0])[r.toxic] += r.n
-    lexicon = {p: weight(t, c) for p, (c, t) in left.items() if t >= MIN_SUPPORT and clean_share(p, t, c) <= MAX_CLEAN_SHARE}
+    lexicon = {p: weight(t, c) for p, (c, t) in left.items() if t >= MIN_SUPPORT and speaks(t, c)}
     kept = Scorer(lexicon, [], [0, 0, 0])
     exceptions = [p for p in exceptions if any(kept.hit(w)[1] for w in p.split())]
 

@@ -62,6 +62,29 @@ def test_learns_words_stems_and_exceptions(spark):
     assert right >= 285  # of 300 held out
 
 
+def test_support_does_not_grow_with_the_sample():
+    held = [{" rare ": f"a{i}\x20b{i}"} for i in range(8)] + [{}] * 3992
+    assert toxicity._choose(held, {}, lambda t, c: 1.0) == {" rare ": 1.0}
+
+
+def test_words_stay_though_a_fifth_of_the_labels_is_missing(spark):
+    draw = random.Random(2)
+    plain = [f"{a}{b}" for a in ("ta", "lo", "mi", "ru") for b in ("ne", "sa", "ko", "vi", "du")]
+    rows, labels = [], []
+    for i in range(900):
+        words = [draw.choice(plain) for _ in range(40)]
+        if i % 3 == 0:
+            words[draw.randrange(40)] = ("zxfool", "grubvar")[i % 2]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0 and i % 5 != 0)))
+    docs, frame = docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    # all of them are made of the same few words, none is a copy
+    assert toxicity._unlike(docs.join(frame, "doc_id").select("text", "toxic")).count() == 900
+    model = toxicity.fit(docs, frame)
+    found = toxicity.Scorer(*model.parts())
+    assert found.hit("zxfool")[0] > 1 and found.hit("grubvar")[0] > 1 and not any(found.hit(w)[1] for w in plain)
+
+
 def test_toxicity_query(spark):
     got = queries.op2_toxicity(spark, "/root/testdata/sf0.01").toPandas()
     assert list(got.columns) == ["doc_id", "held_out", "score", "predicted"]
