@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from saleslens.llm import toxicity
 from saleslens.llm.decontaminate import decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
+from saleslens.llm.fill_middle import fill_middle, restored
 from saleslens.llm.html_text import extract
 from saleslens.llm.line_dedup import line_dedup
 from saleslens.llm.lm_score import score_texts
 from saleslens.llm.mixing import mix
 from saleslens.llm.ngram_join import ngram_join
+from saleslens.llm.packing import pack
 from saleslens.llm.quality import fit, score
 from saleslens.llm.secrets import secret_scan
+from saleslens.llm.variants import spelling_variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,5 +90,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs)).drop("mark")
 
 
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_lm_score, op4_html_text, op5_mix_sources, op6_decontaminate, op7_secrets, op8_exact_dedup,
-                                  op9_ngram_join, op10_quality)}
+                                  op9_ngram_join, op10_quality, op11_pack, op12_fill_middle, op13_spelling_variants)}

@@ -129,6 +129,82 @@ SELECT doc_id, source, epoch, block,
 FROM u
 """
 
+OP12 = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+'), []) AS units,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+d AS (
+  SELECT *, len(units) AS n, {", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))}
+  FROM t),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+         array_to_string(units[high + 1:], '') AS suffix
+  FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _crc_entry(i: int) -> int:
+    for _ in range(8):
+        i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
+_CRC = f"[{', '.join(str(_crc_entry(i)) for i in range(256))}]"
+_BYTES = "list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)"
+
+OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, {LOWER.format('run')} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (
+  SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}),
+                                 lambda c, b: xor(({_CRC}::BIGINT[])[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) AS h
+  FROM bytes),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT DISTINCT c.word AS longer, c.n AS longer_n, w.word AS shorter, w.n AS shorter_n FROM cuts c JOIN words w ON w.word = c.a || c.b),
+near AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM cuts x JOIN cuts y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT longer, longer_n, shorter, shorter_n FROM pairs
+  UNION SELECT shorter, shorter_n, longer, longer_n FROM pairs),
+best AS (
+  SELECT word, count(*)::BIGINT AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 10 * w.n THEN other_n END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, form AS last, 1 AS step FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT way.word, f.form, step + 1 FROM way JOIN formed f ON f.word = way.last WHERE f.form IS NOT NULL),
+lasts AS (SELECT word, arg_max(last, step) AS root FROM way GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n
+FROM formed LEFT JOIN lasts USING (word)
+"""
+
 ORACLE_SQL = {"op5_mix_sources": OP5,
               "op1_line_dedup": OP1, "op6_decontaminate": OP6, "op8_exact_dedup": OP8,
-              "op9_ngram_join": OP9}
+              "op9_ngram_join": OP9, "op12_fill_middle": OP12, "op13_spelling_variants": OP13}
