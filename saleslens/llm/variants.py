@@ -198,8 +198,11 @@ def near_words(index: OneWay, queries: list[str], halves: np.ndarray) -> tuple[n
         ok = blow < bhigh
         inside = ok & (t < size[owner]) & (symbol != letter(owner, np.full(len(owner), t)))
         new.append((owner[inside], blow[inside], bhigh[inside], np.full(inside.sum(), t + 1)))  # replaced
+        # within a run of one letter an insertion or deletion is made at its end only
+        ok &= symbol != letter(owner, np.full(len(owner), t))
         new.append((owner[ok], blow[ok], bhigh[ok], np.full(ok.sum(), t)))  # inserted
-        gone = may & (t < size[clean])
+        here = np.full(len(clean), t)
+        gone = may & (t < size[clean]) & (letter(clean, here) != letter(clean, here + 1))
         new.append((clean[gone], low[gone], high[gone], np.full(gone.sum(), t + 1)))  # deleted
         # edited walks read on: those with the edit above wait for their place
         who, elow, ehigh, reads = (np.concatenate(x) for x in zip((who, elow, ehigh, reads), *new))
@@ -314,7 +317,8 @@ def _one_side(words: DataFrame, left: bool, chars: int, block_chars: int, visito
             parts[r.block] = math.ceil(r["count"] / visitors)
         parts = [max(1, p) for p in parts]
     visits = words.mapInArrow(_visits(bounds, parts, left), VISIT)
-    return visits.groupBy("block", "part").applyInArrow(_search(left), OUT)
+    # as many tasks as parts: few bytes a part, but each is a lot of work
+    return visits.repartition(sum(parts), "block", "part").groupBy("block", "part").applyInArrow(_search(left), OUT)
 
 
 def forms(words: DataFrame, factor: int = FACTOR, block_chars: int = BLOCK_CHARS, visitors: int = VISITORS) -> DataFrame:

@@ -257,7 +257,7 @@ def test_index_walks_find_what_edits_find():
 def test_spelling_variants_edges(spark):
     base = "Reference reference REFERENCE Straße straße ÀÉÎÕÜßß ÀÉÎÕÜßß ×÷×÷×÷× word_word123wordword "
     rows = [(i, base + "referencs " * (i % 2)) for i in range(70)] + [
-        (200, None), (201, ""), (202, "short"), (None, base), (203, "refarence referencees" * 2), (203, "refarence"), (204, "y" * 70_000 + " " + "y" * 70_000)]
+        (200, None), (201, ""), (202, "short"), (None, base), (203, "refarence referencees" * 2), (203, "refarence"), (204, "y" * 9000 + " " + "y" * 9000 + " " + "y" * 9001 + " " + "y" * 9001)]
     got = variants.spelling_variants(docs_frame(spark, rows))
     assert rows_of(got) == brute_forms(brute_vocabulary(rows))
     assert got.where("form IS NOT NULL").count() > 0
