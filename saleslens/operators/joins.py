@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saleslens.operators.periods import MONTH_COLUMN, YEAR_COLUMN, by_month
 
 BROADCAST_BYTES = 8 << 20
 
@@ -33,7 +34,11 @@ def by_calendar(sales: DataFrame, calendar: DataFrame, attrs: Sequence[str],
 
     A Calendar of up to some centuries is broadcast (its plan's size is checked), so the
     fact side is not shuffled. Sales dated outside its span are dropped, as an inner join
-    does; ``star_from_tpch`` spans all order dates.
+    does; ``star_from_tpch`` spans all order dates. Facts in the monthly layout join on
+    their partition columns too, so a filter on the Calendar prunes months as it runs.
     """
-    cal = calendar.select(F.col("full_date").alias("_cal_date"), *attrs)
-    return sales.join(small(cal), sales[date_col] == F.col("_cal_date")).drop("_cal_date")
+    keys = [(date_col, "full_date")]
+    if date_col == "sale_date" and by_month(sales):
+        keys += [(YEAR_COLUMN, "year"), (MONTH_COLUMN, "month")]
+    cal = calendar.select(*[F.col(c).alias(f"_cal_{c}") for _, c in keys], *attrs)
+    return sales.join(small(cal), [sales[k] == F.col(f"_cal_{c}") for k, c in keys]).drop(*[f"_cal_{c}" for _, c in keys])

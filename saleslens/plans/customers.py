@@ -32,9 +32,10 @@ def rfm_base(sales: DataFrame, customers: DataFrame, as_of=RFM_AS_OF,
     monetary (revenue, DECIMAL) per customer group; customers without sales drop out.
 
     Sales are reduced per customer_id first; the regroup by ``group_cols`` after the join
-    keeps the result identical to grouping the joined rows directly.
+    keeps the result identical to grouping the joined rows directly. Sales that were reduced
+    before (``state.state_sales``, told by their ``monetary``) are taken as they are.
     """
-    per = sales.groupBy("customer_id").agg(
+    per = sales if "monetary" in sales.columns else sales.groupBy("customer_id").agg(
         F.max("sale_date").alias("last_date"), F.count("sale_id").alias("frequency"),
         F.sum("total_amount").alias("monetary"))
     cols = list(dict.fromkeys(["customer_id", *group_cols]))

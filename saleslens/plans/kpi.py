@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.functions.expr import as_double, as_long, in_year, round_half_up, safe_ratio
+from saleslens.functions.expr import as_double, as_long, round_half_up, safe_ratio
+from saleslens.operators.periods import where_year
 
 # KPI labels (suffixed with the year) and units, in output order.
 KPI_ROWS = (
@@ -23,7 +24,7 @@ KPI_ROWS = (
 
 def filter_year(df: DataFrame, year: int, date_col: str = "sale_date") -> DataFrame:
     """M-08: rows of one calendar year, as a date range the scan can push down."""
-    return df.where(in_year(date_col, year))
+    return where_year(df, year, date_col)
 
 
 def _year_aggregate(sales: DataFrame, year: int | None) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.functions.expr import as_double, as_long, in_period, safe_ratio
+from saleslens.functions.expr import as_double, as_long, safe_ratio
 from saleslens.operators.joins import join_null_safe, small
+from saleslens.operators.periods import where_period
 from saleslens.operators.windows import global_rank, top_n_per_group
 from saleslens.session import materialize
 from saleslens.plans.revenue import product_totals
@@ -73,7 +74,7 @@ def unsold_products(products: DataFrame, sales: DataFrame, start=None, end=None)
     Anti join against the distinct sold ids: the fact side is de-duplicated map-side
     before its shuffle.
     """
-    sold = sales.where(in_period("sale_date", start, end)).select("product_id").distinct()
+    sold = where_period(sales, start, end).select("product_id").distinct()
     return (products.join(sold, "product_id", "left_anti")
             .select(as_long("product_id").alias("product_id"), "product_name", "brand", "category",
                     as_double("unit_price").alias("unit_price"), "launch_date")

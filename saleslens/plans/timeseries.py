@@ -15,9 +15,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslens.functions.expr import as_double, as_long, in_period, round_half_up, safe_ratio
+from saleslens.functions.expr import as_double, as_long, round_half_up, safe_ratio
 from saleslens.operators.joins import by_calendar
-
+from saleslens.operators.periods import where_period
 
 
 def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -65,11 +65,29 @@ def _two_year_pivot(periods: DataFrame, key: list[str], base: int, current: int)
                     .alias("change_pct"))
 
 
-def revenue_yoy_quarter(sales: DataFrame, calendar: DataFrame, base: int, current: int) -> DataFrame:
+def _between_years(sales: DataFrame, base: int, current: int) -> DataFrame:
+    """Sales from the earlier to the later year: the bounds reach the scan of the facts."""
+    low, high = sorted((base, current))
+    return where_period(sales, dt.date(low, 1, 1), dt.date(high + 1, 1, 1))
+
+
+def revenue_yoy_quarter(sales: DataFrame, calendar: DataFrame, base: int, current: int,
+                        months: DataFrame | None = None) -> DataFrame:
     """G-06: per quarter, revenue of two years, absolute and % change (NULL when the base
-    year has no revenue in that quarter). Every quarter with sales in any year appears."""
-    q = (by_calendar(sales, calendar, ["year", "quarter"])
-         .groupBy("year", "quarter").agg(F.sum("total_amount").alias("revenue")))
+    year has no revenue in that quarter). Every quarter with sales in any year appears.
+
+    ``months``, the (year, month) known to hold sales, tells the quarters without reading
+    them (``layout.months_present``): then only the two years' sales are read.
+    """
+    if months is None:
+        dated = by_calendar(sales, calendar, ["year", "quarter"])
+    else:
+        dated = by_calendar(_between_years(sales, base, current), calendar.where(F.col("year").isin(base, current)),
+                            ["year", "quarter"])
+    q = dated.groupBy("year", "quarter").agg(F.sum("total_amount").alias("revenue"))
+    if months is not None:
+        known = calendar.join(months, ["year", "month"]).select("quarter").distinct()
+        q = q.unionByName(known.select(F.lit(base).alias("year"), "quarter", F.lit(0).cast("decimal(38,2)").alias("revenue")))
     return (_two_year_pivot(q, ["quarter"], base, current)
             .withColumn("quarter", as_long("quarter"))
             .orderBy("quarter"))
@@ -90,10 +108,7 @@ def revenue_moving_avg(sales: DataFrame, calendar: DataFrame, months: int = 3) -
 def monthly_trend(sales: DataFrame, calendar: DataFrame, base: int, current: int) -> DataFrame:
     """M-02: per month of the year, revenue of ``base`` vs ``current`` year."""
     years = calendar.where(F.col("year").isin(base, current))
-    # The bounds of both years reach the scan of the facts, not only the calendar.
-    low, high = min(base, current), max(base, current)
-    dated = sales.where(in_period("sale_date", dt.date(low, 1, 1), dt.date(high + 1, 1, 1)))
-    m = (by_calendar(dated, years, ["year", "month", "month_name"])
+    m = (by_calendar(_between_years(sales, base, current), years, ["year", "month", "month_name"])
          .groupBy("year", "month", "month_name").agg(F.sum("total_amount").alias("revenue")))
     return (_two_year_pivot(m, ["month", "month_name"], base, current)
             .withColumn("month", as_long("month"))
