@@ -12,11 +12,25 @@ from saleslens.operators.periods import MONTH_COLUMN, YEAR_COLUMN, by_month
 BROADCAST_BYTES = 8 << 20
 
 
+# Nodes whose output may be larger than Spark's estimate of it.
+_GROWING = ("Generate", "Expand", "Join", "MapInArrow", "MapInPandas", "FlatMapGroups", "Window")
+
+
 def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if its plan's size (known for written tables and day
-    ranges, else an upper estimate) is at most ``BROADCAST_BYTES``; else as it is."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    """``df`` marked for broadcast if it is known to hold at most ``BROADCAST_BYTES``; else as it is.
+
+    The size is known for written tables, ranges and what filters, projections and
+    aggregates make of them. A plan that may grow in between (an exploded day list, a join)
+    has no known size and is never marked: write it first.
+    """
+    frame = getattr(df, "_jdf", None)
+    if frame is None:  # no JVM to ask
+        return df
+    plan = frame.queryExecution().optimizedPlan()
+    nodes = [line.lstrip(" :+-").split(" ")[0] for line in plan.toString().splitlines()]
+    if any(n.startswith(_GROWING) for n in nodes):
+        return df
+    return F.broadcast(df) if int(str(plan.stats().sizeInBytes())) <= BROADCAST_BYTES else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

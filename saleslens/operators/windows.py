@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslens.operators.joins import join_null_safe
-from saleslens.session import materialize
+from saleslens.session import evaluated_once, materialize
 
 ROWS_A_TASK = 4_000_000
 
@@ -59,8 +59,9 @@ def _numbered(df: DataFrame, order_col: str, ascending: bool, tie_break: str | S
     parts = list(partition_by)
     ties = [tie_break] if isinstance(tie_break, str) else list(tie_break)
     order = [*[F.col(c).asc() for c in parts], _direction(order_col, ascending), *[F.col(c).asc() for c in ties]]
+    df, rows = evaluated_once(df, "numbered")
     placed = materialize(
-        df.repartitionByRange(_tasks(df, df.count(), rows_a_task), *order).sortWithinPartitions(*order)
+        df.repartitionByRange(_tasks(df, rows, rows_a_task), *order).sortWithinPartitions(*order)
         .withColumn(_AT, F.monotonically_increasing_id())
         .withColumn(_TASK, F.shiftright(_AT, _PLACE_BITS).cast("int"))
         .withColumn(_AT, F.col(_AT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))), "ordered")

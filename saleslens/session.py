@@ -11,7 +11,8 @@ import contextvars
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Session settings the analysis plans rely on. Adaptive execution re-plans joins from
 # runtime sizes (broadcast only when the measured side is small), coalesces tiny
@@ -87,6 +88,29 @@ def materialize(df: DataFrame, name: str = "table", compression: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+_PLAIN = ("Project", "Filter", "Relation", "SubqueryAlias", "Range", "LocalRelation")
+
+
+def evaluated_once(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """``df`` for steps that read it several times, and its number of rows.
+
+    A plan of scans, filters and projections is read again; any other is written first
+    and counted by that write, so its joins and aggregates run once.
+    """
+    nodes = [line.lstrip(" :+-").split(" ")[0] for line in _optimized(df).splitlines() if line.strip()]
+    if all(n.split("[")[0].startswith(_PLAIN) for n in nodes):
+        return df, df.count()
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return written, seen.get["n"]
+
+
+def _optimized(df: DataFrame) -> str:
+    """The optimized plan as text; of a client without a JVM, a plan of an unknown node."""
+    frame = getattr(df, "_jdf", None)
+    return "Unknown" if frame is None else frame.queryExecution().optimizedPlan().toString()
+
+
 def release_scratch(spark: SparkSession, scope: str = "") -> None:
     """Delete every table ``materialize`` has written in this session, or in one scope.
 

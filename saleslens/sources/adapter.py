@@ -2,15 +2,16 @@
 
 ``Star`` bundles the four tables every analysis plan reads. ``star_from_tpch`` derives
 them lazily from ``lineitem``/``orders``/``part``/``customer``/``nation``/``region``
-Parquet files: nothing is collected and Catalyst prunes every column a plan does not
-read, so each query scans only what it uses.
+Parquet files: Catalyst prunes every column a plan does not read, so each query scans only
+what it uses. Only the Calendar's span, two dates, is collected, when it is first used.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,17 @@ from pyspark.sql import functions as F
 from saleslens.functions.dates import build_calendar
 
 
-@dataclass(frozen=True)
 class Star:
-    sales: DataFrame
-    products: DataFrame
-    customers: DataFrame
-    calendar: DataFrame
+    """The four tables. ``calendar`` may be a function that makes it: it is called when the
+    Calendar is first used, so plans without one do not look for its span."""
+
+    def __init__(self, sales: DataFrame, products: DataFrame, customers: DataFrame,
+                 calendar: DataFrame | Callable[[], DataFrame]):
+        self.sales, self.products, self.customers, self._calendar = sales, products, customers, calendar
+
+    @functools.cached_property
+    def calendar(self) -> DataFrame:
+        return self._calendar() if callable(self._calendar) else self._calendar
 
 
 def read_parquet_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -110,11 +116,13 @@ def star_from_tpch(spark: SparkSession, sf_dir: str, calendar_range=None) -> Sta
 
     def t(name):
         return read_parquet_table(spark, sf_dir, name)
-    if calendar_range is None:
-        calendar_range = order_years(t("orders"))
+
+    def calendar() -> DataFrame:
+        return build_calendar(spark, *(calendar_range or order_years(t("orders"))))
+
     return Star(
         sales=sales_from_tpch(t("lineitem"), t("orders")),
         products=products_from_tpch(t("part")),
         customers=customers_from_tpch(t("customer"), t("nation"), t("region")),
-        calendar=build_calendar(spark, *calendar_range),
+        calendar=calendar,
     )

@@ -101,8 +101,9 @@ LOAD_ORDER = ("products", "customers", "calendar", "sales")
 def load_star(tables: Mapping[str, DataFrame], targets: Mapping[str, str]) -> dict[str, int]:
     """Load parents before facts, with defaults, NOT NULL, primary and foreign keys.
 
-    Raises, before writing a table, if it breaks a rule. Returns the rows written per
-    table, in load order.
+    Table by table: raises before writing the table that breaks a rule, those before it in
+    the order stay written (``store.StarStore`` publishes all or none). Returns the rows
+    written per table, in load order.
     """
     written = {}
     for name in LOAD_ORDER:
