@@ -4,13 +4,17 @@ The weight of a source is its token share to the power ``a``, normalised: a = 1
 corpus, a = 0 weighs all sources alike. The exponent is bisected, on a grid of 2 ** -20,
 to the smallest one whose mix has at most the target entropy and repeats no source more
 often than allowed (both fall as ``a`` grows). Each source then fills its token budget
-with permutations of its documents, one per epoch, the last cut where the budget ends;
-and the sources are dealt into blocks, each with every source's share, in hashed order.
+with permutations of its documents, one per epoch. In the last one a document that no
+longer fits is passed over and the next ones that do are taken, so what stays free is less
+than any document left out of it. The sources are dealt into blocks, each with every
+source's share, in hashed order.
 
 All DataFrame code: shares and the bisection are aggregates over one row per source,
 evaluated for 15 exponents a time; the running totals inside a permutation come from
 hash buckets (about the square root of a source's documents each), so a source with a
-third of all rows is spread over many tasks.
+third of all rows is spread over many tasks. Documents passed over split the last epoch
+into runs: each pass over what is left finds every source's next run, and reads in order
+only the buckets in which that run lies.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from saleslens.llm.rows import bounded
 from saleslens.session import materialize
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -90,12 +95,52 @@ def source_weights(tokens: DataFrame, budget_share: float = 1.0, flatten: float
                          F.floor(weight * F.lit(budget_share * total) + 1e-6).cast("bigint").alias("budget"))
 
 
+def _refilled(used: DataFrame, left: DataFrame) -> DataFrame:
+    """``used`` with the documents of ``left`` that still fit, taken in the order of the last
+    epoch's draw.
+
+    Each pass takes, per source, the next run of documents that fit one after the other:
+    candidates are those no longer than the room, and a running total over them ends where
+    one does not fit, which no later pass can take either.
+    """
+    budgets = used.unionByName(left.withColumn("start", F.lit(None).cast("bigint")).withColumn("n_tokens", F.lit(0).cast("bigint")))
+    rooms = materialize(budgets.groupBy("source").agg((F.first("budget") - F.sum("n_tokens")).alias("room"))
+                        .where("room > 0").select(F.col("source").alias("of"), "room"), "rooms")
+    parts, here = [used], F.col("source").eqNullSafe(F.col("of"))
+    while True:
+        fitting = left.join(bounded(rooms), here).where("n_tokens <= room").drop("of")
+        along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        near = (fitting.groupBy("source", "room", "bucket").agg(F.sum("n_tokens").alias("n"))
+                .withColumn("offset", F.coalesce(F.sum("n").over(along), F.lit(0)))
+                .where("offset < room").select(F.col("source").alias("of"), F.col("bucket").alias("b"), "offset"))
+        inside = Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = F.col("offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+        taken = materialize(
+            fitting.join(bounded(materialize(near, "near")), here & (F.col("bucket") == F.col("b"))).withColumn("ahead", ahead)
+            .where(F.col("ahead") + F.col("n_tokens") <= F.col("room"))
+            .withColumn("start", F.col("budget") - F.col("room") + F.col("ahead"))
+            .select(*used.columns, "room"), "refill")
+        if taken.isEmpty():
+            break
+        parts.append(taken.drop("room"))
+        rooms = materialize(taken.groupBy("source").agg((F.first("room") - F.sum("n_tokens")).alias("room"))
+                            .where("room > 0").select(F.col("source").alias("of"), "room"), "rooms")
+        # taken documents are the first that fit: what is left lies behind them
+        last = materialize(taken.groupBy("source").agg(F.max(F.struct("draw", "doc_id", "rid")).alias("last"))
+                           .select(F.col("source").alias("of"), "last"), "last")
+        left = (left.join(bounded(last), here).where(F.struct("draw", "doc_id", "rid") > F.col("last")).drop("of", "last"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def mix(docs: DataFrame, budget_share: float = 1.0, flatten: float = FLATTEN, max_repeats: float = MAX_REPEATS,
         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The mix, one row per use of a document: doc_id, source, epoch, block, place, n_tokens.
 
     ``place`` orders a block (from 1). No source exceeds its budget of white-space
-    separated tokens. A null source is a source of its own; null, empty and blank texts
+    separated tokens, and what it leaves free is less than its shortest unused document. A null source is a source of its own; null, empty and blank texts
     have no tokens and are no part of the mix; repeated rows are documents of their own
     (ties are broken by their place in the table). Other columns are ignored; an empty
     table gives an empty result.
@@ -118,11 +163,13 @@ def mix(docs: DataFrame, budget_share: float = 1.0, flatten: float = FLATTEN, ma
         local.groupBy("source", "epoch", "bucket").agg(F.sum("n_tokens").alias("n"))
         .withColumn("offset", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
         .select(F.col("source").alias("of"), F.col("epoch").alias("e"), F.col("bucket").alias("b"), "offset"), "offsets")
-    start = F.col("epoch") * F.col("tokens") + F.col("offset") + F.col("before")
+    placed = materialize(local.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("e"))
+                                    & (F.col("bucket") == F.col("b")))
+                         .withColumn("start", F.col("epoch") * F.col("tokens") + F.col("offset") + F.col("before"))
+                         .drop("of", "e", "b", "offset", "before"), "placed")
+    used = _refilled(placed.where(F.col("start") + F.col("n_tokens") <= F.col("budget")),
+                     placed.where(F.col("start") + F.col("n_tokens") > F.col("budget")).drop("start"))
     blocks = F.lit(max(1, math.ceil((weights.agg(F.sum("budget")).first()[0] or 0) / block_tokens)))
-    used = (local.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("e"))
-                       & (F.col("bucket") == F.col("b")))
-            .withColumn("start", start).where(F.col("start") + F.col("n_tokens") <= F.col("budget"))
-            .withColumn("block", F.floor(F.col("start") * blocks / F.col("budget"))))
+    used = used.withColumn("block", F.floor(F.col("start") * blocks / F.col("budget")))
     order = Window.partitionBy("block").orderBy("draw", "source", "doc_id", "epoch", "rid")
     return used.select("doc_id", "source", "epoch", "block", F.row_number().over(order).cast("bigint").alias("place"), "n_tokens")

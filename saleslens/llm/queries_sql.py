@@ -118,12 +118,25 @@ e AS (
   SELECT doc_id, source, n_tokens, tokens, budget, unnest(range(budget // tokens + 1)) AS epoch
   FROM t JOIN w USING (source)),
 d AS (SELECT *, {_DRAW} AS draw FROM e),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY source, epoch ORDER BY draw, doc_id) AS i,
+         budget // tokens AS last_epoch FROM d),
+walk AS (  -- the last epoch, document by document: one that fits is taken, another is passed over
+  SELECT source, i, n_tokens <= budget - epoch * tokens AS taken, epoch * tokens AS start,
+         epoch * tokens + CASE WHEN n_tokens <= budget - epoch * tokens THEN n_tokens ELSE 0 END AS full_to
+  FROM o WHERE epoch = last_epoch AND i = 1
+  UNION ALL
+  SELECT o.source, o.i, o.n_tokens <= o.budget - w.full_to, w.full_to,
+         w.full_to + CASE WHEN o.n_tokens <= o.budget - w.full_to THEN o.n_tokens ELSE 0 END
+  FROM walk w JOIN o ON o.source IS NOT DISTINCT FROM w.source AND o.epoch = o.last_epoch AND o.i = w.i + 1),
 c AS (
-  SELECT *, epoch * tokens + sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY draw, doc_id) - n_tokens AS start
-  FROM d),
+  SELECT o.*, o.epoch * o.tokens + sum(o.n_tokens) OVER (PARTITION BY source, epoch ORDER BY i) - o.n_tokens AS start, TRUE AS taken
+  FROM o WHERE epoch < last_epoch
+  UNION ALL
+  SELECT o.*, w.start, w.taken FROM o JOIN walk w ON o.source IS NOT DISTINCT FROM w.source AND o.i = w.i AND o.epoch = o.last_epoch),
 u AS (
   SELECT *, floor(start * ceil((SELECT sum(budget) FROM w) / 262144.0) / budget)::BIGINT AS block
-  FROM c WHERE start + n_tokens <= budget)
+  FROM c WHERE taken)
 SELECT doc_id, source, epoch, block,
        row_number() OVER (PARTITION BY block ORDER BY draw, source, doc_id, epoch) AS place, n_tokens
 FROM u

@@ -1,9 +1,11 @@
 """Toxicity, language model, HTML, secrets, quality and mixing against brute force."""
 
+import hashlib
 import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -393,7 +395,11 @@ def test_mix_fills_budgets_with_whole_epochs(spark):
     used = mixing.mix(docs, block_tokens=50).collect()
     for source, w in weights.items():
         own = [r for r in used if r.source == source]
-        assert sum(r.n_tokens for r in own) <= w.budget < sum(r.n_tokens for r in own) + 31
+        last = w.budget // w.tokens
+        unused = Counter(1 + r[0] % 7 if source == "big" else 2 if source == "small" else 30 for r in rows
+                         if (r[2] if len(r) > 2 else "s") == source) - Counter(r.n_tokens for r in own if r.epoch == last)
+        free = w.budget - sum(r.n_tokens for r in own)
+        assert 0 <= free < min(unused, default=10 ** 9)
         epochs = max(r.epoch for r in own)
         ids = {r[0] for r in rows if (r[2] if len(r) > 2 else "s") == source}
         for e in range(epochs):
@@ -404,6 +410,37 @@ def test_mix_fills_budgets_with_whole_epochs(spark):
     assert all(sorted(p) == list(range(1, len(p) + 1)) for p in by_block.values()) and len(by_block) > 3
 
 
+def walked(rows, budget):
+    """The documents that one source's last epoch takes, one after the other in the draw's order."""
+    tokens, order = sum(n for _, n in rows), []
+    epoch = budget // tokens
+    for i, n in rows:
+        digest = hashlib.md5(f"{mixing.SEED}:{epoch}:{i}".encode()).hexdigest()
+        order.append((int(digest[:13], 16), i, n))
+    at, out = epoch * tokens, []
+    for _, i, n in sorted(order):
+        if at + n <= budget:
+            out.append((i, n))
+            at += n
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[500, *[1] * 500], [50, 100, 400, 1, *[7] * 60, 29], [3] * 300, [900, 100]])
+def test_a_giant_document_leaves_no_room(spark, sizes):
+    """A document that crosses the budget is passed over, and what follows still fits."""
+    docs = docs_frame(spark, [(i, "w " * n, "giant") for i, n in enumerate(sizes)] + [(5000 + i, "w " * 5, "other") for i in range(30)])
+    tokens = docs.select("source", F.regexp_count("text", F.lit("w")).cast("bigint").alias("n_tokens"))
+    weights = {r.source: r for r in mixing.source_weights(tokens).collect()}
+    used = mixing.mix(docs).collect()
+    for source, rows in (("giant", list(enumerate(sizes))), ("other", [(5000 + i, 5) for i in range(30)])):
+        budget = weights[source].budget
+        own = [r for r in used if r.source == source]
+        last = [(r.doc_id, r.n_tokens) for r in own if r.epoch == budget // weights[source].tokens]
+        assert sorted(last) == sorted(walked(rows, budget))
+        left = [n for i, n in rows if (i, n) not in set(last)]
+        assert 0 <= budget - sum(r.n_tokens for r in own) < min(left, default=10 ** 9)
+
+
 def test_mix_without_a_fitting_exponent(spark):
     shares = spark.createDataFrame([(0.9,), (0.1,)], "share double")
     with pytest.raises(ValueError):
