@@ -254,7 +254,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     item (the whole item if it is shorter). Null and empty texts have no words; items
     without words match nothing; repeated items count once; an item with a null id counts
     for ``n_hit`` but is not listed. Repeated doc_ids keep a row each. Other columns are
-    ignored; empty tables give an empty result or no hits.
+    ignored; empty tables give an empty result or no hits. doc_id must be an integer or a
+    text of one, else the cast to bigint fails.
     """
     index = build_index(docs, shard_words)
     by_doc = (phrase_matches(index, items, window, block_chars)

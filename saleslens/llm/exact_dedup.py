@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslens.llm.rows import drop_rows
+from saleslens.llm.rows import keep_first
 from saleslens.session import materialize
 
 BLOCK_CHARS = 1024
@@ -116,30 +116,28 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int =
 
 
 def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int = 64) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, mark.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, mark, keep_mark.
 
     Rows are equal when their texts are after deleting white space (null text: empty).
-    Of equal rows the one with most code points stays, then the smallest doc_id (null
-    last), then the first row of repeated ones. Empty tables give an empty result; other
-    columns of ``docs`` are ignored. ``hash_bits`` below 64 only forces clashes in tests.
-    ``mark`` is the original text's xxhash64.
+    Of equal rows the one with most code points stays, then the smallest doc_id (of any
+    type that sorts, null last), then the first row of repeated ones. Empty tables give an
+    empty result; other columns of ``docs`` are ignored. ``hash_bits`` below 64 only forces
+    clashes in tests. ``mark`` is the original text's xxhash64, ``keep_mark`` that of the
+    row that stays.
     """
     ids = identities(docs, block_chars, hash_bits)
-    best = F.struct("n_chars", (-F.col("doc_id")).alias("m"), (-F.col("rid")).alias("r"))
+    best = F.struct((-F.col("n_chars")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid", "mark")
     groups = materialize(ids.groupBy("n", "name").agg(
-        F.max(best).alias("best"), F.count("*").alias("group_size")), "copies")
+        F.min(best).alias("best"), F.count("*").alias("group_size")), "copies")
     return ids.join(groups, ["n", "name"]).select(
-        "doc_id", (-F.col("best.m")).alias("keep_id"), "group_size",
-        (F.col("rid") == -F.col("best.r")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"), "mark")
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
+        (F.col("rid") == F.col("best.rid")).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"), "mark", F.col("best.mark").alias("keep_mark"))
 
 
 def keep_one(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    gone = materialize(exact_dedup(docs, block_chars).where(~F.col("kept")), "dropped")
-    others = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    rows = drop_rows(docs, others.select("doc_id", "mark"))
-    # rows that repeat both id and text have the same mark as the one that stays
-    if gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
-        return rows
-    return rows.withColumn("__norm", squeezed(F.col("text"))).dropDuplicates(["doc_id", "__norm"]).drop("__norm")
+    rows = exact_dedup(docs, block_chars).where(~F.col("kept"))
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("mark") == F.col("keep_mark"))
+    dropped = materialize(rows.select("doc_id", "mark", same.alias("same")), "dropped")
+    return keep_first(docs, dropped.where("NOT same"), dropped.where("same"))

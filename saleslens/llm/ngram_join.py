@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from saleslens.llm import bloom
 from saleslens.llm.components import components
 from saleslens.llm.line_dedup import LOWER
-from saleslens.llm.rows import BROADCAST_ROWS, bounded, drop_rows, slices, text_mark
+from saleslens.llm.rows import BROADCAST_ROWS, bounded, keep_first, slices, text_mark
 from saleslens.session import materialize
 
 GRAM_WORDS = 3
@@ -408,20 +408,20 @@ class _Join:
             parts, F.col("cid") == F.col("node"), "left").withColumn("part", F.coalesce("component", "cid"))
         least = named.groupBy("part").agg(F.min("first_id").alias("component_id"))
         classes = materialize(named.join(least, "part").select(
-            F.col("print").alias("p"), F.col("cid").alias("class_id"), "component_id"), "class-components")
+            F.col("print").alias("p"), F.col("cid").alias("class_id"), "component_id", "part"), "class-components")
         return self.signed.join(classes, F.col("print") == F.col("p"), "left").select(
             "doc_id", "mark", "n_shingles", F.when(F.col("p").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id")).alias("component_id"), "class_id")
+            .otherwise(F.col("component_id")).alias("component_id"), "class_id", "part")
 
 
 def ngram_join(docs: DataFrame, gram: int = GRAM_WORDS, similarity: tuple[int, int] = SIMILARITY,
                tile: int = TILE, broadcast_rows: int = BROADCAST_ROWS,
                max_bits: int = bloom.MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, mark (the text's xxhash64), n_shingles,
-    component_id, class_id.
+    component_id, class_id, part.
 
     ``class_id`` names the set (equal sets share it), ``component_id`` is the smallest
-    doc_id reachable over links, the row's own included. Null, empty and blank texts have
+    doc_id reachable over links, the row's own included, ``part`` the least class so reached. Null, empty and blank texts have
     no shingles, no class and link with nothing. Rows that repeat a doc_id are rows of
     their own; a null doc_id is never a component's name unless all its ids are null.
     Other columns are ignored; an empty table gives an empty result.
@@ -431,10 +431,14 @@ def ngram_join(docs: DataFrame, gram: int = GRAM_WORDS, similarity: tuple[int, i
 
 def keep_representatives(docs: DataFrame, gram: int = GRAM_WORDS,
                          similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each component: the one whose doc_id names it.
-
-    Rows without words stay; so do rows with a null doc_id in a component without ids.
+    """``docs`` with one document of each component: the one of the smallest doc_id (null
+    last), of several texts under that id the one of the smallest hash, of repeated rows any
+    one. Rows without words stay.
     """
-    joined = ngram_join(docs, gram, similarity)
-    gone = materialize(joined.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark"), "dropped")
-    return drop_rows(docs, gone)
+    joined = ngram_join(docs, gram, similarity).where(F.col("part").isNotNull())
+    names = materialize(joined.groupBy("part", "doc_id", "mark").agg((F.count(F.lit(1)) > 1).alias("repeated")), "names")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("least")
+    first = materialize(names.groupBy("part").agg(least), "first")
+    same = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("mark") == F.col("least.mark"))
+    judged = materialize(names.join(first, "part").select("doc_id", "mark", "repeated", same.alias("same")), "judged")
+    return keep_first(docs, judged.where("NOT same"), judged.where("same AND repeated"))

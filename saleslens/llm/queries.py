@@ -78,7 +78,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents")).drop("mark")
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("mark", "keep_mark")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,3 +40,16 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     gone = dropped.select(F.col("doc_id").alias("__gone_id"), F.col("mark").alias("__gone_mark")).distinct()
     return docs.join(bounded(gone), F.col("doc_id").eqNullSafe(F.col("__gone_id"))
                      & (F.xxhash64("text") == F.col("__gone_mark")), "left_anti")
+
+
+def keep_first(docs: DataFrame, gone: DataFrame, once: DataFrame) -> DataFrame:
+    """``docs`` without the rows named in ``gone`` and with one row for each name in ``once``.
+
+    A name is (doc_id, mark); rows of one name have the same id and text, any one of them
+    is kept whole. All columns stay as they were.
+    """
+    rest = drop_rows(docs, gone.select("doc_id", "mark").unionByName(once.select("doc_id", "mark")))
+    names = once.select(F.col("doc_id").alias("__once_id"), F.col("mark").alias("__once_mark")).distinct()
+    named = docs.withColumn("__mark", F.xxhash64("text"))
+    repeated = named.join(bounded(names), F.col("doc_id").eqNullSafe(F.col("__once_id")) & (F.col("__mark") == F.col("__once_mark")), "left_semi")
+    return rest.unionByName(repeated.dropDuplicates(["doc_id", "__mark"]).drop("__mark"))

@@ -84,6 +84,35 @@ def test_keep_one_drops_repeated_rows(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == sorted(r[0] for r in brute_exact(EDGE) if r[3] and r[0])
 
 
+REPEATED = [(1, "a b c d e f g h i j k"), (1, "a b c d e f g h i j  k "), (1, "a b c d e f g h i j   k"), (1, "a b c d e f g h i j   k"),
+            (2, "abcdefghijk" + " " * 9), (3, "zz"), (3, "yy"), (None, "no id"), (None, "no id"), (None, "no  id"), (4, None), (4, ""), (4, None)]
+
+
+def test_keep_one_of_texts_under_one_id(spark):
+    """The longest original stays, whatever shares its id; one of rows that repeat it."""
+    kept = keep_one(docs_frame(spark, REPEATED)).collect()
+    groups = {}
+    for i, t in REPEATED:
+        groups.setdefault(squeeze(t), []).append((-len(t or ""), i is None, i or 0, t))
+    want = [min(v, key=lambda m: m[:3]) for v in groups.values()]
+    assert sorted(((r.doc_id, len(r.text or "")) for r in kept), key=repr) == sorted(((None if n else i, -size) for size, n, i, _ in want), key=repr)
+
+
+def test_exact_dedup_of_text_ids(spark):
+    rows = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", "x y"), (None, "x y"), ("d", "z")], "doc_id string, text string")
+    assert rows_of(exact_dedup(rows), "doc_id", "keep_id", "kept") == sorted(
+        [("b", "b", True), ("a", "b", False), ("c", "b", False), (None, "b", False), ("d", "d", True)], key=repr)
+    assert sorted(r.doc_id for r in keep_one(rows).collect()) == ["b", "d"]
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (1, long + " end"), (1, long), (2, long + " more"), (None, "alone " + long.upper().replace("W", "q")),
+            (None, "alone " + long.upper().replace("W", "q") + " x"), (7, "few words"), (7, "few words"), (8, None), (8, None)]
+    kept = keep_representatives(docs_frame(spark, rows), 5, (80, 100)).collect()
+    assert sorted((repr(r.doc_id) for r in kept)) == sorted(["1", "None", "7", "8", "8"])
+
+
 def near_copies(seed, groups, size, words_each):
     draw = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(300)]
