@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import ahocorasick
 import numpy as np
@@ -29,10 +30,10 @@ from saleslens.session import materialize
 TOXIC_DOCS, CLEAN_DOCS = 4000, 16000  # bounds of the training sample
 MIN_SUPPORT = 8  # toxic documents that hold a pattern, however many there are
 MIN_VARIETY = 0.8  # different surroundings among them
-MIN_WEIGHT, MIN_EVIDENCE = float(np.log(4)), 16.0  # log odds, and their likelihood ratio statistic, exceptions aside
+MIN_WEIGHT = float(np.log(4))  # log odds, exceptions aside
+FALSE_ENTRIES = 0.05  # patterns that chance alone may be expected to bring into the lexicon
 SHINGLE, HASHES = 3, 4  # texts that share so many min-hashes of word groups are copies
-MAX_DOUBTFUL, DOUBTFUL_SHARE = 2000, 0.7  # whole words that exceptions may yet clear: number and share
-MAX_CANDIDATES = 50_000
+DOUBTFUL_SHARE, DOUBTFUL_EVIDENCE = 0.7, 4.0  # whole words that exceptions may yet clear: relative rate and evidence
 STEMS = range(4, 9)  # lengths of word beginnings
 THRESHOLD = 0.7
 MARK = " "  # stands at both ends of every word, so a pattern can be anchored
@@ -51,6 +52,7 @@ _FULL_WIDTH = {0xFF01 + i: 0x21 + i for i in range(94)}
 _LOOKALIKE = str.maketrans(HOMOGLYPHS) | _FULL_WIDTH
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 _LATIN = re.compile(r"[a-z]")
+_ORDINAL = re.compile(r"\d+(?:st|nd|rd|th)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INVISIBLE = re.compile("[­​-‍⁠﻿]")
 
@@ -60,14 +62,18 @@ def fold(word: str) -> str:
     word = word.lower()
     if not word.isascii():
         word = _INVISIBLE.sub("", word)
-        plain = word.translate(_LOOKALIKE)
-        # a word wholly of another script is no disguise
-        word = plain.lower() if _LATIN.search(plain) else word
+        plain = word.translate(_LOOKALIKE).lower()
+        # a word of another script that keeps letters of its own is no disguise
+        if _LATIN.search(word) or all(c.isascii() for c in plain if c.isalpha()):
+            word = plain
     inner = _EDGES.sub("", word)
     if inner.isalpha() or not _LATIN.search(word):
         return inner
+    if _ORDINAL.fullmatch(inner):
+        return inner
     whole = _EDGES.sub("", word.rstrip("!|.,;:?").lstrip("!|").translate(_SUBSTITUTE))
-    return whole if any(c.isalpha() for c in inner) else inner
+    # digits left over are a number: covid19
+    return whole if any(c.isalpha() for c in inner) and not any(c.isdigit() for c in whole) else inner
 
 
 class _Folds(dict):
@@ -168,33 +174,33 @@ def _fit_logistic(total: np.ndarray, n: np.ndarray, toxic: np.ndarray, rounds: i
     return w
 
 
-def _pattern_counts(only=None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folds, counts = _Folds(), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = patterns_of(set(folded_words(text, folds)))
-                counts.update(own if only is None else own & only.value)
-        yield pa.RecordBatch.from_pydict({"pattern": pa.array(list(counts), pa.string()),
-                                          "n": pa.array(list(counts.values()), pa.int64())})
-
-    return run
+def _pattern_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per candidate pattern, toxic ones (t) and others (c)."""
+    folds, counts = _Folds(), (Counter(), Counter())
+    for batch in slices(batches):
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts[toxic].update(patterns_of(set(folded_words(text, folds))))
+    patterns = list(counts[0].keys() | counts[1].keys())
+    yield pa.RecordBatch.from_pydict({"pattern": pa.array(patterns, pa.string()),
+                                      "t": pa.array([counts[1][p] for p in patterns], pa.int64()),
+                                      "c": pa.array([counts[0][p] for p in patterns], pa.int64())})
 
 
 def _holders(wanted):
-    """Per document its wanted patterns, each with the words around one place of it."""
+    """(pattern, context) per document and wanted pattern: the words around one place of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folds = _Folds()
-        for batch in batches:
-            rows = []
+        for batch in slices(batches):
+            patterns, contexts = [], []
             for text in batch.column(0).to_pylist():
                 words, own = ["", *folded_words(text, folds), ""], {}
                 for i, w in enumerate(words[1:-1], 1):
                     for pattern in patterns_of({w}) & wanted.value:
                         own.setdefault(pattern, words[i - 1] + MARK + words[i + 1])
-                rows.append(sorted(own.items()))
-            yield pa.RecordBatch.from_pydict({"held": pa.array(rows, pa.map_(pa.string(), pa.string()))})
+                patterns += own
+                contexts += own.values()
+            yield pa.RecordBatch.from_pydict({"pattern": pa.array(patterns, pa.string()), "context": pa.array(contexts, pa.string())})
 
     return run
 
@@ -245,23 +251,27 @@ def _measures(parts):
     return run
 
 
-def _choose(held: list[dict[str, str]], clean: dict[str, int], weight) -> dict[str, float]:
-    """The patterns that many toxic documents hold in ever different surroundings.
+def _varied(held: DataFrame) -> dict[str, int]:
+    """Documents of the patterns that enough of them hold, in ever different surroundings.
 
-    Text that merely is copied along with a toxic word has the same surroundings. A word's
-    beginning takes the place of its forms if it holds more documents than each.
+    Text that merely is copied along with a toxic word has the same surroundings.
+    ``held``: (pattern, context), a row per document and pattern.
     """
-    docs: dict[str, int] = {}
-    around: dict[str, set[str]] = {}
-    for own in held:
-        for pattern, context in own.items():
-            docs[pattern] = docs.get(pattern, 0) + 1
-            around.setdefault(pattern, set()).add(context)
-    fit = [p for p, n in docs.items() if n >= MIN_SUPPORT and len(around[p]) >= MIN_VARIETY * n]
+    n = F.col("n")
+    fit = (held.groupBy("pattern").agg(F.count("*").alias("n"), F.countDistinct("context").alias("around"))
+           .where((n >= MIN_SUPPORT) & (F.col("around") >= MIN_VARIETY * n)))
+    return {r.pattern: r.n for r in fit.collect()}
+
+
+def _choose(docs: dict[str, int], clean: dict[str, int], weight) -> dict[str, float]:
+    """A word's beginning takes the place of its forms if it holds more documents than each."""
     out: dict[str, float] = {}
-    for pattern in sorted(fit, key=lambda p: (-docs[p], -len(p), p)):
-        if not any(pattern.startswith(p) or p.startswith(pattern) for p in out):
+    begun: set[str] = set()  # beginnings of the chosen ones
+    for pattern in sorted(docs, key=lambda p: (-docs[p], -len(p), p)):
+        own = {pattern[:n] for n in range(1, len(pattern) + 1)}
+        if pattern not in begun and own.isdisjoint(out):
             out[pattern] = weight(docs[pattern], clean.get(pattern, 0))
+            begun |= own
     return out
 
 
@@ -287,16 +297,30 @@ def _unlike(sample: DataFrame) -> DataFrame:
     return hashed.dropDuplicates(["toxic", *names])
 
 
+def least_evidence(tried: int) -> float:
+    """The likelihood ratio statistic that, of ``tried`` patterns that say nothing, about
+    ``FALSE_ENTRIES`` exceed."""
+    return NormalDist().inv_cdf(1 - FALSE_ENTRIES / (2 * max(tried, 1))) ** 2
+
+
 def _sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int) -> DataFrame:
     """(text, toxic) of the labelled documents with the smallest hashes, a bounded number.
 
-    The ids are chosen first and broadcast, so no text of other documents moves.
+    The ids are chosen first and broadcast, so no text of other documents moves. An id with
+    several labels is toxic if one of them says so.
     """
-    known = labels.where("toxic is not null and doc_id is not null").select(
-        "doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = materialize(labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
+        F.max((F.col("toxic") == 1).cast("int")).alias("toxic")), "known")
     first = F.xxhash64("doc_id")
-    chosen = (known.where("toxic = 1").orderBy(first).limit(toxic_docs)
-              .unionByName(known.where("toxic = 0").orderBy(first).limit(clean_docs)))
+    n = dict(known.groupBy("toxic").count().collect())
+
+    def least(toxic: int, most: int) -> DataFrame:
+        # the cut leaves about half as many again, so tasks send few rows to the one that sorts
+        own, share = known.where(F.col("toxic") == toxic), 1.5 * most / max(n.get(toxic, 0), 1)
+        cut = own.where(first < int((share - 0.5) * (1 << 64))) if share < 1 else own
+        return cut.orderBy(first).limit(most)
+
+    chosen = least(1, toxic_docs).unionByName(least(0, clean_docs))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     return materialize(rows.limit(toxic_docs + clean_docs), "labelled")
 
@@ -304,43 +328,43 @@ def _sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int
 def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> ToxicityModel:
     """Learn lexicon, exceptions and score from docs (doc_id, text) and labels (doc_id, toxic).
 
-    At most ``toxic_docs`` toxic and ``clean_docs`` other documents are used. Without toxic
-    ones the lexicon is empty and every score the same.
+    At most ``toxic_docs`` toxic and ``clean_docs`` other documents are used, with every
+    pattern in them; what chance brings grows with the number of patterns, so the evidence
+    asked for does too. Null labels, null ids and null texts teach nothing; repeated rows
+    count once, other columns not at all. Without toxic documents the lexicon is empty and
+    every score the same.
     """
     spark = docs.sparkSession
     both = materialize(_unlike(_sample(docs, labels, toxic_docs, clean_docs)).select("text", "toxic").repartition(16), "lessons")
-    toxic, clean = both.where("toxic = 1"), both.where("toxic = 0")
-    n_toxic, n_clean = toxic.count(), clean.count()
+    sizes = dict(both.groupBy("toxic").count().collect())
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
 
     def weight(t: int, c: int) -> float:
         return float(np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)))
 
-    def counted(part: DataFrame, only=None) -> DataFrame:
-        return part.select("text").mapInArrow(_pattern_counts(only), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
-
-    met = counted(toxic).where(F.col("n") >= MIN_SUPPORT).orderBy(F.desc("n"), "pattern").limit(MAX_CANDIDATES).collect()
-    candidates = {r.pattern: r.n for r in met}
-    clean_counts = {r.pattern: r.n for r in counted(clean, spark.sparkContext.broadcast(set(candidates))).collect()}
+    rate = n_toxic / max(n_toxic + n_clean, 1)
+    t, c = F.col("t"), F.col("c")
+    odds = F.log((t + 0.5) / (n_toxic + 1.0)) - F.log((c + 0.5) / (n_clean + 1.0))
+    ratio = 2 * (t * F.log(t / ((t + c) * rate)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - rate)))).otherwise(0.0))
+    counts = both.mapInArrow(_pattern_counts, "pattern string, t bigint, c bigint").groupBy("pattern").agg(
+        F.sum("t").alias("t"), F.sum("c").alias("c"))
+    met = materialize(counts.where(t >= MIN_SUPPORT), "candidates")
+    enough = least_evidence(met.count())
 
     def speaks(t: int, c: int) -> bool:
         """Whether the log odds are clearly positive."""
-        rate = n_toxic / (n_toxic + n_clean)
         evidence = 2 * sum(k * np.log(k / ((t + c) * r)) for k, r in ((t, rate), (c, 1 - rate)) if k)
-        return weight(t, c) >= MIN_WEIGHT and evidence >= MIN_EVIDENCE
-
-    sure = {p for p, t in candidates.items() if speaks(t, clean_counts.get(p, 0))}
-    shares = {p: (clean_counts.get(p, 0) / max(n_clean, 1)) / (t / n_toxic) for p, t in candidates.items()}
-    doubtful = sorted((s, p) for p, s in shares.items() if p not in sure and s <= DOUBTFUL_SHARE and p.endswith(MARK))
-    wanted = sure | {p for _, p in doubtful[:MAX_DOUBTFUL]}
-    held = [r.held for r in toxic.select("text").mapInArrow(
-        _holders(spark.sparkContext.broadcast(wanted)), "held map<string,string>").collect()]
-    lexicon = _choose(held, clean_counts, weight)
-
-    near: dict[str, list[int]] = {}
-    for r in (both.mapInArrow(_neighbours(spark.sparkContext.broadcast(lexicon)), "phrase string, toxic int, n bigint")
-              .groupBy("phrase", "toxic").agg(F.sum("n").alias("n")).where("toxic = 0 or n > 1").collect()):
-        near.setdefault(r.phrase, [0, 0])[r.toxic] += r.n
-    exceptions = sorted(p for p, (c, t) in near.items() if c >= 3 and weight(t, c) < 0)
+        return weight(t, c) >= MIN_WEIGHT and evidence >= enough
+
+    whole = F.col("pattern").endswith(MARK) & (ratio >= DOUBTFUL_EVIDENCE) & (c * n_toxic <= DOUBTFUL_SHARE * t * max(n_clean, 1))
+    wanted = {r.pattern: r.c for r in met.where((odds >= MIN_WEIGHT) & (ratio >= enough) | whole).collect()}
+    held = both.where("toxic = 1").select("text").mapInArrow(
+        _holders(spark.sparkContext.broadcast(set(wanted))), "pattern string, context string")
+    lexicon = _choose(_varied(held), wanted, weight)
+
+    near = both.mapInArrow(_neighbours(spark.sparkContext.broadcast(lexicon)), "phrase string, toxic int, n bigint").groupBy("phrase").agg(
+        F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 1, 0, n)")).alias("c"))
+    exceptions = sorted(r.phrase for r in near.where((c >= 3) & (odds < 0)).collect())
 
     # Only words that are clearly rarer in other documents, exceptions aside, stay in the lexicon.
     left: dict[str, list[int]] = {}

@@ -64,9 +64,61 @@ def test_learns_words_stems_and_exceptions(spark):
     assert right >= 285  # of 300 held out
 
 
-def test_support_does_not_grow_with_the_sample():
-    held = [{" rare ": f"a{i}\x20b{i}"} for i in range(8)] + [{}] * 3992
-    assert toxicity._choose(held, {}, lambda t, c: 1.0) == {" rare ": 1.0}
+def test_support_does_not_grow_with_the_sample(spark):
+    rows = [(" rare ", f"a{i}\x20b{i}") for i in range(8)] + [(f" word{i} ", "x\x20y") for i in range(3992)]
+    rows += [(" copied ", "same\x20words")] * 50
+    varied = toxicity._varied(spark.createDataFrame(rows, "pattern string, context string"))
+    assert toxicity._choose(varied, {}, lambda t, c: 1.0) == {" rare ": 1.0}
+
+
+def test_beginnings_take_the_place_of_their_forms():
+    one = {" grub": 30, " grubs ": 12, " grubby ": 30, " gr": 2, " other ": 9}
+    assert toxicity._choose(one, {" grub": 1}, lambda t, c: float(t - c)) == {" grubby ": 30.0, " grubs ": 12.0, " other ": 9.0}
+    assert toxicity._choose(one | {" grub": 31}, {" grub": 1}, lambda t, c: float(t - c)) == {" grub": 30.0, " other ": 9.0}
+
+
+def test_evidence_grows_with_the_number_of_patterns():
+    assert 3.8 < toxicity.least_evidence(1) < 3.9
+    assert toxicity.least_evidence(10_000) + 4 < toxicity.least_evidence(100_000) < toxicity.least_evidence(1_000_000) < 40
+
+
+@pytest.mark.parametrize("word", ["3rd", "21st", "covid19", "h264", "ідіот", "идиот"])
+def test_fold_leaves_numbers_and_other_scripts(word):
+    assert toxicity.fold(word) == word
+
+
+def test_toxicity_edges(spark):
+    docs = spark.createDataFrame([(i, x, "t", 1) for i, x in ODD] + [(9, "word " * 200_000, "t", 1)],
+                                 "doc_id long, text string, toxic string, score int")
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(1, 9)] + [(None, 1, "x"), (2, None, "x"), (4, 1, "x"), (77, 1, "x")],
+                                   "doc_id long, toxic int, text string")
+    model = toxicity.fit(docs, labels)
+    assert model.lexicon == {} and model.exceptions == []
+    got = toxicity.score(docs, model).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r.doc_id) for r in docs.collect()) and len({r.score for r in got}) == 1
+    assert toxicity.fit(docs, labels.limit(0)).lexicon == toxicity.fit(docs.limit(0), labels).lexicon == {}
+
+
+def test_the_first_of_many_labels_are_learned_from(spark):
+    rows = [(i, f"words of number {i}") for i in range(3000)]
+    docs, labels = docs_frame(spark, rows), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    got = toxicity._sample(docs, labels, 200, 300).collect()
+    order = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    want = {f"words of number {i}" for cls, n in ((True, 200), (False, 300))
+            for i in sorted((i for i in order if (i % 3 == 0) == cls), key=order.get)[:n]}
+    assert len(got) == 500 and {r.text for r in got} == want
+
+
+def test_toxicity_held_out(spark):
+    """Held-out labels of the given documents: ranking, and decisions at the threshold."""
+    sf = "/root/testdata/sf0.1"
+    got = queries.op2_toxicity(spark, sf).where("held_out")
+    rows = got.join(spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null"), "doc_id").select(
+        "score", "predicted", "toxic").toPandas()
+    rank, toxic = rows.score.rank(), rows.toxic == 1
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    print("auc", auc, "found", rows.predicted[toxic].sum(), "of", toxic.sum(), "alarms", rows.predicted[~toxic].sum(), "of", (~toxic).sum())
+    assert auc >= 0.95 and rows.predicted[toxic].mean() >= 0.9 and rows.predicted[~toxic].mean() <= 0.01
 
 
 def test_words_stay_though_a_fifth_of_the_labels_is_missing(spark):
