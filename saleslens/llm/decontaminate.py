@@ -7,8 +7,8 @@ intersected without any further exchange and the longest list is bounded by the
 
 ``phrase_matches`` walks the test items in blocks of bounded size. Per block only the
 posting lists of its terms leave the index; per shard the lists of each window are
-intersected, shifted by their offsets, from the rarest term on.
-``proximity_matches`` uses the same lists: an item's rarest terms within a few words.
+intersected, shifted by their offsets, from the rarest term on. In the same pass
+proximity matches are found: an item's rarest terms within a few words of a document.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from saleslens.llm.rows import drop_rows, slices, text_mark
 from saleslens.session import materialize
 
 WINDOW = 10
+SLOP, NEAR_TERMS = 20, 4  # of a proximity match: words around the rarest term, and terms asked for
 SHARD_WORDS = 2_000_000
 BLOCK_CHARS = 4_000_000  # test items go out in blocks of at most about this size
 
@@ -33,9 +34,9 @@ BLOCK_CHARS = 4_000_000  # test items go out in blocks of at most about this siz
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else
                    c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-INDEX_SCHEMA = ("shard bigint, term binary, postings binary, doc_ids array<bigint>, "
+INDEX_SCHEMA = ("shard bigint, term binary, n_places bigint, postings binary, doc_ids array<bigint>, "
                 "marks array<bigint>, starts array<bigint>, lengths array<bigint>")
-_ARROW_INDEX = pa.schema([("shard", pa.int64()), ("term", pa.binary()), ("postings", pa.binary()),
+_ARROW_INDEX = pa.schema([("shard", pa.int64()), ("term", pa.binary()), ("n_places", pa.int64()), ("postings", pa.binary()),
                           ("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
                           ("lengths", pa.list_(pa.int64()))])
 
@@ -78,12 +79,12 @@ def _index(shard_words: int):
             number = pa.array(np.full(n, base + serial))
             lists = pa.nulls(n, pa.list_(pa.int64()))
             if n:
-                postings = _encode(np.concatenate(ids), places, n)
+                own = np.concatenate(ids)
                 yield from pa.Table.from_arrays(
-                    [number, pa.array(list(terms), pa.binary()), postings, lists, lists, lists, lists],
+                    [number, pa.array(list(terms), pa.binary()), pa.array(np.bincount(own, minlength=n)), _encode(own, places, n), lists, lists, lists, lists],
                     schema=_ARROW_INDEX).to_batches(100_000)
             yield pa.RecordBatch.from_pydict(
-                {"shard": [base + serial], "term": [None], "postings": [None],
+                {"shard": [base + serial], "term": [None], "n_places": [None], "postings": [None],
                  "doc_ids": [doc_ids], "marks": [marks], "starts": [starts], "lengths": [lengths]}, _ARROW_INDEX)
 
         terms, ids, doc_ids, marks, starts, lengths, at = fresh()
@@ -147,37 +148,65 @@ def _phrases(item: list[bytes], posts: dict[bytes, np.ndarray], window: int) ->
     return list(zip(at[first].tolist(), (at[last] + width - at[first]).tolist(), strict=True))
 
 
-def _near(item: list[bytes], posts: dict[bytes, np.ndarray], slop: int, n_terms: int) -> list[tuple[int, int]]:
-    """(start, words) around each place of the rarest term that has the others within slop."""
-    own = sorted(set(item), key=lambda w: (len(posts.get(w, ())), w))[:n_terms]
-    if not own or any(w not in posts for w in own):
-        return []
-    anchor = posts[own[0]]
-    low, high = anchor.copy(), anchor.copy()
-    ok = np.ones(len(anchor), bool)
-    for w in own[1:]:
+def _rarest(item: list[bytes], counts: dict[bytes, int], n_terms: int) -> list[bytes]:
+    """The item's rarest distinct terms in the whole index, the rarest first."""
+    return sorted(set(item), key=lambda w: (counts.get(w, 0), w))[:n_terms]
+
+
+def _near(terms: list[bytes], posts: dict[bytes, np.ndarray], starts: np.ndarray, ends: np.ndarray,
+          slop: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, words) around each place of the first term that has all others within
+    ``slop`` words of it in its own document."""
+    if any(w not in posts for w in terms):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    anchor = posts[terms[0]]
+    own = np.searchsorted(starts, anchor, "right") - 1
+    first, last = np.maximum(starts[own], anchor - slop), np.minimum(ends[own] - 1, anchor + slop)
+    low, high = anchor, anchor
+    for w in terms[1:]:
         places = posts[w]
         at = np.searchsorted(places, anchor)
         before, after = places[np.maximum(at - 1, 0)], places[np.minimum(at, len(places) - 1)]
-        best = np.where(np.abs(before - anchor) <= np.abs(after - anchor), before, after)
-        ok &= np.abs(best - anchor) <= slop
-        low, high = np.minimum(low, best), np.maximum(high, best)
-    return [(int(a), int(b - a + 1)) for a, b in zip(low[ok], high[ok], strict=True)]
+        has_before, has_after = (at > 0) & (before >= first), (at < len(places)) & (after <= last)
+        place = np.where(has_before & (~has_after | (anchor - before <= after - anchor)), before, after)
+        low, high = np.minimum(low, place), np.maximum(high, place)
+        ok = has_before | has_after
+        anchor, first, last, low, high = (x[ok] for x in (anchor, first, last, low, high))
+    return low, high - low + 1
+
+
+def _finder(window: int | None, slop: int | None, each_place: bool):
+    """What finds an item in a shard: (start, words, near) of phrases and of proximity
+    matches, either left out if its parameter is None. Without ``each_place`` a document
+    has one proximity match with an item."""
+
+    def find(item, rarest, posts, starts, ends):
+        if window is not None:
+            yield from ((at, n, False) for at, n in _phrases(item, posts, window))
+        if slop is not None:
+            low, n = _near(rarest, posts, starts, ends, slop)
+            if not each_place:
+                one = np.unique(np.searchsorted(starts, low, "right"), return_index=True)[1]
+                low, n = low[one], n[one]
+            yield from ((at, k, True) for at, k in zip(low.tolist(), n.tolist(), strict=True))
+
+    return find
 
 
 def _search(block, find):
     """Rows come sorted by shard, the row that lists its documents first."""
 
     def matches(shard, docs, posts):
-        starts, lengths = np.array(docs[2]), np.array(docs[3])
+        starts, lengths = np.array(docs[2], np.int64), np.array(docs[3], np.int64)
+        ends = starts + lengths
         out: list[tuple] = []
-        for item_id, item in block.value:
-            for start, n in find(item, posts):
+        for item_id, item, rarest in block.value:
+            for start, n, near in find(item, rarest, posts, starts, ends):
                 at = int(np.searchsorted(starts, start, "right")) - 1
-                if start + n <= starts[at] + lengths[at]:
-                    out.append((shard, at, docs[0][at], item_id, start - int(starts[at]), n))
-        names = ("shard", "ordinal", "doc_id", "item_id", "start", "n_words")
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+                if start + n <= ends[at]:
+                    out.append((shard, at, docs[0][at], item_id, start - int(starts[at]), n, near))
+        names = ("shard", "ordinal", "doc_id", "item_id", "start", "n_words", "near")
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -199,7 +228,7 @@ def _search(block, find):
     return run
 
 
-MATCH_SCHEMA = "shard bigint, ordinal bigint, doc_id bigint, item_id string, start bigint, n_words bigint"
+MATCH_SCHEMA = "shard bigint, ordinal bigint, doc_id bigint, item_id string, start bigint, n_words bigint, near boolean"
 
 
 def _blocks(items: DataFrame, block_chars: int):
@@ -218,13 +247,16 @@ def _blocks(items: DataFrame, block_chars: int):
         yield block
 
 
-def _run_blocks(index: DataFrame, items: DataFrame, find, block_chars: int) -> DataFrame:
+def _run_blocks(index: DataFrame, items: DataFrame, find, n_terms: int, block_chars: int) -> DataFrame:
     spark, found = index.sparkSession, None
     for block in _blocks(items, block_chars):
         terms = spark.createDataFrame([(bytearray(w),) for w in {w for _, x in block for w in x}], "term binary")
         # the terms of one block: at most block_chars characters and one item more
-        needed = (index.where("term is not null").join(F.broadcast(terms), "term", "left_semi")
-                  .select(*index.columns).unionByName(index.where("term is null")))
+        held = index.where("term is not null").join(F.broadcast(terms), "term", "left_semi")
+        counts = {} if not n_terms else {
+            bytes(r.term): r.n for r in held.groupBy("term").agg(F.sum("n_places").alias("n")).collect()}
+        block = [(item_id, item, _rarest(item, counts, n_terms)) for item_id, item in block]
+        needed = held.select(*index.columns).unionByName(index.where("term is null")).drop("n_places")
         rows = needed.repartition("shard").sortWithinPartitions("shard", F.col("term").asc_nulls_first())
         got = materialize(rows.mapInArrow(_search(spark.sparkContext.broadcast(block), find), MATCH_SCHEMA), "matches")
         found = got if found is None else found.unionByName(got)
@@ -235,34 +267,38 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW,
                    block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Exact matches: (shard, ordinal, doc_id, item_id, start, n_words), starts counted in
     words of the document. A run joins overlapping windows of one item."""
-    return _run_blocks(index, items, lambda item, posts: _phrases(item, posts, window), block_chars)
+    return _run_blocks(index, items, _finder(window, None, True), 0, block_chars).drop("near")
 
 
-def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20, n_terms: int = 4,
+def proximity_matches(index: DataFrame, items: DataFrame, slop: int = SLOP, n_terms: int = NEAR_TERMS,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Places where an item's ``n_terms`` rarest terms (of the shard) stand within ``slop``
-    words of the rarest one, in any order; columns as those of ``phrase_matches``."""
-    return _run_blocks(index, items, lambda item, posts: _near(item, posts, slop, n_terms), block_chars)
+    """Places where the others of an item's ``n_terms`` terms that are rarest in the whole
+    index stand within ``slop`` words of the rarest, in one document and any order; columns
+    as those of ``phrase_matches``. Ties between terms go by their bytes."""
+    return _run_blocks(index, items, _finder(None, slop, True), n_terms, block_chars).drop("near")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                  shard_words: int = SHARD_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  shard_words: int = SHARD_WORDS, block_chars: int = BLOCK_CHARS,
+                  slop: int | None = None, n_terms: int = NEAR_TERMS) -> DataFrame:
     """One row per row of ``docs``: doc_id, mark (the text's xxhash64), n_words, n_hit,
-    item_ids (sorted strings).
+    item_ids (sorted strings), and, with a ``slop``, near_ids: the items of which the
+    document holds a proximity match.
 
     ``n_hit`` counts the words inside any occurrence of a window of ``window`` words of an
     item (the whole item if it is shorter). Null and empty texts have no words; items
     without words match nothing; repeated items count once; an item with a null id counts
-    for ``n_hit`` but is not listed. Repeated doc_ids keep a row each. Other columns are
+    for ``n_hit`` but is never listed. Repeated doc_ids keep a row each. Other columns are
     ignored; empty tables give an empty result or no hits. doc_id must be an integer or a
     text of one, else the cast to bigint fails.
     """
     index = build_index(docs, shard_words)
-    by_doc = (phrase_matches(index, items, window, block_chars)
-              .groupBy("shard", "ordinal")
-              .agg(F.array_sort(F.collect_set(F.struct(
-                  "start", (F.col("start") + F.col("n_words")).alias("end")))).alias("runs"),
-                   F.array_sort(F.collect_set("item_id")).alias("item_ids")))
+    found = _run_blocks(index, items, _finder(window, slop, False), 0 if slop is None else n_terms, block_chars)
+    by_doc = (found.groupBy("shard", "ordinal")
+              .agg(F.array_sort(F.collect_set(F.when(~F.col("near"), F.struct(
+                  "start", (F.col("start") + F.col("n_words")).alias("end"))))).alias("runs"),
+                   F.array_sort(F.collect_set(F.when(~F.col("near"), F.col("item_id")))).alias("item_ids"),
+                   F.array_sort(F.collect_set(F.when(F.col("near"), F.col("item_id")))).alias("near_ids")))
     union = F.aggregate(
         "runs", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("at")),
         lambda acc, run: F.struct(
@@ -271,10 +307,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     directory = (index.where("term is null")
                  .select("shard", F.posexplode(F.arrays_zip("doc_ids", "marks", "lengths")).alias("ordinal", "doc"))
                  .select("shard", F.col("ordinal").cast("bigint"), "doc.doc_ids", "doc.marks", "doc.lengths"))
+    listed = ["item_ids"] if slop is None else ["item_ids", "near_ids"]
     return (directory.join(by_doc.withColumn("n_hit", union), ["shard", "ordinal"], "left")
             .select(F.col("doc_ids").alias("doc_id"), F.col("marks").alias("mark"), F.col("lengths").alias("n_words"),
                     F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
-                    F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))
+                    *(F.coalesce(x, F.array().cast("array<string>")).alias(x) for x in listed)))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslens.llm import toxicity
-from saleslens.llm.decontaminate import decontaminate
+from saleslens.llm.decontaminate import SLOP, decontaminate
 from saleslens.llm.exact_dedup import exact_dedup
 from saleslens.llm.fill_middle import fill_middle, restored
 from saleslens.llm.html_text import extract
@@ -57,10 +57,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=SLOP)
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-                      (F.col("n_hit") > 0).alias("contaminated"))
+                      (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").cast("bigint").alias("n_near"))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,11 +53,27 @@ hit_words AS (
   FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id),
+counts AS (SELECT t, count(*) AS c FROM (SELECT unnest(w) AS t FROM d) GROUP BY t),
+rarest AS (
+  SELECT item_id, w, t, r, max(r) OVER (PARTITION BY item_id, w) AS n_terms
+  FROM (SELECT item_id, w, t, row_number() OVER (PARTITION BY item_id, w ORDER BY coalesce(c, 0), t) AS r
+        FROM (SELECT DISTINCT item_id, w, unnest(w) AS t FROM b) LEFT JOIN counts USING (t))
+  WHERE r <= 4),
+spots AS (
+  SELECT doc_id, t, i
+  FROM (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS i FROM d) SEMI JOIN rarest USING (t)),
+near AS (
+  SELECT a.item_id, a.w, s.doc_id, s.i
+  FROM rarest a JOIN spots s ON a.t = s.t AND a.r = 1
+  JOIN rarest o ON o.item_id IS NOT DISTINCT FROM a.item_id AND o.w = a.w
+  JOIN spots p ON p.doc_id = s.doc_id AND p.t = o.t AND p.i BETWEEN s.i - 20 AND s.i + 20
+  GROUP BY ALL HAVING count(DISTINCT o.t) = any_value(a.n_terms)),
+near_items AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id) LEFT JOIN near_items USING (doc_id)
 """
 
 OP9 = f"""

@@ -1,6 +1,7 @@
 """Line dedup, exact dedup, n-gram join, decontamination against brute force."""
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -213,6 +214,42 @@ def test_proximity_matches(spark):
     assert rows_of(phrase_matches(index, items), "doc_id") == []
 
 
+def test_a_neighbouring_document_hides_no_match(spark):
+    # the nearest "beta" of the second document's "alpha" stands in the first
+    docs = docs_frame(spark, [(1, "far away beta"), (2, "alpha one two three beta"), (3, "beta"), (4, "alpha " + "x " * 5 + "beta")]).coalesce(1)
+    items = spark.createDataFrame([(7, "alpha beta")], "item_id long, text string")
+    found = proximity_matches(build_index(docs), items, slop=4, n_terms=2)
+    assert rows_of(found, "doc_id", "start", "n_words") == [(2, 0, 5)]
+
+
+def brute_near(rows, items, slop, n_terms):
+    texts = [(i, words(t)) for i, t in rows]
+    counts = Counter(w for _, own in texts for w in own)
+    out = []
+    for i, own in texts:
+        ids = set()
+        for item, text in items:
+            terms = sorted(set(words(text)), key=lambda w: (counts[w], w))[:n_terms]
+            for at, w in enumerate(own):
+                if terms and w == terms[0] and set(terms) <= set(own[max(0, at - slop):at + slop + 1]) and item is not None:
+                    ids.add(str(item))
+        out.append((i, sorted(ids)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("shard,block", [(2_000_000, 4_000_000), (40, 60)])
+def test_proximity_against_brute_force(spark, shard, block):
+    draw = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(40)] + [f"common{i}" for i in range(3)] * 8
+    rows = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randint(0, 60)))) for i in range(120)] + [(5, None), (5, "V1 v2"), (None, "v1 v2 v3")]
+    items = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randint(1, 12)))) for i in range(40)]
+    items += [(40, "v1 absent v2"), (41, None), (42, ""), (None, "v1 v2"), (3, "v4 v5"), (43, "v6 v6")]
+    got = decontaminate(docs_frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), 10, shard, block, slop=6, n_terms=3)
+    want = brute_near(rows, items, 6, 3)
+    assert rows_of(got, "doc_id", "near_ids") == want and sum(len(x) for _, x in want) > 100
+    assert rows_of(got, "doc_id", "n_words", "n_hit", "item_ids") == brute_leaks(rows, items)
+
+
 @pytest.mark.parametrize("run", [
     lambda s, d: line_dedup(d), lambda s, d: exact_dedup(d), lambda s, d: ngram_join(d), lambda s, d: keep_one(d),
     lambda s, d: decontaminate(d, s.createDataFrame([], "item_id long, text string"))])
