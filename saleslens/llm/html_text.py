@@ -3,12 +3,14 @@
 A page becomes a flat list of text blocks, each with its number of words and link density
 (and those of the blocks before and after it), and what encloses it. A decision tree
 tells article text from the rest; it is trained, in a moment, on the labelled blocks of
-``LABELLED``. Markup may be broken or cut off at any place.
+``LABELLED`` and of drawn pages: on some what encloses a block decides (``marked_page``),
+on others only words, links and neighbours do (``plain_page``). Markup may be broken or cut off at any place.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from saleslens.llm.rows import slices
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -47,6 +51,10 @@ HINTS = set("ad ads advert advertisement advertising adverts adsense banner bann
 LAYOUT = set("banner banners notice notices alert alerts notification modal overlay sidebar widget widgets menu nav navigation navbar "
              "breadcrumb breadcrumbs footer header masthead topbar toolbar respond discussion responses related recommended share sharing "
              "social search pagination pager legal copyright disclaimer tags byline meta skip".split())
+# Words that go with them in a name ("ad-slot", not "share-price").
+BESIDES = set("area article bar block body bottom box button buttons card col container content form group header inner item items js left "
+              "link links list main module outer page panel post posts right row section site slot small story strip text thread title "
+              "top unit user wrap wrapper".split())
 BESIDE = set("has with without no".split())  # class="with-sidebar" is no sidebar
 
 
@@ -54,8 +62,10 @@ def hints_at(tag: str, attributes: str, in_main: bool) -> bool:
     """Whether the attributes name the element as other than an article.
 
     On <article> and <main> only a whole name that is not about layout does
-    (class="comment", not "with-sidebar" or "has-comments"). Ids are also anchors: on
-    headings they say nothing, inside an article only what is not about layout.
+    (class="comment", not "with-sidebar" or "has-comments"). Inside an article every word
+    of a class name must be such a word or go with one (class="share-buttons", not
+    "share-price"). Ids are also anchors: on headings they say nothing, inside an article
+    only what is not about layout.
     """
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -71,7 +81,8 @@ def hints_at(tag: str, attributes: str, in_main: bool) -> bool:
                 return True
         elif name == "class":
             words = [WORD.findall(x) for x in value.split()]
-            if any(x and x[0] not in BESIDE and not HINTS.isdisjoint(x) for x in words):
+            if any(x and x[0] not in BESIDE and not HINTS.isdisjoint(x) and (not in_main or HINTS.union(BESIDES).issuperset(x))
+                   for x in words):
                 return True
         elif name in ("role", "itemprop", "aria-label") and not HINTS.isdisjoint(WORD.findall(value)):
             return True
@@ -250,10 +261,102 @@ LABELLED: list[list[tuple[str, int | None]]] = [
 ]
 
 
-def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the blocks of ``LABELLED``."""
+_WORDS = "the river of old mill and boats with grain over many years we heard a slow voice from bridge that went by night".split()
+
+
+def _telling(draw: random.Random, inner: str) -> str:
+    """What an element or a name tells to be other than an article."""
+    tag = draw.choice([*sorted(BOILER - {"header", "head", "datalist"}), *["div", "section", "p"] * 2])
+    name = "" if tag in BOILER else f" class='{draw.choice(sorted(HINTS - {'skip'}))}'"
+    return f"<{tag}{name}>{inner}</{tag}>"
+
+
+def marked_page(draw: random.Random) -> list[tuple[str, int | None]]:
+    """A page with an <article> or <main>: what encloses a block decides, its size, links
+    and neighbours say nothing."""
+
+    def block() -> str:
+        words = " ".join(draw.choices(_WORDS, k=draw.choice([1, 2, 4, 8, 16, 40, 90])))
+        return f"<a href='/x'>{words}</a>" if draw.random() < 0.3 else words
+
+    def beside() -> tuple[str, int | None]:
+        return (f"<div>{block()}</div>" if draw.random() < 0.5 else _telling(draw, block())), 0
+
+    tag = draw.choice(["article", "main"])
+    page: list[tuple[str, int | None]] = [beside() for _ in range(draw.randint(0, 4))] + [(f"<{tag}>", None)]
+    for _ in range(draw.randint(1, 8)):
+        page.append((_telling(draw, block()), 0) if draw.random() < 0.25 else (f"<{(inner := draw.choice(['p', 'h2', 'div']))}>{block()}</{inner}>", 1))
+    return page + [(f"</{tag}>", None)] + [beside() for _ in range(draw.randint(0, 4))]
+
+
+def plain_page(draw: random.Random, named: float = 0.0) -> list[tuple[str, int | None]]:
+    """A page of unnamed <div>, <p> and <li> blocks, labelled like those of ``LABELLED``.
+
+    Link lists, short lines, teasers and a footer stand around the article; the article is a
+    title, paragraphs of any length, some with links, short lines, headings and lists.
+    With a share ``named``, blocks around it are of any length and told by name.
+    """
+
+    def text(least: int, most: int) -> str:
+        return " ".join(draw.choices(_WORDS, k=draw.randint(least, most)))
+
+    def link(least: int, most: int) -> str:
+        return f"<a href='/x'>{text(least, most)}</a>"
+
+    def links() -> list[tuple[str, int | None]]:
+        if draw.random() < 0.5:
+            return [("<div>" + " ".join(link(1, 4) for _ in range(draw.randint(2, 9))) + "</div>", 0)]
+        return [("<ul>", None), *((f"<li>{link(1, 8)}</li>", 0) for _ in range(draw.randint(2, 6))), ("</ul>", None)]
+
+    def around() -> list[tuple[str, int | None]]:
+        out = links()
+        for _ in range(draw.randint(0, 3)):
+            kind = draw.randrange(3)
+            line = (f"<div>{text(1, 5)}</div>", f"<h3>{text(1, 3)}</h3>", f"<div>{text(6, 14)}</div>")[kind]
+            out += [(line, 0), *links()]
+        if draw.random() < named:
+            out.insert(draw.choice([0, len(out)]), (_telling(draw, text(1, 90)), 0))
+        return out
+
+    def paragraph() -> tuple[str, int | None]:
+        with_link = f" {link(1, 4)} {text(8, 30)}" if draw.random() < 0.3 else ""
+        tag = draw.choice(["p", "p", "div"])
+        return f"<{tag}>{text(15, 90)}{with_link}</{tag}>", 1
+
+    if draw.random() < 0.04:
+        return [(f"<p>{text(1, 12)}</p>", 1)]
+    page = around() if draw.random() < 0.9 else []
+    if draw.random() < 0.8:
+        if page and draw.random() < 0.4:
+            page.append((f"<div>{text(3, 14)}</div>", 0))  # an advert, a date
+        page.append((f"<{draw.choice(['h1', 'div'])}>{text(2, 8)}", 1))
+    for _ in range(draw.randint(1, 6)):
+        page.append(paragraph())
+        extra = draw.randrange(6)
+        if extra == 0:
+            page += [(f"<p>{text(1, 6)}</p>", 1), paragraph()]
+        elif extra == 1:
+            page += [(f"<h2>{text(1, 5)}</h2>", 1), paragraph()]
+        elif extra == 2:
+            page += [("<ul>", None), *((f"<li>{text(3, 12)}</li>", 1) for _ in range(draw.randint(2, 4))), ("</ul>", None), paragraph()]
+    if draw.random() < 0.8:
+        page += around()
+    if draw.random() < 0.5:
+        page.append((f"<div>{text(2, 14)}</div>", 0))  # a footer
+    return page
+
+
+# Of each kind in the training table; enclosing elements are to outweigh all else where a page has them.
+PAGES = [(marked_page, 800), (plain_page, 200), (lambda draw: plain_page(draw, 0.5), 200)]
+
+
+def labelled_blocks(pages: list[list[tuple[str, int | None]]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of ``pages``; by default those of the training table."""
+    if pages is None:
+        draw = random.Random(1)
+        pages = LABELLED + [make(draw) for make, n in PAGES for _ in range(n)]
     rows, labels = [], []
-    for page in LABELLED:
+    for page in pages:
         own = [label for part, label in page if label is not None for _ in blocks_of(part)]
         made = blocks_of("".join(part for part, _ in page))
         assert len(made) == len(own), [b.text for b in made]
@@ -262,26 +365,29 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     return np.vstack(rows), np.array(labels)
 
 
-def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6):
+def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 4):
     """A decision tree by Gini impurity: (column, threshold, low, high), or a leaf's label.
 
-    Of splits that separate as well, the one on the latest column: what encloses a block
-    says more than its size.
+    Every leaf holds at least ``least`` blocks, or is what was left of a smaller node.
     """
     if depth == 0 or len(set(y.tolist())) < 2:
         return int(y.mean() >= 0.5)
     best = None
     for column in range(x.shape[1]):
-        values = np.unique(x[:, column])
-        for threshold in (values[1:] + values[:-1]) / 2:
-            low = x[:, column] <= threshold
-            impurity = sum(len(p) * p.mean() * (1 - p.mean()) for p in (y[low], y[~low]))
-            if best is None or impurity <= best[0] + 1e-12:
-                best = (impurity, column, threshold, low)
+        order = np.argsort(x[:, column], kind="stable")
+        values, ones = x[order, column], np.cumsum(y[order])
+        n = np.arange(1, len(y))  # blocks below each cut
+        low, high = ones[:-1] / n, (ones[-1] - ones[:-1]) / (len(y) - n)
+        impurity = n * low * (1 - low) + (len(y) - n) * high * (1 - high)
+        impurity[(values[1:] == values[:-1]) | (np.minimum(n, len(y) - n) < min(least, len(y) // 2))] = np.inf
+        if len(n) and impurity.min() < (np.inf if best is None else best[0] - 1e-12):
+            at = int(impurity.argmin())
+            best = (impurity[at], column, (values[at] + values[at + 1]) / 2)
     if best is None:
         return int(y.mean() >= 0.5)
-    _, column, threshold, low = best
-    return (column, float(threshold), train_tree(x[low], y[low], depth - 1), train_tree(x[~low], y[~low], depth - 1))
+    _, column, threshold = best
+    low = x[:, column] <= threshold
+    return (column, float(threshold), train_tree(x[low], y[low], depth - 1, least), train_tree(x[~low], y[~low], depth - 1, least))
 
 
 def is_article(tree, row) -> bool:
@@ -307,7 +413,7 @@ def extract(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 100):
             texts = [main_text(page, tree) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -342,6 +342,63 @@ def test_main_text_keeps_what_is_no_hint(page, want):
     assert html_text.main_text(page, TREE) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>x y z</p><p class='share-price'>The price rose</p><p class='search-results'>ten</p><div class='ad-slot box'>no</div></article>",
+     "x y z\nThe price rose\nten"),
+    ("<article><p>x</p><div class='share-buttons'>no</div><p class='comment-list'>no</p><p>y</p></article>", "x\ny")])
+def test_class_names_inside_an_article(page, want):
+    assert html_text.main_text(page, TREE) == want
+
+
+def accuracy(tree, x, y):
+    return np.mean([html_text.is_article(tree, row) == label for row, label in zip(x.tolist(), y, strict=True)])
+
+
+def test_words_links_and_neighbours_carry_pages_without_names():
+    """Held-out pages without telling names; other seeds than the training table's."""
+    draw = random.Random(77)
+    x, y = html_text.labelled_blocks([html_text.plain_page(draw) for _ in range(300)])
+    whole = accuracy(TREE, x, y)
+    blind = {}
+    for name, columns in (("neighbours", [2, 3, 4, 5]), ("words", [0, 2, 4]), ("links", [1, 3, 5])):
+        less = x.copy()
+        less[:, columns] = 0
+        train, labels = html_text.labelled_blocks()
+        train[:, columns] = 0
+        blind[name] = (accuracy(TREE, less, y), accuracy(html_text.train_tree(train, labels), less, y))
+    print("whole", whole, "blind", blind)
+    assert whole >= 0.95 and blind["words"][1] < whole - 0.005
+    assert all(as_is <= whole - 0.02 for as_is, _ in blind.values())
+    assert all(blind[name][1] <= whole - 0.05 for name in ("neighbours", "links"))
+
+
+def used(tree):
+    return set() if isinstance(tree, int) else {tree[0]} | used(tree[2]) | used(tree[3])
+
+
+def test_the_tree_uses_the_dealt_features():
+    assert {0, 1} <= used(TREE) and used(TREE) & {2, 3} and used(TREE) & {4, 5}
+
+
+PARAGRAPHS = ["The council voted on Tuesday to rebuild the harbour wall after two winters of storms had opened gaps wide enough for small boats to pass through.",
+              "Work starts in May.",
+              "Engineers from three firms surveyed the site last autumn and found that the oldest stones, laid in 1871, were still in good order, unlike the "
+              "concrete added a century later.",
+              "Fishing crews, who must move their boats for a year, said that they had asked for berths in the next town and were still waiting for a reply."]
+
+
+@pytest.mark.parametrize("article,par", [("article", "p"), ("div", "p"), ("div", "div")])
+def test_an_article_is_found_without_class_and_id_names(article, par):
+    body = "".join(f"<{par}>{x}</{par}>" for x in PARAGRAPHS)
+    page = ("<div class='menu'><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport</a> <a href=/w>Weather</a></div>"
+            f"<{article} id='story' class='post'><h1>Harbour wall to be rebuilt</h1>{body}</{article}>"
+            "<div class='related'><ul><li><a href=/1>Ferry times change again</a></li><li><a href=/2>Storm closes the coast road</a></li></ul></div>"
+            "<div id='footer'><a href=/i>Imprint</a> <a href=/p>Privacy</a> <a href=/c>Contact</a></div>")
+    want = "\n".join(["Harbour wall to be rebuilt", *PARAGRAPHS])
+    bare = re.sub(r" (?:class|id)='[^']*'", "", page)
+    assert bare != page and html_text.main_text(page, TREE) == html_text.main_text(bare, TREE) == want
+
+
 def test_unclosed_elements_take_linear_time():
     assert len(html_text.blocks_of("<article>" + "<svg><p>a" * 20_000)) == 20_000
 
