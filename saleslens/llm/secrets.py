@@ -161,9 +161,16 @@ def _identifiers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def identifier_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     """The corpus's ``words`` commonest identifiers, commonest last (nearest to the text)."""
-    counts = docs.select("text").mapInArrow(_identifiers, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    # written first: the tasks' candidates meet in a task, the driver gets the chosen words
-    top = materialize(counts.orderBy(F.desc("n"), "word").limit(words), "identifiers").collect()
+    counts = materialize(docs.select("text").mapInArrow(_identifiers, "word binary, n bigint")
+                         .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    level = F.floor(F.log2("n") * 16).cast("int")
+    cut = held = 0
+    for cut, n in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):  # at most 16 * 63 rows
+        held += n
+        if held >= words:
+            break
+    # written: candidates, few more than the words wanted, meet in a task, the driver gets the chosen ones
+    top = materialize(counts.where(level >= cut).orderBy(F.desc("n"), "word").limit(words), "identifiers").collect()
     best = heapq.nsmallest(words, ((-r.n, bytes(r.word)) for r in top))
     return b" ".join(w for _, w in reversed(best))
 

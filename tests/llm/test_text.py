@@ -477,6 +477,18 @@ def test_names_near_credential_words_are_not_novel():
         assert secrets.find_spans(text, novelty) == []
 
 
+@pytest.mark.parametrize("words", [1, 7, 60, 1000])
+def test_dictionary_is_the_commonest_identifiers(spark, words):
+    draw = random.Random(4)
+    vocabulary = [f"{a}{b}{c}" for a in ("river", "Stone") for b in "abcdefgh" for c in "uvwxyz"]
+    texts = [" ".join(draw.choices(vocabulary, [1 / (i + 1) for i in range(len(vocabulary))], k=80)) + " tiny with1digit" for _ in range(40)]
+    counts = Counter(w for t in texts for w in t.split() if len(w) >= 5 and w.isalpha())
+    want = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:words]
+    docs = docs_frame(spark, [*enumerate(texts), (90, None), (91, "")])
+    assert secrets.identifier_dictionary(docs, words) == " ".join(reversed(want)).encode()
+    assert secrets.identifier_dictionary(docs.limit(0), words) == b""
+
+
 def test_secrets_query(spark):
     got = {r.doc_id: r for r in queries.op7_secrets(spark, SF).collect()}
     for row in spark.read.parquet(f"{SF}/documents.parquet").collect():
