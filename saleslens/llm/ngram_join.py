@@ -18,6 +18,13 @@ them out of the later joins. Groups never expand into all pairs: a block of
 equal fragments first links its members to its leader; only members of a leader's blocks
 that are then still in different components meet, in tiles of bounded size, and only if a sketch of both (a
 few bits per n-gram, whose differences bound the true ones) leaves a link possible. Sets are equal, and n-grams are, when their hashes are (64 bits a gram).
+
+A group of more than one tile, such as the texts of one template, is cut once more. Its
+n-grams get an order of their own, those of at most a tile of members first. Linked sets
+share one of their first n-grams in any order: of the smaller set as many as its grams
+can exceed the common ones of two sets of its size, of the larger one as many as they
+exceed those with its smallest partner. Members meet under such a shared gram only, so
+texts that have more own words than links allow never meet, however many share the rest.
 """
 
 from __future__ import annotations
@@ -29,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -247,12 +255,61 @@ def _possible(num: int, den: int):
     return run
 
 
+def _group_keys(leader: int, grams: np.ndarray) -> np.ndarray:
+    return _mix(grams ^ _mix(np.array([leader]).view(np.uint64)))
+
+
+def _grams_of(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), np.uint64)
+
+
+def _group_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A key per (leader, gram) of members (leader, parts)."""
+    for batch in slices(batches):
+        keys = [_group_keys(leader, _grams_of(parts.as_py())) for leader, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
+        yield pa.RecordBatch.from_pydict({"g": pa.array(np.concatenate(keys).view(np.int64))})
+
+
+def first_grams(n: int, num: int, den: int) -> tuple[int, int]:
+    """How many first n-grams a set of n must show: as the smaller of a linked pair, as the larger."""
+    least_equal = -(-2 * num * n // (num + den))  # common to linked sets of n and at least n
+    least_any = -(-num * n // den)
+    return n - least_equal + 1, n - least_any + 1
+
+
+def _first_grams_of(num: int, den: int, filt: Broadcast):
+    """(g, cid, component, short) of members (leader, parts, cid, component): their first
+    n-grams in the order (held by the filter, hash); short: also among those of a smaller set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = filt.value
+        for batch in slices(batches):
+            keys, sizes, short = [], [], []
+            for leader, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                key = _group_keys(leader, _grams_of(parts.as_py()))
+                common = bloom.holds(held, bloom.probes(key, len(held) * 8))
+                smaller, larger = first_grams(len(key), num, den)
+                keys.append(np.concatenate([key[~common], key[common]])[:larger])
+                sizes.append(len(keys[-1]))
+                short.append(np.arange(sizes[-1]) < smaller)
+            cid, component = (np.repeat(c.to_numpy(), sizes) for c in batch.columns[2:])
+            yield pa.RecordBatch.from_pydict({"g": pa.array(np.concatenate(keys).view(np.int64)), "cid": pa.array(cid),
+                                              "component": pa.array(component), "short": pa.array(np.concatenate(short))})
+
+    return run
+
+
 def _tiles(num: int, den: int):
-    """Rows come sorted by (leader, i, j); within a tile, left rows meet right rows.
+    """Rows come sorted by (g, i, j); within a tile, left rows meet right rows.
 
-    A pair that shares several groups is taken in the first of them only.
+    A pair that shares several whole groups is taken in the first of them only; rows of a
+    group that was cut have no list of groups.
     """
 
+    def first(own: pa.Scalar, other: pa.Scalar, g: int) -> bool:
+        return own.values is None or other.values is None or g == np.intersect1d(
+            own.values.to_numpy(), other.values.to_numpy(), assume_unique=True)[0]
+
     def pairs(rows):
         left = [r for r in rows if r[7]]
         right = [r for r in rows if not r[7]]
@@ -268,8 +325,7 @@ def _tiles(num: int, den: int):
             own = _fold(r[6], size)
             at = at[_differ(cells[at], own) <= room[at]]
             for k in at.tolist():
-                common = np.intersect1d(r[8].values.to_numpy(), right[k][8].values.to_numpy(), assume_unique=True)
-                if common[0] == r[0]:
+                if first(r[8], right[k][8], r[0]):
                     yield (min(r[3], right[k][3]), max(r[3], right[k][3]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,11 +431,23 @@ class _Join:
             F.min("component").alias("low"), F.max("component").alias("high"))
         inside = materialize(known.join(groups.where("low < high").select("leader", "size", "main"), "leader")
                              .withColumn("outside", F.col("component") != F.col("main")), "inside")
+        cut = materialize(inside.where(F.col("size") > self.tile).select("leader").distinct(), "cut")
+        whole = inside.join(cut, "leader", "left_anti")
         # Members outside the leader's component stand on the left of every tile of their
         # row, all members on the right of every tile of their column.
-        shapes = inside.groupBy("leader").agg(
-            F.ceil(F.sum(F.col("outside").cast("int")) / self.tile).cast("int").alias("rows"),
-            F.ceil(F.count("*") / self.tile).cast("int").alias("columns"))
+        roles = whole.select(F.col("leader").alias("g"), "cid", "component", F.col("outside").alias("left"), F.lit(True).alias("right"))
+        own = whole.groupBy("cid").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+        tiled = self.tiled(roles, sets, own)
+        if not cut.isEmpty():
+            refined = self.cut_roles(inside.join(cut, "leader", "left_semi"), sets)
+            tiled = tiled.unionByName(self.tiled(refined, sets, None))
+        tiled = tiled.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+        return materialize(tiled.mapInArrow(_tiles(self.num, self.den), "a bigint, b bigint").distinct(), "across")
+
+    def tiled(self, roles: DataFrame, sets: DataFrame, own: DataFrame | None) -> DataFrame:
+        """A row per tile that a member (g, cid, component, left, right) stands in."""
+        shapes = roles.groupBy("g").agg(*(F.ceil(F.sum(F.col(side).cast("int")) / self.tile).cast("int").alias(name)
+                                          for side, name in (("left", "rows"), ("right", "columns")))).where("rows > 0 AND columns > 0")
 
         def place(name: str) -> Column:
             return F.pmod(F.xxhash64("cid"), F.col(name)).cast("int")
@@ -388,14 +456,40 @@ class _Join:
                             lambda i: F.struct(i.alias("i"), place("columns").alias("j"), F.lit(False).alias("left")))
         left = F.transform(F.sequence(F.lit(0), F.col("columns") - 1),
                            lambda j: F.struct(place("rows").alias("i"), j.alias("j"), F.lit(True).alias("left")))
-        own = inside.groupBy("cid").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
-        sketches = sets.where("part = 0").select("cid", "n", "cells").join(own, "cid")
-        placed = inside.join(shapes, "leader").withColumn(
-            "at", F.explode(F.when(F.col("outside"), F.concat(right, left)).otherwise(right)))
-        tiled = (placed.join(sketches, "cid")
-                 .select("leader", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "leaders")
-                 .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j"))
-        return materialize(tiled.mapInArrow(_tiles(self.num, self.den), "a bigint, b bigint").distinct(), "across")
+        at = F.explode(F.when(F.col("left") & F.col("right"), F.concat(right, left)).when(F.col("left"), left).otherwise(right))
+        sketches = sets.where("part = 0").select("cid", "n", "cells")
+        if own is None:
+            sketches = sketches.withColumn("leaders", F.lit(None).cast("array<bigint>"))
+        else:
+            sketches = sketches.join(own, "cid")
+        return (roles.join(shapes, "g").withColumn("at", at).join(sketches, "cid")
+                .select("g", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "leaders"))
+
+    def cut_roles(self, inside: DataFrame, sets: DataFrame) -> DataFrame:
+        """(g, cid, component, left, right): members of large groups under their first n-grams.
+
+        A member outside the component of the gram's main member meets all if the gram is
+        among its few first ones, else those of whom it is.
+        """
+        grams = (sets.join(inside.select("cid").distinct(), "cid", "left_semi").groupBy("cid")
+                 .agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "grams"))), lambda x: x["grams"]).alias("parts")))
+        members = materialize(inside.select("leader", "cid", "component").join(grams, "cid")
+                              .select("leader", "parts", "cid", "component"), "large-groups")
+        common = materialize(members.select("leader", "parts").mapInArrow(_group_grams, "g bigint")
+                             .groupBy("g").count().where(F.col("count") > self.tile).select("g"), "common-grams")
+        bits = bloom.bits_for(common.count(), self.max_bits)
+        filt = self.docs.sparkSession.sparkContext.broadcast(
+            bloom.merged(common.mapInArrow(_filter_of(bits), bloom.SHARD_SCHEMA), bits, "once"))
+        first = materialize(members.mapInArrow(
+            _first_grams_of(self.num, self.den, filt), "g bigint, cid bigint, component bigint, short boolean"), "first-grams")
+        groups = first.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                        F.max("short").alias("any"), F.min_by("component", "cid").alias("main"))
+        met = first.join(groups.where("low < high AND any").select("g", "main"), "g")
+        outside = F.col("component") != F.col("main")
+        sides = F.array(F.struct(F.col("g"), (outside & F.col("short")).alias("left"), F.lit(True).alias("right")),
+                        F.struct(F.xxhash64("g").alias("g"), (outside & ~F.col("short")).alias("left"), F.col("short").alias("right")))
+        return materialize(met.select("cid", "component", F.explode(sides).alias("side"))
+                           .select("side.g", "cid", "component", "side.left", "side.right").where("left OR right"), "roles")
 
     def run(self) -> DataFrame:
         members = self.members()

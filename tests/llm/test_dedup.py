@@ -5,12 +5,14 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from saleslens.llm import bloom, queries, queries_sql
 from saleslens.llm.components import components
 from saleslens.llm.decontaminate import build_index, decontaminate, phrase_matches, proximity_matches, words
 from saleslens.llm.exact_dedup import exact_dedup, keep_one
 from saleslens.llm.line_dedup import line_dedup
-from saleslens.llm.ngram_join import fragment_names, gram_set, keep_representatives, ngram_join, size_classes, _WordHashes, _differ, _fold, sketch
+from saleslens.llm.ngram_join import _Join, first_grams, fragment_names, gram_set, keep_representatives, ngram_join, size_classes, _WordHashes, _differ, _fold, sketch
 from tests.llm.helpers import LOWER, SF, WS, docs_frame, duck, linked_components, rows_of, sha, squeeze
 
 
@@ -137,6 +139,75 @@ def test_ngram_join_against_all_pairs(spark, gram, similarity, tile, few):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+def templates(seed, count, own_words, pairs):
+    """Texts of one template; the first ``pairs`` have a twin that links with them."""
+    draw, rows = random.Random(seed), []
+    shared = [f"t{i}" for i in range(90)]
+    for i in range(count):
+        own = [f"o{draw.randrange(10**9)}" for _ in range(own_words)]
+        rows.append((i, " ".join(shared + own)))
+        if i < pairs:
+            rows.append((10_000 + i, " ".join(shared + own[:-1] + ["twin"])))
+    return rows
+
+
+@pytest.mark.parametrize("own_words", [3, 5, 8, 12])
+def test_ngram_join_of_templates(spark, own_words):
+    rows = templates(own_words, 90, own_words, 25) + near_copies(9, 3, 8, 120)
+    rows = [(at, text) for at, (_, text) in enumerate(rows)]
+    want = linked_components(rows, 3, 90, 100)
+    got = ngram_join(docs_frame(spark, rows), 3, (90, 100), tile=4, broadcast_rows=0)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+
+
+def test_template_texts_do_not_all_meet(spark):
+    met = []
+
+    class Watched(_Join):
+        def cut_roles(self, inside, sets):
+            roles = super().cut_roles(inside, sets)
+            met.append((inside.count(), roles.where("left").count()))
+            return roles
+
+    rows = templates(1, 400, 12, 10)
+    got = {r.doc_id: r.component_id for r in Watched(docs_frame(spark, rows), 3, (90, 100), 20, 500_000, 1 << 31).run().collect()}
+    assert got == {i: i % 10_000 for i, _ in rows}
+    # the large groups hold many members, of whom none meet: twins are linked by their own leader
+    assert met[0][0] > 400 and met[0][1] == 0
+
+
+@pytest.mark.parametrize("tile", [4, 1000])
+def test_one_group_of_all_finds_every_link(spark, tile):
+    rows = [(at, text) for at, (_, text) in enumerate(templates(4, 40, 4, 15) + near_copies(3, 8, 6, 120))]
+    join = _Join(docs_frame(spark, rows), 3, (90, 100), tile, 0, 1 << 31)
+    least = join.classes.agg(F.min("cid").alias("leader"))
+    members = join.classes.select("cid").join(F.broadcast(least)).select("leader", "cid")
+    sets = join.sets(members)
+    nothing = spark.createDataFrame([], "node bigint, component bigint")
+    found = join.links(join.across(members, nothing, sets), sets)
+    ids = {r.cid: r.first_id for r in join.classes.collect()}
+    hashes = _WordHashes()
+    grams = {i: set(gram_set(dict(rows)[i], hashes, 3).tolist()) for i in ids.values()}
+    want = {(a, b) for a in grams for b in grams if a < b and 100 * len(grams[a] & grams[b]) >= 90 * len(grams[a] | grams[b])}
+    assert len(want) >= 15 and {tuple(sorted((ids[r.u], ids[r.v]))) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 1), (1, 2)])
+def test_linked_sets_share_a_first_gram_in_any_order(num, den):
+    draw, linked = random.Random(num), 0
+    for _ in range(3000):
+        universe = list(range(draw.randint(1, 60)))
+        draw.shuffle(universe)
+        a = [x for x in universe if draw.random() < 0.93]
+        b = [x for x in a if draw.random() < 0.95] + [x for x in universe if x not in a and draw.random() < 0.1]
+        b = [x for x in universe if x in b]
+        a, b = sorted((a, b), key=len)
+        if a and den * len(set(a) & set(b)) >= num * len(set(a) | set(b)):
+            linked += 1
+            assert set(a[:first_grams(len(a), num, den)[0]]) & set(b[:first_grams(len(b), num, den)[1]])
+    assert linked > 100
+
+
 def test_ngram_join_repeated_and_null_ids(spark):
     text = "a b c d e f g h i j k l"
     got = ngram_join(docs_frame(spark, [(3, text), (3, text), (None, text), (5, text + " m n o p q r s"), (9, None)]))
