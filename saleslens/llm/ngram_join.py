@@ -19,12 +19,14 @@ equal fragments first links its members to its leader; only members of a leader'
 that are then still in different components meet, in tiles of bounded size, and only if a sketch of both (a
 few bits per n-gram, whose differences bound the true ones) leaves a link possible. Sets are equal, and n-grams are, when their hashes are (64 bits a gram).
 
-A group of more than one tile, such as the texts of one template, is cut once more. Its
-n-grams get an order of their own, those of at most a tile of members first. Linked sets
+Groups of more than one tile, such as the texts of one template, are cut once more. Their
+n-grams get an order of their own, the rarer ones first: those of one member, of at most
+the tile's square root, of at most a tile, the rest. Linked sets
 share one of their first n-grams in any order: of the smaller set as many as its grams
 can exceed the common ones of two sets of its size, of the larger one as many as they
-exceed those with its smallest partner. Members meet under such a shared gram only, so
-texts that have more own words than links allow never meet, however many share the rest.
+exceed those with its smallest partner. Members meet under such a shared gram only, and a
+gram of one member is no row at all, so texts that have more own words than links allow
+never meet, however many share the rest.
 """
 
 from __future__ import annotations
@@ -255,18 +257,14 @@ def _possible(num: int, den: int):
     return run
 
 
-def _group_keys(leader: int, grams: np.ndarray) -> np.ndarray:
-    return _mix(grams ^ _mix(np.array([leader]).view(np.uint64)))
-
-
 def _grams_of(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), np.uint64)
 
 
 def _group_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A key per (leader, gram) of members (leader, parts)."""
+    """The grams of members (cid, parts)."""
     for batch in slices(batches):
-        keys = [_group_keys(leader, _grams_of(parts.as_py())) for leader, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
+        keys = [_grams_of(parts.as_py()) for parts in batch.column(1)]
         yield pa.RecordBatch.from_pydict({"g": pa.array(np.concatenate(keys).view(np.int64))})
 
 
@@ -277,22 +275,26 @@ def first_grams(n: int, num: int, den: int) -> tuple[int, int]:
     return n - least_equal + 1, n - least_any + 1
 
 
-def _first_grams_of(num: int, den: int, filt: Broadcast):
-    """(g, cid, component, short) of members (leader, parts, cid, component): their first
-    n-grams in the order (held by the filter, hash); short: also among those of a smaller set."""
+def _first_grams_of(num: int, den: int, filters: list[Broadcast]):
+    """(g, cid, component, short) of members (cid, parts, component): their first
+    n-grams in the order (number of filters that hold it, hash), without those that the
+    first filter, of the grams of several members, does not hold; short: also among those
+    of a smaller set. A wrong answer of a filter is the same for all members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = filt.value
+        filts = [f.value for f in filters]
         for batch in slices(batches):
             keys, sizes, short = [], [], []
-            for leader, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                key = _group_keys(leader, _grams_of(parts.as_py()))
-                common = bloom.holds(held, bloom.probes(key, len(held) * 8))
+            for parts in batch.column(1):
+                key = _grams_of(parts.as_py())
+                held = [bloom.holds(f, bloom.probes(key, len(f) * 8)) for f in filts]
                 smaller, larger = first_grams(len(key), num, den)
-                keys.append(np.concatenate([key[~common], key[common]])[:larger])
+                first = np.argsort(np.sum(held, axis=0), kind="stable")[:larger]
+                shared = held[0][first]
+                keys.append(key[first][shared])
                 sizes.append(len(keys[-1]))
-                short.append(np.arange(sizes[-1]) < smaller)
-            cid, component = (np.repeat(c.to_numpy(), sizes) for c in batch.columns[2:])
+                short.append(np.flatnonzero(shared) < smaller)
+            cid, component = (np.repeat(c.to_numpy(), sizes) for c in (batch.column(0), batch.column(2)))
             yield pa.RecordBatch.from_pydict({"g": pa.array(np.concatenate(keys).view(np.int64)), "cid": pa.array(cid),
                                               "component": pa.array(component), "short": pa.array(np.concatenate(short))})
 
@@ -300,7 +302,7 @@ def _first_grams_of(num: int, den: int, filt: Broadcast):
 
 
 def _tiles(num: int, den: int):
-    """Rows come sorted by (g, i, j); within a tile, left rows meet right rows.
+    """Rows come sorted by (g, i, j); within a tile, left rows meet right rows; a row can be both.
 
     A pair that shares several whole groups is taken in the first of them only; rows of a
     group that was cut have no list of groups.
@@ -312,7 +314,7 @@ def _tiles(num: int, den: int):
 
     def pairs(rows):
         left = [r for r in rows if r[7]]
-        right = [r for r in rows if not r[7]]
+        right = [r for r in rows if r[8]]
         if not left or not right:
             return
         size = min(len(r[6]) for r in rows)
@@ -325,7 +327,7 @@ def _tiles(num: int, den: int):
             own = _fold(r[6], size)
             at = at[_differ(cells[at], own) <= room[at]]
             for k in at.tolist():
-                if first(r[8], right[k][8], r[0]):
+                if first(r[9], right[k][9], r[0]):
                     yield (min(r[3], right[k][3]), max(r[3], right[k][3]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +338,7 @@ def _tiles(num: int, den: int):
             return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(8), strict=True):
+            for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(9), strict=True):
                 if row[:3] != key:
                     seen.update(pairs(rows))
                     key, rows = row[:3], []
@@ -452,36 +454,45 @@ class _Join:
         def place(name: str) -> Column:
             return F.pmod(F.xxhash64("cid"), F.col(name)).cast("int")
 
-        right = F.transform(F.sequence(F.lit(0), F.col("rows") - 1),
-                            lambda i: F.struct(i.alias("i"), place("columns").alias("j"), F.lit(False).alias("left")))
-        left = F.transform(F.sequence(F.lit(0), F.col("columns") - 1),
-                           lambda j: F.struct(place("rows").alias("i"), j.alias("j"), F.lit(True).alias("left")))
-        at = F.explode(F.when(F.col("left") & F.col("right"), F.concat(right, left)).when(F.col("left"), left).otherwise(right))
+        def tile(i: Column, j: Column, is_left: Column, is_right: Column) -> Column:
+            return F.struct(i.alias("i"), j.alias("j"), is_left.alias("left"), is_right.alias("right"))
+
+        right = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: tile(
+            i, place("columns"), F.col("left") & (i == place("rows")), F.lit(True)))
+        left = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda j: tile(
+            place("rows"), j, F.lit(True), F.lit(False)))
+        # the tile where a member's row and column cross has it once
+        rest = F.filter(left, lambda t: t["j"] != place("columns"))
+        at = F.explode(F.when(F.col("left") & F.col("right"), F.concat(right, rest)).when(F.col("left"), left).otherwise(right))
         sketches = sets.where("part = 0").select("cid", "n", "cells")
         if own is None:
             sketches = sketches.withColumn("leaders", F.lit(None).cast("array<bigint>"))
         else:
             sketches = sketches.join(own, "cid")
         return (roles.join(shapes, "g").withColumn("at", at).join(sketches, "cid")
-                .select("g", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "leaders"))
+                .select("g", "at.i", "at.j", "cid", "component", "n", "cells", "at.left", "at.right", "leaders"))
 
     def cut_roles(self, inside: DataFrame, sets: DataFrame) -> DataFrame:
-        """(g, cid, component, left, right): members of large groups under their first n-grams.
+        """(g, cid, component, left, right): members of large groups under their first n-grams,
+        a member of several such groups once.
 
         A member outside the component of the gram's main member meets all if the gram is
         among its few first ones, else those of whom it is.
         """
         grams = (sets.join(inside.select("cid").distinct(), "cid", "left_semi").groupBy("cid")
                  .agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "grams"))), lambda x: x["grams"]).alias("parts")))
-        members = materialize(inside.select("leader", "cid", "component").join(grams, "cid")
-                              .select("leader", "parts", "cid", "component"), "large-groups")
-        common = materialize(members.select("leader", "parts").mapInArrow(_group_grams, "g bigint")
-                             .groupBy("g").count().where(F.col("count") > self.tile).select("g"), "common-grams")
-        bits = bloom.bits_for(common.count(), self.max_bits)
-        filt = self.docs.sparkSession.sparkContext.broadcast(
-            bloom.merged(common.mapInArrow(_filter_of(bits), bloom.SHARD_SCHEMA), bits, "once"))
+        members = materialize(inside.select("cid", "component").distinct().join(grams, "cid")
+                              .select("cid", "parts", "component"), "large-groups")
+        shared = materialize(members.select("cid", "parts").mapInArrow(_group_grams, "g bigint")
+                             .groupBy("g").count().where("count > 1"), "shared-grams")
+        filters = []
+        for bound in (1, math.isqrt(self.tile), self.tile):
+            held = shared.where(F.col("count") > bound).select("g")
+            bits = bloom.bits_for(held.count(), self.max_bits)
+            filters.append(self.docs.sparkSession.sparkContext.broadcast(
+                bloom.merged(held.mapInArrow(_filter_of(bits), bloom.SHARD_SCHEMA), bits, "once")))
         first = materialize(members.mapInArrow(
-            _first_grams_of(self.num, self.den, filt), "g bigint, cid bigint, component bigint, short boolean"), "first-grams")
+            _first_grams_of(self.num, self.den, filters), "g bigint, cid bigint, component bigint, short boolean"), "first-grams")
         groups = first.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                         F.max("short").alias("any"), F.min_by("component", "cid").alias("main"))
         met = first.join(groups.where("low < high AND any").select("g", "main"), "g")

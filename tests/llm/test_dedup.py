@@ -176,6 +176,36 @@ def test_template_texts_do_not_all_meet(spark):
     assert met[0][0] > 400 and met[0][1] == 0
 
 
+def test_near_copies_with_own_words_do_not_meet(spark):
+    draw, roles, tiled = random.Random(5), [], []
+
+    class Watched(_Join):
+        def cut_roles(self, inside, sets):
+            found = super().cut_roles(inside, sets)
+            roles.append((inside.count(), found.where("left").count()))
+            return found
+
+        def tiled(self, members, sets, own):
+            found = super().tiled(members, sets, own)
+            if own is not None:
+                tiled.append((members.count(), found.count()))
+            return found
+
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(300):  # six words of its own: too many to link, too few to hide the fragments
+        own = list(base)
+        for at in draw.sample(range(100), 6):
+            own[at] = f"o{draw.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    rows += [(300 + at, text) for at, text in near_copies(9, 6, 8, 120)]
+    want = linked_components(rows, 5, 80, 100)
+    got = Watched(docs_frame(spark, rows), 5, (80, 100), 250, 500_000, 1 << 31).run()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert roles[0][0] > 250 and roles[0][1] < 300  # no gram of the base is among the first ones of most
+    assert tiled[0][0] >= tiled[0][1] > 0  # a member stands once in a tile
+
+
 @pytest.mark.parametrize("tile", [4, 1000])
 def test_one_group_of_all_finds_every_link(spark, tile):
     rows = [(at, text) for at, (_, text) in enumerate(templates(4, 40, 4, 15) + near_copies(3, 8, 6, 120))]
