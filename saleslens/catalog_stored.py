@@ -6,6 +6,7 @@ from the test tables and goes to the session's scratch folder.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +22,16 @@ from saleslens.plans import revenue as R
 from saleslens.plans import rollup as U
 from saleslens.plans import state as S
 from saleslens.plans import timeseries as M
-from saleslens.session import scratch_path
+from saleslens.session import evaluated_once, scratch_path
 from saleslens.sources.adapter import read_parquet_table, star_from_tpch
 from saleslens.sources.files import read_csv_table, read_product_pages, write_csv
 from saleslens.sources.layout import months_present, read_by_month, write_by_month
 from saleslens.sources.staging import PROBLEMS, rule_counts, stage
-from saleslens.sources.store import StarStore
+from saleslens.sources.store import BUCKETS, StarStore
 
 YOY_BASE, YOY_CURRENT, KPI_YEAR = 1999, 2000, 2000
 RFM_AS_OF = dt.date(2001, 12, 31)
+ROWS_A_BUCKET = 4_000_000
 SPLIT = "1998-07-01"  # the day that parts old sales from new ones
 PERIOD = (dt.date(1997, 3, 1), dt.date(1999, 3, 1))
 
@@ -82,13 +84,17 @@ def _load_rejects(spark, d):
 
 
 def _star_loads(spark, d):
-    """Two loads (the second brings the first one's sales again), and the second once more."""
+    """Two loads (the second brings the first one's sales again), and the second once more.
+
+    Both read the sales, so these are joined once; their number gives the store's buckets.
+    """
     star = star_from_tpch(spark, d)
-    store = StarStore(spark, _name("store"), scratch_path(spark, _name("store")))
-    old = star.sales.where(F.col("sale_date") < SPLIT)
+    sales, n = evaluated_once(star.sales, "sales", "zstd")
+    store = StarStore(spark, _name("store"), scratch_path(spark, _name("store")), max(BUCKETS, math.ceil(n / ROWS_A_BUCKET)))
+    old = sales.where(F.col("sale_date") < SPLIT)
     known = star.products.where("NOT is_organic")
     first = {"products": known, "customers": star.customers, "calendar": star.calendar, "sales": old}
-    second = {"products": star.products, "sales": star.sales}
+    second = {"products": star.products, "sales": sales}
     for load_id, tables in (("first", first), ("second", second), ("second", second)):
         store.load(tables, load_id, on_problem="reject")
     return store

@@ -91,7 +91,7 @@ def materialize(df: DataFrame, name: str = "table", compression: str | None = No
 _PLAIN = ("Project", "Filter", "Relation", "SubqueryAlias", "Range", "LocalRelation")
 
 
-def evaluated_once(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+def evaluated_once(df: DataFrame, name: str = "table", compression: str | None = None) -> tuple[DataFrame, int]:
     """``df`` for steps that read it several times, and its number of rows.
 
     A plan of scans, filters and projections is read again; any other is written first
@@ -101,7 +101,7 @@ def evaluated_once(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     if all(n.split("[")[0].startswith(_PLAIN) for n in nodes):
         return df, df.count()
     seen = Observation()
-    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name, compression)
     return written, seen.get["n"]
 
 

@@ -2,8 +2,8 @@
 
 ``stage`` evaluates every rule of a table on every source row, as an array of problems,
 while it writes the rows once; counts per rule are observed during that write, so the
-source is read a single time. Rows without a problem and rows with one lie in two
-partitions of the staged table. What needs several rows (repeated keys, keys already
+source is read a single time. A column tells rows without a problem from rows with one,
+so the write need not sort them. What needs several rows (repeated keys, keys already
 loaded, unknown parents) is then checked on the staged keys alone, never on the source.
 
 Checks against a large target move only the new rows: they are the build side of a hash
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PROBLEMS, REFUSED = "_problems", "_refused"
+KIND = "array<struct<column_name:string,rule:string>>"  # of PROBLEMS
 NULL_KEY, REPEATED_KEY, PRESENT_KEY, NO_PARENT = "null key", "repeated key", "key already present", "unknown parent"
 
 
@@ -57,13 +58,25 @@ def _broken(df: DataFrame, field: T.StructField, rule: str) -> Column:
     return raw.isNull()
 
 
-def validated(df: DataFrame, schema: T.StructType, rules: Mapping) -> DataFrame:
-    """``df`` as the schema's columns (defaults filled in) and ``_problems``, an array of
-    struct<column_name, rule> in the order of ``row_rules``.
+def _no_problems() -> Column:
+    return F.array().cast(KIND)
 
-    A column with a default is never null. A value that does not fit its column's type is
-    a problem and becomes null; text stays whole. Extra columns are left out.
-    """
+
+def problem_list(found: Sequence[tuple[Column, str, str]]) -> Column:
+    """The problems of one row, an array of struct<column_name, rule>, from (broken, column,
+    rule). Only a row that breaks a rule has a list built."""
+    if not found:
+        return _no_problems()
+    broken = F.lit(False)
+    for is_broken, _, _ in found:
+        broken = broken | is_broken
+    named = [F.when(is_broken, F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"))) for is_broken, c, r in found]
+    return F.when(broken, F.array_compact(F.array(*named)).cast(KIND)).otherwise(_no_problems())
+
+
+def _judged(df: DataFrame, schema: T.StructType, rules: Mapping) -> DataFrame:
+    """``df`` as the schema's columns (defaults filled in) and a flag ``_rule_<i>``, never
+    null, for each rule of ``row_rules``: whether the row breaks it."""
     fields, defaults = {f.name: f for f in schema.fields}, rules.get("defaults", {})
     columns = []
     for f in schema.fields:
@@ -72,11 +85,23 @@ def validated(df: DataFrame, schema: T.StructType, rules: Mapping) -> DataFrame:
             filled = F.lit(defaults[f.name]).cast(f.dataType)
             value = F.when(_raw(df, f.name).isNull(), filled).otherwise(value)
         columns.append(value.alias(f.name))
-    checks = [(c, r) for c, r in row_rules(schema, rules) if not (c in defaults and r in ("not null", NULL_KEY))]
-    found = [F.when(_broken(df, fields[c], r), F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"))) for c, r in checks]
-    kind = "array<struct<column_name:string,rule:string>>"
-    problems = F.array_compact(F.array(*found)) if found else F.array()
-    return df.select(*columns, problems.cast(kind).alias(PROBLEMS))
+    flags = [F.lit(False) if c in defaults and r in ("not null", NULL_KEY) else F.coalesce(_broken(df, fields[c], r), F.lit(False))
+             for c, r in row_rules(schema, rules)]
+    return df.select(*columns, *[flag.alias(f"_rule_{i}") for i, flag in enumerate(flags)])
+
+
+def _problems(checks: Sequence[tuple[str, str]]) -> Column:
+    return problem_list([(F.col(f"_rule_{i}"), c, r) for i, (c, r) in enumerate(checks)]).alias(PROBLEMS)
+
+
+def validated(df: DataFrame, schema: T.StructType, rules: Mapping) -> DataFrame:
+    """``df`` as the schema's columns (defaults filled in) and ``_problems``, an array of
+    struct<column_name, rule> in the order of ``row_rules``.
+
+    A column with a default is never null. A value that does not fit its column's type is
+    a problem and becomes null; text stays whole. Extra columns are left out.
+    """
+    return _judged(df, schema, rules).select(*schema.names, _problems(row_rules(schema, rules)))
 
 
 @dataclass(frozen=True)
@@ -98,20 +123,16 @@ class Staged:
 
 
 def stage(df: DataFrame, name: str, path: str, schema: T.StructType, rules: Mapping) -> Staged:
-    """Write ``df`` checked to ``path``, partitioned by whether a row is refused.
+    """Write ``df`` checked to ``path``, with a column that tells whether a row is refused.
 
     The one pass over the source: rows, rejects and the counts per rule come from it.
     """
     checks = row_rules(schema, rules)
     seen = Observation()
-
-    def broken(c, r):
-        return F.exists(PROBLEMS, lambda p: (p["column_name"] == c) & (p["rule"] == r))
-
-    rows = validated(df, schema, rules).withColumn(REFUSED, F.size(PROBLEMS) > 0)
-    watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"),
-                           *[F.count_if(broken(c, r)).alias(f"r{i}") for i, (c, r) in enumerate(checks)])
-    watched.write.mode("error").partitionBy(REFUSED).parquet(path)
+    watched = _judged(df, schema, rules).observe(seen, F.count(F.lit(1)).alias("rows"),
+                                                 *[F.count_if(f"_rule_{i}").alias(f"r{i}") for i in range(len(checks))])
+    rows = watched.select(*schema.names, _problems(checks)).withColumn(REFUSED, F.size(PROBLEMS) > 0)
+    rows.write.mode("error").option("compression", "zstd").parquet(path)
     got = seen.get
     written = df.sparkSession.read.schema(rows.schema).parquet(path)
     return Staged(name, written, {k: got[f"r{i}"] for i, k in enumerate(checks)}, got["rows"])
@@ -123,21 +144,26 @@ def rule_counts(staged: Sequence[Staged]) -> DataFrame:
     return staged[0].rows.sparkSession.createDataFrame(rows, "table_name string, column_name string, rule string, violations bigint")
 
 
-def present_keys(new_keys: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
+def _dealt(keys: DataFrame, key: Sequence[str], buckets: int | None) -> DataFrame:
+    return keys.repartition(buckets, *key) if buckets else keys
+
+
+def present_keys(new_keys: DataFrame, target: DataFrame, key: Sequence[str], buckets: int | None = None) -> DataFrame:
     """The keys of ``new_keys`` (distinct, column names ``key``) that ``target`` has.
 
-    The new keys are the build side. A target bucketed by the key is not moved or sorted;
-    a key that the target repeats is sent on once per task.
+    The new keys are the build side. A target bucketed by the key, into ``buckets``, is not
+    moved or sorted whatever the session's number of shuffle partitions; a key that the
+    target repeats is sent on once per task.
     """
     key = list(key)
-    return target.select(*key).join(new_keys.hint("shuffle_hash"), key, "left_semi").distinct()
+    return target.select(*key).join(_dealt(new_keys, key, buckets).hint("shuffle_hash"), key, "left_semi").distinct()
 
 
-def key_problems(rows: DataFrame, key: Sequence[str], target: DataFrame | None = None) -> DataFrame:
-    """(key, problem) of distinct keys that ``rows`` repeat or that ``target`` already has;
-    a key of both kinds is called repeated."""
+def key_problems(rows: DataFrame, key: Sequence[str], target: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """(key, problem) of distinct keys that ``rows`` repeat or that ``target`` (bucketed by
+    the key into ``buckets``) already has; a key of both kinds is called repeated."""
     key = list(key)
-    counts = rows.groupBy(*key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    counts = _dealt(rows.select(*key), key, buckets).groupBy(*key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
     out = counts.withColumn("problem", F.when(F.col("_repeated"), F.lit(REPEATED_KEY))).drop("_repeated")
     if target is not None:
         found = present_keys(counts.select(*key), target, key).withColumn("_present", F.lit(PRESENT_KEY))
@@ -145,10 +171,11 @@ def key_problems(rows: DataFrame, key: Sequence[str], target: DataFrame | None =
     return out.where(F.col("problem").isNotNull())
 
 
-def orphan_keys(rows: DataFrame, column: str, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """Distinct non-null values of ``column`` that no parent (frame, its key) has."""
+def orphan_keys(rows: DataFrame, column: str, parents: Sequence[tuple[DataFrame, str]], buckets: int | None = None) -> DataFrame:
+    """Distinct non-null values of ``column`` that no parent (frame, its key; bucketed by it
+    into ``buckets``) has."""
     left = rows.where(F.col(column).isNotNull()).select(column).distinct()
     for parent, parent_key in parents:
-        found = present_keys(left.withColumnRenamed(column, parent_key), parent, [parent_key])
+        found = present_keys(left.withColumnRenamed(column, parent_key), parent, [parent_key], buckets)
         left = left.join(found.withColumnRenamed(parent_key, column), column, "left_anti")
     return left

@@ -1,11 +1,13 @@
 """Loading the star as one step: validate, then publish (B-06, B-13).
 
 A store is a database of Parquet tables under one folder. Every table is partitioned by the
-load that brought its rows and bucketed by its key, so that checking a new load against
-all earlier ones moves the new keys only. A load is written in full before it counts: its
-rows become visible when its marker file is written, which names the load and its
-counts. Readers take the loads with a marker; a load that failed half-way has none, is
-invisible, and is cleared by the next try. Loading the same id again adds nothing.
+load that brought its rows and by whether they were refused, and bucketed by its key, so
+that checking a new load against all earlier ones moves the new keys only. The staged rows
+meet their problems on the way into the table: they move once, to their key's bucket, and
+are written once, accepted and refused ones by the same job. A load is written in full
+before it counts: its rows become visible when its marker file is written, which names the
+load and its counts. Readers take the loads with a marker; a load that failed half-way has
+none, is invisible, and is cleared by the next try. Loading the same id again adds nothing.
 """
 
 from __future__ import annotations
@@ -13,20 +15,20 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saleslens.schemas import SCHEMAS, TABLE_RULES
 from saleslens.session import materialize, scratch_path
-from saleslens.sources.staging import NO_PARENT, PROBLEMS, Staged, key_problems, orphan_keys, stage
+from saleslens.sources.staging import KIND, NO_PARENT, PRESENT_KEY, PROBLEMS, REPEATED_KEY, Staged, key_problems, orphan_keys, problem_list, stage
 
 # Parents before the facts that refer to them.
 TABLES = ("products", "customers", "calendar", "sales")
-LOAD = "load_id"
+LOAD, REFUSED = "load_id", "refused"
 BUCKETS = 16
+BROADCAST_KEYS = 2_000_000  # unknown parents' keys up to here go to the rows, beyond it the rows go to them
 
 
 class LoadRefused(ValueError):
@@ -50,8 +52,8 @@ class StarStore:
         for name, schema in SCHEMAS.items():
             self._fs().mkdirs(self._path(name))
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table(name)} ({columns}, {LOAD} STRING) USING parquet "
-                      f"PARTITIONED BY ({LOAD}) CLUSTERED BY ({', '.join(TABLE_RULES[name]['key'])}) INTO {buckets} BUCKETS "
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {self._table(name)} ({columns}, {PROBLEMS} {KIND}, {LOAD} STRING, {REFUSED} BOOLEAN) "
+                      f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({LOAD}, {REFUSED}) CLUSTERED BY ({', '.join(TABLE_RULES[name]['key'])}) INTO {buckets} BUCKETS "
                       f"LOCATION '{self.location}/{name}'")
             # a store made by an earlier session: its loads are found by their folders
             spark.sql(f"ALTER TABLE {self._table(name)} RECOVER PARTITIONS")
@@ -70,18 +72,17 @@ class StarStore:
         found = self._fs().globStatus(self._path("_loads", "*.json"))
         return sorted(s.getPath().getName().removesuffix(".json") for s in found or [])
 
+    def _rows(self, name: str, loads: Sequence[str], refused: bool = False) -> DataFrame:
+        of_loads = self.spark.table(self._table(name)).where(F.col(LOAD).isin(list(loads)))
+        return of_loads.where(F.col(REFUSED) if refused else ~F.col(REFUSED))
+
     def read(self, name: str) -> DataFrame:
         """The published rows of a table."""
-        return self.spark.table(self._table(name)).where(F.col(LOAD).isin(self.loads())).drop(LOAD)
+        return self._rows(name, self.loads()).select(*SCHEMAS[name].names)
 
     def rejects(self, name: str) -> DataFrame:
         """Rows that published loads refused, with their problems and ``load_id``."""
-        problems = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("column_name", "rule")]))
-        schema = T.StructType([*SCHEMAS[name].fields, T.StructField(PROBLEMS, problems), T.StructField(LOAD, T.StringType())])
-        if not self._fs().exists(self._path("_rejects", name)):
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(f"{self.location}/_rejects/{name}")
-        return rows.where(F.col(LOAD).isin(self.loads()))
+        return self._rows(name, self.loads(), refused=True).select(*SCHEMAS[name].names, PROBLEMS, LOAD)
 
     def counts(self, load_id: str) -> dict[str, dict[str, int]]:
         """Per table of a published load: accepted and refused rows."""
@@ -95,9 +96,9 @@ class StarStore:
     def _clear(self, load_id: str) -> None:
         """Remove what a failed try of this load has left."""
         for name in TABLES:
-            self.spark.sql(f"ALTER TABLE {self._table(name)} DROP IF EXISTS PARTITION ({LOAD}='{load_id}')")
-            for folder in (name, f"_rejects/{name}"):
-                self._fs().delete(self._path(folder, f"{LOAD}={load_id}"), True)
+            for refused in ("false", "true"):
+                self.spark.sql(f"ALTER TABLE {self._table(name)} DROP IF EXISTS PARTITION ({LOAD}='{load_id}', {REFUSED}={refused})")
+            self._fs().delete(self._path(name, f"{LOAD}={load_id}"), True)
 
     def _publish(self, load_id: str, counts: dict) -> None:
         """The commit: written beside and renamed, so a marker is whole or absent."""
@@ -112,24 +113,42 @@ class StarStore:
         path = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
         return stage(df, name, path, SCHEMAS[name], TABLE_RULES[name])
 
-    def _check(self, staged: Staged, accepted: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-        """The staged rows that hold, and those refused with their problems."""
+    def _buckets(self, name: str) -> int:
+        return int(next(r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {self._table(name)}").collect()
+                        if r.col_name == "Num Buckets"))
+
+    def _write(self, staged: Staged, load_id: str) -> dict[str, int]:
+        """Write the staged rows to their table, those that hold and those refused with
+        their problems; how many of each."""
         rules, name, clean = TABLE_RULES[staged.name], staged.name, staged.accepted
-        rows = staged.rows.where("NOT _refused").drop("_refused")
-        key = rules["key"]
-        bad_keys = materialize(key_problems(clean, key, self.read(name)), "bad-keys")
-        checks = [(key, bad_keys.withColumnRenamed("problem", "_rule"), key[0])]
-        for column, (parent, parent_key) in rules.get("foreign_keys", {}).items():
-            parents = [(self.read(parent), parent_key), *([(accepted[parent], parent_key)] if parent in accepted else [])]
-            lost = materialize(orphan_keys(clean, column, parents), "orphans")
-            checks.append(([column], lost.withColumn("_rule", F.lit(NO_PARENT)), column))
-        for on, bad, column in checks:
-            problem = F.array_compact(F.array(F.when(F.col("_rule").isNotNull(), F.struct(
-                F.lit(column).alias("column_name"), F.col("_rule").alias("rule")))))
-            rows = rows.join(bad, on, "left").withColumn(PROBLEMS, F.concat(PROBLEMS, problem)).drop("_rule")
-        checked = materialize(rows.select(*SCHEMAS[name].names, PROBLEMS), f"checked-{name}")
-        return (checked.where(F.size(PROBLEMS) == 0).drop(PROBLEMS),
-                staged.rejects.unionByName(checked.where(F.size(PROBLEMS) > 0)))
+        key, bad = rules["key"], []
+        rows = clean
+        for i, (column, (parent, parent_key)) in enumerate(rules.get("foreign_keys", {}).items()):
+            parents = [(self._rows(parent, [*self.loads(), load_id]), parent_key)]
+            lost = materialize(orphan_keys(clean, column, parents).withColumn(f"_lost_{i}", F.lit(True)), "orphans")
+            # few keys meet the rows where these lie
+            rows = rows.join(F.broadcast(lost) if lost.count() <= BROADCAST_KEYS else lost, column, "left")
+            bad.append((F.col(f"_lost_{i}").isNotNull(), column, NO_PARENT))
+        # Keys with a problem lie in the table's buckets: the rows move once, to these. They are
+        # the build side, with a code and not a text, so the rows are not sorted.
+        buckets = self._buckets(name)
+        bad_keys = key_problems(clean, key, self.read(name), buckets).select(*key, (F.col("problem") == REPEATED_KEY).alias("_repeated"))
+        beside = f"bad_keys_{uuid.uuid4().hex}"
+        (bad_keys.write.bucketBy(buckets, *key).option("path", scratch_path(self.spark, beside))
+         .saveAsTable(self._table(beside), format="parquet"))
+        rows = rows.join(self.spark.table(self._table(beside)).hint("shuffle_hash"), key, "left")
+        repeated = F.coalesce(F.col("_repeated"), F.lit(False))
+        bad = [(repeated, key[0], REPEATED_KEY), (F.col("_repeated").isNotNull() & ~repeated, key[0], PRESENT_KEY), *bad]
+        names = SCHEMAS[name].names
+        judged = rows.select(*names, problem_list(bad).alias(PROBLEMS)).unionByName(staged.rejects.select(*names, PROBLEMS))
+        seen = Observation()
+        try:
+            (judged.withColumn(LOAD, F.lit(load_id)).withColumn(REFUSED, F.size(PROBLEMS) > 0)
+             .observe(seen, F.count_if(~F.col(REFUSED)).alias("accepted"), F.count_if(REFUSED).alias("refused"))
+             .write.mode("append").insertInto(self._table(name)))
+        finally:
+            self.spark.sql(f"DROP TABLE {self._table(beside)}")
+        return {k: seen.get[k] for k in ("accepted", "refused")}
 
     def load(self, tables: Mapping[str, DataFrame], load_id: str, on_problem: str = "error") -> dict[str, dict[str, int]]:
         """Check all ``tables``, then publish them together; accepted and refused rows of each.
@@ -147,21 +166,12 @@ class StarStore:
         if load_id in self.loads():
             return self.counts(load_id)
         self._clear(load_id)
-        accepted, refused = {}, {}
-        for name in TABLES:
-            if name in tables:
-                accepted[name], refused[name] = self._check(self._stage(name, tables[name]), accepted)
-        counts = {n: {"accepted": accepted[n].count(), "refused": refused[n].count()} for n in accepted}
-        if on_problem == "error" and any(c["refused"] for c in counts.values()):
-            raise LoadRefused({n: {f"{r.column_name}: {r.rule}": r["count"] for r in refused[n].select(F.inline(PROBLEMS))
-                                   .groupBy("column_name", "rule").count().collect()} for n in refused if counts[n]["refused"]})
-        for name, rows in accepted.items():
-            # one file a bucket and load: rows meet by their key's bucket before the write
-            buckets = int(next(r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {self._table(name)}").collect()
-                               if r.col_name == "Num Buckets"))
-            (rows.withColumn(LOAD, F.lit(load_id)).repartition(buckets, *TABLE_RULES[name]["key"])
-             .write.mode("append").insertInto(self._table(name)))
-            if counts[name]["refused"]:
-                refused[name].write.mode("error").parquet(f"{self.location}/_rejects/{name}/{LOAD}={load_id}")
+        counts = {n: self._write(self._stage(n, tables[n]), load_id) for n in TABLES if n in tables}
+        broken = [n for n in counts if counts[n]["refused"]]
+        if on_problem == "error" and broken:
+            problems = {n: {f"{r.column_name}: {r.rule}": r["count"] for r in self._rows(n, [load_id], refused=True)
+                            .select(F.inline(PROBLEMS)).groupBy("column_name", "rule").count().collect()} for n in broken}
+            self._clear(load_id)
+            raise LoadRefused(problems)
         self._publish(load_id, counts)
         return counts

@@ -22,6 +22,7 @@ from saleslens.plans import rollup as U
 from saleslens.plans import state as S
 from saleslens.plans.kpi import filter_year
 from saleslens.schemas import SALES, TABLE_RULES
+from saleslens.session import materialize
 from saleslens.sources.adapter import star_from_tpch
 from saleslens.sources.layout import months_present, read_by_month, write_by_month
 from saleslens.sources.staging import PROBLEMS, key_problems, orphan_keys, rule_counts, stage, validated
@@ -257,6 +258,65 @@ def test_key_checks_do_not_move_the_target(spark, store):
     assert {r[0] for r in orphans.collect()} == {r[0] for r in check_foreign_key(new, store.read("customers"), ["customer_id"]).collect()} == {8}
 
 
+def test_key_checks_do_not_move_the_target_under_any_number_of_partitions(spark, store):
+    store.load(_tables(spark), "first")
+    new = fx.sales(spark, [(2, 2, 7, "2024-02-01", 1, 5), (3, 1, 8, "2024-02-01", 1, 5), (3, 1, 8, "2024-02-01", 1, 5)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        problems = key_problems(new, ["sale_id"], store.read("sales"), 4)
+        plan = problems._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("store_")].splitlines()
+        joined = max(i for i, line in enumerate(above) if "ShuffledHashJoin" in line)
+        assert not any("Exchange" in line or "Sort " in line for line in above[joined:]) and "Bucketed: true" in plan
+        assert {(r.sale_id, r.problem) for r in problems.collect()} == {(2, "key already present"), (3, "repeated key")}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_whole_rows_are_written_once_after_staging(spark, store, monkeypatch):
+    kept = []
+
+    def watched(df, *args):
+        kept.append(df.columns)
+        return materialize(df, *args)
+
+    monkeypatch.setattr("saleslens.sources.store.materialize", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        many = fx.sales(spark, [(i, 1, 7, "2024-01-01", 3, 9) for i in range(200)])
+        store.load(_tables(spark) | {"sales": many}, "first")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert kept and all("total_amount" not in columns for columns in kept)
+    files = [f for _, _, names in os.walk(os.path.join(store.location, "sales")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 4 and store.read("sales").count() == 200
+    assert [t.name for t in spark.catalog.listTables(store.database) if t.name not in TABLE_RULES] == []
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_rows_meet_lost_parents_whether_few_or_many(spark, store, monkeypatch, most):
+    monkeypatch.setattr("saleslens.sources.store.BROADCAST_KEYS", most)
+    sales = fx.sales(spark, [(i, 1 + i % 3, 7 + i % 2, "2024-01-01", 3, 9) for i in range(60)]).unionByName(
+        fx.sales(spark, [(5, 1, 7, "2024-01-01", 3, 9)]).withColumn("quantity", F.lit(None).cast("int")))
+    counts = store.load(_tables(spark) | {"sales": sales}, "first", on_problem="reject")
+    assert counts["sales"] == {"accepted": 20, "refused": 41}
+    assert sorted(r.sale_id for r in store.read("sales").collect()) == [i for i in range(60) if i % 3 < 2 and i % 2 == 0]
+    got = {(r.sale_id, r.quantity): [(p.column_name, p.rule) for p in r[PROBLEMS]] for r in store.rejects("sales").collect()}
+    assert len(got) == 41 and got[5, None] == [("quantity", "not null")] and got[3, 3] == [("customer_id", "unknown parent")]
+    assert got[5, 3] == [("product_id", "unknown parent"), ("customer_id", "unknown parent")]
+
+
+def test_a_refused_load_leaves_no_files(spark, store):
+    tables = _tables(spark)
+    with pytest.raises(LoadRefused):
+        store.load(tables | {"sales": tables["sales"].unionByName(tables["sales"])}, "first")
+    assert not [f for _, _, names in os.walk(store.location) for f in names if f.endswith(".parquet")]
+    store.load(tables, "first")
+    assert store.rejects("sales").count() == 0 and store.read("sales").count() == 2
+
+
 def test_rules_name_only_columns_of_their_table():
     for name, rules in TABLE_RULES.items():
         assert set(rules["key"]) <= set(rules["not_null"]), name
